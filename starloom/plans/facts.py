@@ -213,12 +213,11 @@ def append_transactions(
 ) -> FactLoad:
     """The rows to append: transactions the fact does not have, with keys.
 
-    Known ids are removed first, so a rerun looks nothing up and appends
-    nothing.  ``increment`` says the transactions are few next to the fact.
+    Known ids are removed first and the rest is written once, so a rerun looks
+    nothing up and appends nothing, and the fact's ids are read a single time.
+    ``increment`` says the transactions are few next to the fact.
     """
-    fresh = new_rows(transactions, target, "TransactionID", increment)
-    if increment:
-        fresh = stage_table(fresh, "increment")
+    fresh = stage_table(new_rows(transactions, target, "TransactionID", increment), "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
         load.rows, "TransactionID", "TransactionKey", max_key(target, "TransactionKey") + 1
