@@ -101,8 +101,10 @@ def upsert_counts(spark, sf_dir):
 
 @query(f"""WITH old AS ({EARLIER_DISTRICT})
            SELECT o.DistrictKey, o.DistrictID, coalesce(s.DistrictName, o.DistrictName) AS DistrictName,
-                  coalesce(s.RegionName, o.RegionName) AS RegionName, o.Population, o.AverageSalary,
-                  o.UnemploymentMeasure, o.EntrepreneurMeasure, o.CrimeMeasure,
+                  coalesce(s.RegionName, o.RegionName) AS RegionName, o.Population,
+                  CAST(o.AverageSalary AS INTEGER) AS AverageSalary, o.UnemploymentMeasure,
+                  CAST(o.EntrepreneurMeasure AS INTEGER) AS EntrepreneurMeasure,
+                  CAST(o.CrimeMeasure AS INTEGER) AS CrimeMeasure,
                   CASE WHEN s.DistrictID IS NULL THEN 'kept' ELSE 'updated' END AS "_action"
            FROM old o LEFT JOIN district_clean s ON s.DistrictID = o.DistrictID AND o.DistrictID <> -1""")
 def update_matched_names(spark, sf_dir):

@@ -53,18 +53,15 @@ def lookup_join(
     key: str,
     how: str,
     row_id: str | Sequence[str],
-    max_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    fits: bool | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Inner or left join of ``fact`` to ``dim`` on the column ``key`` both have.
 
     ``row_id`` identifies a fact row; it spreads a hot key over its slices the
-    same way on every attempt.  ``max_rows`` states a bound that is known
-    beforehand (a constant table, a calendar) and saves the count.
+    same way on every attempt.  ``fits`` passes on a size check already made.
     """
-    bounded = max_rows <= broadcast_rows if max_rows is not None else None
-    if bounded or (bounded is None and fits_broadcast(dim, broadcast_rows)):
+    if fits_broadcast(dim) if fits is None else fits:
         return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact, key, slice_rows)
     if hot is None:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from starloom.session import stage_table
 
+#: up to this many rows are numbered by one sorted task
+SMALL_ROWS = 100_000
+
 _ID, _PART = "_row_id", "_part"
 # monotonically_increasing_id keeps the partition above bit 33, the row below
 _ROW_BITS = 33
@@ -25,18 +28,21 @@ def assign_keys(
     key: str,
     start: int = 1,
     kind: str = "bigint",
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``key`` = start, start+1, … in ``order``, which must be unique per row.
 
-    The rows are range-partitioned and sorted, and written once with their
+    Rows counted or bounded beforehand (``max_rows``) to be few are numbered by
+    one task.  Otherwise the rows are range-partitioned and sorted, and written once with their
     position inside the partition.  Adding the size of the earlier partitions
     (one number per partition) then gives the key in a map-only step.
     """
     order = [order] if isinstance(order, (str, Column)) else list(order)
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_rows is not None and max_rows <= SMALL_ROWS:
+        number = F.row_number().over(Window.orderBy(*order))
+        return df.select((F.lit(start - 1) + number).cast(kind).alias(key), *df.columns)
     placed = (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_ID, F.monotonically_increasing_id())
     )

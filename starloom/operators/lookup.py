@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.constants import UNKNOWN_KEY
-from starloom.operators.joins import lookup_join
+from starloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,13 @@ class KeyLookup:
     def name(self) -> str:
         return self.as_ or self.key
 
+    @cached_property
+    def fits(self) -> bool:
+        """Whether the dimension may be broadcast; counted once per lookup."""
+        if self.max_rows is not None:
+            return self.max_rows <= BROADCAST_ROWS
+        return fits_broadcast(self.dim)
+
     def narrow(self) -> DataFrame:
         return self.dim.select(
             F.col(self.dim_column).alias(self._probe),
@@ -57,7 +65,7 @@ class KeyLookup:
 def _join(fact: DataFrame, look: KeyLookup, row_id, how: str) -> DataFrame:
     probed = fact.withColumn(look._probe, F.col(look.fact_column))
     return lookup_join(
-        probed, look.narrow(), look._probe, how, row_id, max_rows=look.max_rows
+        probed, look.narrow(), look._probe, how, row_id, fits=look.fits
     ).drop(look._probe)
 
 
@@ -66,10 +74,10 @@ def resolve_keys(
 ) -> DataFrame:
     """Add one surrogate key column per lookup.
 
-    Bounded dimensions come first: they are broadcast and, when they drop rows,
+    Small dimensions come first: they are broadcast and, when they drop rows,
     they do so before anything is shuffled.
     """
-    for look in sorted(lookups, key=lambda x: x.max_rows is None):
+    for look in sorted(lookups, key=lambda x: not x.fits):
         drop = look.on_missing == "drop"
         fact = _join(fact, look, row_id, "inner" if drop else "left")
         found: Column = F.col(look._found)

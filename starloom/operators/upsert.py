@@ -80,8 +80,11 @@ def insert_new(
         require_unique(source, key)
     fresh = new_rows(source, target, key)
     if surrogate:
+        fresh = stage_table(fresh, "fresh")
         kind = target.schema[surrogate].dataType.simpleString()
-        fresh = assign_keys(fresh, key, surrogate, max_key(target, surrogate) + 1, kind)
+        fresh = assign_keys(
+            fresh, key, surrogate, max_key(target, surrogate) + 1, kind, max_rows=fresh.count()
+        )
     return target.withColumn(ACTION, F.lit("kept")).unionByName(
         _shaped(fresh, target).withColumn(ACTION, F.lit("inserted"))
     )
@@ -162,12 +165,19 @@ def upsert(
         "merged",
     )
     inserted = F.col(ACTION) == "inserted"
-    kind = target.schema[surrogate].dataType.simpleString()
-    keyed = assign_keys(
-        merged.filter(inserted).drop(surrogate), key, surrogate,
-        max_key(target, surrogate) + 1, kind,
-    )
-    result = merged.filter(~inserted).unionByName(keyed)
+    seen = merged.agg(
+        F.coalesce(F.max(surrogate), F.lit(0)).alias("last"), F.count_if(inserted).alias("new")
+    ).first()
+    result = merged.filter(~inserted)
+    if seen["new"]:
+        last = seen["last"] if carried is None else max(seen["last"], max_key(carried, surrogate))
+        kind = target.schema[surrogate].dataType.simpleString()
+        result = result.unionByName(
+            assign_keys(
+                merged.filter(inserted).drop(surrogate), key, surrogate, last + 1, kind,
+                max_rows=seen["new"],
+            )
+        )
     if carried is not None:
         result = result.unionByName(carried.withColumn(ACTION, F.lit("kept")))
     return result

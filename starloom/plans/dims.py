@@ -131,7 +131,7 @@ def empty_dim(spark: SparkSession, schema, key: str) -> DataFrame:
 def load_lookup(target: DataFrame, values: DataFrame, code: str, key: str) -> DataFrame:
     """Upsert a lookup dimension from its value table (unknown member included)."""
     attributes = [c for c in values.columns if c != code]
-    return upsert(target, values, code, attributes, key)
+    return upsert(target, values, code, attributes, key, check_source=False)
 
 
 # --- lookups from the codes that occur --------------------------------------

@@ -189,7 +189,8 @@ def rebuild_loans(loan: DataFrame, account: DataFrame, dims: Dims) -> DataFrame:
         {k: F.coalesce(k, F.lit(K.UNKNOWN_KEY)) for k in ("AccountKey", "DistrictKey")}
     )
     return assign_keys(
-        rows.select(*[c for c in LOAN_COLUMNS if c != "LoanKey"]), "LoanID", "LoanKey"
+        rows.select(*[c for c in LOAN_COLUMNS if c != "LoanKey"]), "LoanID", "LoanKey",
+        max_rows=loan.count(),
     ).select(*LOAN_COLUMNS)
 
 
@@ -220,7 +221,8 @@ def append_transactions(
     fresh = stage_table(new_rows(transactions, target, "TransactionID", increment), "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
-        load.rows, "TransactionID", "TransactionKey", max_key(target, "TransactionKey") + 1
+        load.rows, "TransactionID", "TransactionKey", max_key(target, "TransactionKey") + 1,
+        max_rows=fresh.count(),
     )
     return FactLoad(rows.select(*TRANSACTION_COLUMNS), load.unmatched)
 
