@@ -28,7 +28,7 @@ def monthly_mart(spark, sf_dir):
     """The flagship: every transaction of the source, summed per month."""
     fact = (
         role(spark, sf_dir, "trans")
-        .dropna(subset=["date", "amount"])
+        .filter("date IS NOT NULL AND amount IS NOT NULL")
         .select(
             date_key("date", missing=None).alias("DateKey"),
             F.col("account_id").alias("AccountKey"),

@@ -8,6 +8,8 @@ the table does not arrive in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def preferred_per_key(
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in named]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
     return (
-        df.dropna(subset=keys)
+        df.filter(reduce(and_, [F.col(c).isNotNull() for c in keys]))
         .withColumn(_RANK, F.row_number().over(window))
         .filter(F.col(_RANK) == 1)
         .drop(_RANK)

@@ -138,8 +138,8 @@ def loan_clean(loan: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def transaction_clean(trans: DataFrame, accounts: DataFrame) -> DataFrame:
     """One row per complete transaction of a known account, with its measures."""
-    latest = latest_per_key(trans, "trans_id", AUDIT).dropna(
-        subset=["account_id", "date", "amount"]
+    latest = latest_per_key(trans, "trans_id", AUDIT).filter(
+        F.col("account_id").isNotNull() & F.col("date").isNotNull() & F.col("amount").isNotNull()
     )
     district = accounts.select(F.col("AccountID").alias("account_id"), "DistrictID")
     joined = lookup_join(latest, district, "account_id", "inner", row_id="trans_id")

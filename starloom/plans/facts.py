@@ -132,7 +132,10 @@ def upsert_loans(target: DataFrame, load: FactLoad) -> DataFrame:
 def prepare_loans(loan: DataFrame) -> DataFrame:
     """Source loans for the rebuild: bad numbers become 0, no loan is rejected."""
     zero = F.lit(0).cast("decimal(18,2)")
-    prepared = loan.dropna(subset=["loan_id", "account_id", "date"]).select(
+    complete = (
+        F.col("loan_id").isNotNull() & F.col("account_id").isNotNull() & F.col("date").isNotNull()
+    )
+    prepared = loan.filter(complete).select(
         F.col("loan_id").alias("LoanID"),
         F.col("account_id").alias("AccountID"),
         date_key("date", missing=None).alias("LoanDateKey"),
@@ -172,7 +175,7 @@ def rebuild_loans(loan: DataFrame, account: DataFrame, dims: Dims) -> DataFrame:
     Only a date outside the calendar removes a loan.
     """
     require_unknown_members(dims, LOAN_DIMS)
-    require_unique(loan.dropna(subset=["loan_id"]), "loan_id")
+    require_unique(loan.filter("loan_id IS NOT NULL"), "loan_id")
     require_unique(account, "account_id")
     lookups = [
         _date_lookup(dims, "LoanDateKey"),

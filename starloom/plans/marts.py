@@ -19,42 +19,57 @@ DISTRICT_COLUMNS = [
 def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Transaction totals per month.
 
-    Rows are grouped by two integers; names that follow from the month are
-    added to the finished months.  The distinct accounts go through one
-    exchange on (month, account), so a month with most rows is spread out.
+    The sums are taken per day before any join, which leaves one row per day
+    and map task to exchange.  The distinct accounts need an exchange of
+    (month, account) pairs; it carries those two columns and no sums, and it
+    spreads out a month that has most of the rows.
     """
-    months = calendar.select(
-        "Year", "MonthNumber", "MonthName", "Quarter"
-    ).distinct()
-    days = calendar.select("DateKey", "Year", "MonthNumber")
+    months = ["Year", "MonthNumber"]
+    days = F.broadcast(calendar.select("DateKey", *months))
+    per_day = fact.groupBy("DateKey").agg(
+        F.sum("TransactionCount").alias("n"),
+        *[F.sum(c).alias(c) for c in ("TransactionAmount", "InflowAmount", "OutflowAmount", "SignedAmount")],
+    )
     summed = (
-        fact.join(F.broadcast(days), "DateKey")
-        .groupBy("Year", "MonthNumber")
+        per_day.join(days, "DateKey")
+        .groupBy(*months)
         .agg(
-            F.sum("TransactionCount").alias("TotalTransactions"),
-            F.count_distinct("AccountKey").alias("ActiveAccounts"),
+            F.sum("n").alias("TotalTransactions"),
             total("TransactionAmount").alias("TotalTransactionAmount"),
             total("InflowAmount").alias("TotalInflow"),
             total("OutflowAmount").alias("TotalOutflow"),
             total("SignedAmount").alias("NetCashFlow"),
-            ratio(F.sum("TransactionAmount"), F.sum("TransactionCount")).alias(
-                "AverageTransactionAmount"
-            ),
+            ratio(total("TransactionAmount"), F.sum("n")).alias("AverageTransactionAmount"),
         )
     )
-    return summed.join(F.broadcast(months), ["Year", "MonthNumber"]).select(
-        "Year", "MonthNumber", "MonthName", "Quarter",
-        year_month_label("Year", "MonthNumber").alias("YearMonthLabel"),
-        "TotalTransactions", "ActiveAccounts", "TotalTransactionAmount", "TotalInflow",
-        "TotalOutflow", "NetCashFlow", "AverageTransactionAmount",
+    active = (
+        fact.select("DateKey", "AccountKey")
+        .join(days, "DateKey")
+        .groupBy(*months)
+        .agg(F.count_distinct("AccountKey").alias("ActiveAccounts"))
+    )
+    names = calendar.select(*months, "MonthName", "Quarter").distinct()
+    # all three have at most one row per month of the calendar
+    return (
+        summed.join(F.broadcast(active), months)
+        .join(F.broadcast(names), months)
+        .select(
+            *months, "MonthName", "Quarter",
+            year_month_label(*months).alias("YearMonthLabel"),
+            "TotalTransactions", "ActiveAccounts", "TotalTransactionAmount", "TotalInflow",
+            "TotalOutflow", "NetCashFlow", "AverageTransactionAmount",
+        )
     )
 
 
 def district_loans(fact: DataFrame, districts: DataFrame) -> DataFrame:
-    """Loan totals per known district; the fact is summed before it meets the names."""
+    """Loan totals per known district; the fact is summed before it meets the names.
+
+    The distinct borrowers go through an exchange of their own that carries
+    (district, account) pairs only.
+    """
     summed = fact.groupBy("DistrictKey").agg(
         F.sum("LoanCount").alias("TotalLoans"),
-        F.count_distinct("AccountKey").alias("BorrowingAccounts"),
         total("LoanAmount").alias("TotalLoanAmount"),
         ratio(F.sum("LoanAmount"), F.sum("LoanCount")).alias("AverageLoanAmount"),
         total("MonthlyPayment").alias("TotalMonthlyPayments"),
@@ -66,9 +81,15 @@ def district_loans(fact: DataFrame, districts: DataFrame) -> DataFrame:
             "decimal(6,2)",
         ).alias("ProblemLoanPercentage"),
     )
+    borrowers = fact.groupBy("DistrictKey").agg(
+        F.count_distinct("AccountKey").alias("BorrowingAccounts")
+    )
     known = districts.filter(F.col("DistrictID") != K.UNKNOWN_ID).select(*DISTRICT_COLUMNS)
-    return known.join(summed, "DistrictKey").select(
-        *DISTRICT_COLUMNS, *[c for c in summed.columns if c != "DistrictKey"]
+    return known.join(summed, "DistrictKey").join(borrowers, "DistrictKey").select(
+        *DISTRICT_COLUMNS,
+        "TotalLoans", "BorrowingAccounts", "TotalLoanAmount", "AverageLoanAmount",
+        "TotalMonthlyPayments", "TotalExpectedPaymentAmount", "ProblemLoans",
+        "ProblemLoanPercentage",
     )
 
 
