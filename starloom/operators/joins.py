@@ -25,7 +25,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
 
 
-def hot_keys(fact: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame | None:
+def hot_keys(fact: DataFrame, key: str, slice_rows: int | None = None) -> DataFrame | None:
     """Keys larger than an average shuffle partition, with the slices each needs.
 
     Counts are combined map-side.  Fewer keys than shuffle partitions can exceed
@@ -34,7 +34,7 @@ def hot_keys(fact: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFra
     spark = fact.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = fact.count()
-    slice_rows = max(slice_rows, rows // partitions)
+    slice_rows = max(slice_rows or SLICE_ROWS, rows // partitions)
     if rows <= slice_rows:
         return None
     hot = (
@@ -53,17 +53,21 @@ def lookup_join(
     key: str,
     how: str,
     row_id: str | Sequence[str],
+    measure: DataFrame | None = None,
     fits: bool | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Inner or left join of ``fact`` to ``dim`` on the column ``key`` both have.
 
     ``row_id`` identifies a fact row; it spreads a hot key over its slices the
-    same way on every attempt.  ``fits`` passes on a size check already made.
+    same way on every attempt.  ``measure`` is a stored table with the same key
+    column to find the hot keys in, where ``fact`` itself is costly to compute:
+    which keys are sliced changes the work, never the result.  ``fits`` passes
+    on a size check already made.
     """
     if fits_broadcast(dim) if fits is None else fits:
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot_keys(fact, key, slice_rows)
+    hot = hot_keys(fact if measure is None else measure, key, slice_rows)
     if hot is None:
         return fact.join(dim, key, how)
     ids = [row_id] if isinstance(row_id, str) else list(row_id)

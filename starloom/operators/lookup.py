@@ -62,10 +62,11 @@ class KeyLookup:
         return f"_found_{self.name}"
 
 
-def _join(fact: DataFrame, look: KeyLookup, row_id, how: str) -> DataFrame:
-    probed = fact.withColumn(look._probe, F.col(look.fact_column))
+def _join(fact: DataFrame, look: KeyLookup, row_id, how: str, source: DataFrame) -> DataFrame:
+    value = F.col(look.fact_column)
     return lookup_join(
-        probed, look.narrow(), look._probe, how, row_id, fits=look.fits
+        fact.withColumn(look._probe, value), look.narrow(), look._probe, how, row_id,
+        measure=source.select(value.alias(look._probe)), fits=look.fits,
     ).drop(look._probe)
 
 
@@ -75,11 +76,13 @@ def resolve_keys(
     """Add one surrogate key column per lookup.
 
     Small dimensions come first: they are broadcast and, when they drop rows,
-    they do so before anything is shuffled.
+    they do so before anything is shuffled.  Hot keys are looked for in
+    ``fact`` as given, so it should be a stored table.
     """
+    source = fact
     for look in sorted(lookups, key=lambda x: not x.fits):
         drop = look.on_missing == "drop"
-        fact = _join(fact, look, row_id, "inner" if drop else "left")
+        fact = _join(fact, look, row_id, "inner" if drop else "left", source)
         found: Column = F.col(look._found)
         if not drop:
             found = F.coalesce(found, F.lit(UNKNOWN_KEY))
@@ -91,8 +94,9 @@ def unmatched_rows(
     fact: DataFrame, lookups: Sequence[KeyLookup], row_id: str | Sequence[str]
 ) -> DataFrame:
     """Rows of ``fact`` each lookup does not match, all counted in one pass."""
+    source = fact
     for look in lookups:
-        fact = _join(fact, look, row_id, "left")
+        fact = _join(fact, look, row_id, "left", source)
     counts = [
         F.struct(
             F.lit(look.name).alias("Lookup"),

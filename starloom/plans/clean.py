@@ -89,7 +89,9 @@ def client_clean(
         "_known", F.lit(True)
     )
     joined = clients.join(chosen, "client_id", "left")
-    joined = lookup_join(joined, known, "district_id", "left", row_id="client_id")
+    joined = lookup_join(
+        joined, known, "district_id", "left", row_id="client_id", measure=client
+    )
     return joined.select(
         F.col("client_id").alias("ClientID"),
         F.when(F.col("_known"), F.col("district_id"))
@@ -112,7 +114,9 @@ def loan_clean(loan: DataFrame, accounts: DataFrame) -> DataFrame:
     district = accounts.select(
         F.col("AccountID").alias("account_id"), F.col("DistrictID").alias("_district")
     )
-    joined = lookup_join(latest, district, "account_id", "left", row_id="loan_id")
+    joined = lookup_join(
+        latest, district, "account_id", "left", row_id="loan_id", measure=loan
+    )
     return joined.select(
         F.col("loan_id").alias("LoanID"),
         F.col("account_id").alias("AccountID"),
@@ -142,7 +146,9 @@ def transaction_clean(trans: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("account_id").isNotNull() & F.col("date").isNotNull() & F.col("amount").isNotNull()
     )
     district = accounts.select(F.col("AccountID").alias("account_id"), "DistrictID")
-    joined = lookup_join(latest, district, "account_id", "inner", row_id="trans_id")
+    joined = lookup_join(
+        latest, district, "account_id", "inner", row_id="trans_id", measure=trans
+    )
     types = [c for c, *_ in K.TRANSACTION_TYPE if c != K.UNKNOWN_CODE]
     return joined.select(
         F.col("trans_id").alias("TransactionID"),

@@ -185,7 +185,10 @@ def rebuild_loans(loan: DataFrame, account: DataFrame, dims: Dims) -> DataFrame:
         ),
     ]
     keyed = resolve_keys(prepare_loans(loan), lookups, row_id="LoanID")
-    placed = lookup_join(keyed, account_map(account, dims), "AccountID", "left", row_id="LoanID")
+    placed = lookup_join(
+        keyed, stage_table(account_map(account, dims), "account_map"), "AccountID", "left",
+        row_id="LoanID", measure=loan.select(F.col("account_id").alias("AccountID")),
+    )
     rows = placed.withColumn(
         "ProblemLoanCount", F.when(F.col("ProblemFlag"), 1).otherwise(0)
     ).withColumns(
@@ -221,7 +224,9 @@ def append_transactions(
     nothing up and appends nothing, and the fact's ids are read a single time.
     ``increment`` says the transactions are few next to the fact.
     """
-    fresh = stage_table(new_rows(transactions, target, "TransactionID", increment), "fresh")
+    fresh = transactions
+    if not target.isEmpty():
+        fresh = stage_table(new_rows(transactions, target, "TransactionID", increment), "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
         load.rows, "TransactionID", "TransactionKey", max_key(target, "TransactionKey") + 1,

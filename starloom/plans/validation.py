@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import constants as K
@@ -79,10 +79,16 @@ def client_dispositions(client: DataFrame, disp: DataFrame, n: int = 20) -> Data
     """The first ``n`` client rows with their dispositions.
 
     A client has at least one row, so the first ``n`` rows belong to the first
-    ``n`` clients; only their dispositions are joined.
+    ``n`` clients, and none of them can show more than ``n`` dispositions; only
+    those few rows are joined, however many a client has.
     """
     first = client.orderBy("client_id").limit(n)
-    theirs = disp.join(F.broadcast(first.select("client_id")), "client_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("client_id").orderBy("disp_id"))
+    theirs = (
+        disp.join(F.broadcast(first.select("client_id")), "client_id", "left_semi")
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= n)
+    )
     return (
         first.join(theirs, "client_id", "left")
         .select(

@@ -58,6 +58,28 @@ def test_hot_keys_are_sliced_without_changing_the_result(spark, rows, monkeypatc
     assert rows(sliced, "id", "k", "v") == rows(fact.join(dim, "k", how), "id", "k", "v")
 
 
+def test_hot_keys_may_be_measured_elsewhere(spark, rows, monkeypatch):
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a: False)
+    fact = spark.range(900).select("id", F.when(F.col("id") < 300, 7).otherwise(F.col("id")).alias("k"))
+    dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    stored = spark.range(2000).select((F.col("id") % 2 + 6).alias("k"))
+    sliced = joins.lookup_join(fact, dim, "k", "inner", "id", measure=stored, slice_rows=100)
+    assert "_salt" in sliced._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(sliced, "id", "k", "v") == rows(fact.join(dim, "k"), "id", "k", "v")
+
+
+def test_lookups_of_large_dimensions_with_a_hot_key(spark, rows, monkeypatch):
+    from starloom.operators import lookup
+
+    monkeypatch.setattr(joins, "SLICE_ROWS", 50)
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a: False)
+    fact = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("acc"))
+    dim = spark.range(-10, 500).select(F.col("id").alias("AccID"), (F.col("id") + 100).alias("AccKey"))
+    look = O.KeyLookup(dim, "acc", "AccID", "AccKey")
+    expected = sorted(((i, 95 if i % 3 == 0 else (i + 100 if i < 500 else 0)) for i in range(600)), key=repr)
+    assert rows(O.resolve_keys(fact, [look], "id"), "id", "AccKey") == expected
+
+
 def test_no_hot_keys_in_an_even_table(spark):
     assert joins.hot_keys(spark.range(5000).withColumn("k", F.col("id")), "k", 100) is None
 
