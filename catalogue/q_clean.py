@@ -9,6 +9,7 @@ from catalogue.bank import Bank
 from catalogue.checks import key, latest
 from catalogue.registry import query
 from catalogue.roles import OBSERVED_TO, SOURCE_SYSTEM, role, table
+from starloom import constants as K
 from starloom.functions import (
     age_band,
     century_timestamp,
@@ -22,13 +23,13 @@ from starloom.functions import (
     year_diff,
     year_month_label,
 )
-from starloom.operators import latest_per_key
+from starloom.operators import latest_per_key, lookup_join
 from starloom.plans import clean, dims
 
 
 @query("""SELECT * FROM lineitem
           QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-              ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) = 1""")
+              ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) = 1""", name="latest_per_key")
 def latest_line(spark, sf_dir):
     return latest_per_key(
         table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate",
@@ -38,7 +39,7 @@ def latest_line(spark, sf_dir):
 
 @query("""SELECT * FROM disp WHERE client_id IS NOT NULL
           QUALIFY row_number() OVER (PARTITION BY client_id
-              ORDER BY CASE WHEN upper(trim(type)) = 'OWNER' THEN 1 ELSE 2 END, disp_id) = 1""")
+              ORDER BY CASE WHEN upper(trim(type)) = 'OWNER' THEN 1 ELSE 2 END, disp_id) = 1""", name="preferred_per_key")
 def preferred_disposition(spark, sf_dir):
     return clean.preferred_disposition(role(spark, sf_dir, "disp"))
 
@@ -50,7 +51,7 @@ def latest_transaction(spark, sf_dir):
 
 
 @query("""SELECT district_id, coalesce(nullif(trim(district_name), ''), 'Unknown') AS DistrictName,
-                 coalesce(nullif(trim(region_name), ''), 'Unknown') AS RegionName FROM district""")
+                 coalesce(nullif(trim(region_name), ''), 'Unknown') AS RegionName FROM district""", name="clean_text")
 def clean_district_names(spark, sf_dir):
     return role(spark, sf_dir, "district").select(
         "district_id",
@@ -62,7 +63,7 @@ def clean_district_names(spark, sf_dir):
 @query(f"""SELECT CASE WHEN date IS NULL THEN 'Unknown' WHEN 2004 - year(date) BETWEEN 1 AND 4 THEN '1-4 Years'
                       WHEN 2004 - year(date) BETWEEN 5 AND 9 THEN '5-9 Years' ELSE 'Other' END AS LoanAgeGroup,
                   CAST(2004 - year(date) AS INTEGER) AS LoanAgeYears, count(*) AS NumberOfLoans
-           FROM loan GROUP BY ALL""")
+           FROM loan GROUP BY ALL""", name="band_groups")
 def age_bands(spark, sf_dir):
     return (
         role(spark, sf_dir, "loan")
@@ -94,7 +95,7 @@ def year_fallback(spark, sf_dir):
 
 
 @query(f"""SELECT loan_id, coalesce({key('date')}, 19000101) AS LoanDateKey,
-                  coalesce(strftime(date, '%Y-%m'), 'none') AS LoanMonth FROM loan""")
+                  coalesce(strftime(date, '%Y-%m'), 'none') AS LoanMonth FROM loan""", name="date_key")
 def date_keys(spark, sf_dir):
     return role(spark, sf_dir, "loan").select(
         "loan_id",
@@ -106,7 +107,7 @@ def date_keys(spark, sf_dir):
 
 
 @query("""SELECT event_id, CASE WHEN event_type <> 'error'
-                               THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS issued FROM events""")
+                               THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS issued FROM events""", name="parse_century_timestamp")
 def century_timestamps(spark, sf_dir):
     text = F.col("ts").cast("string")
     part = [F.substring(text, a, 2) for a in (3, 6, 9)]
@@ -126,7 +127,7 @@ def century_timestamps(spark, sf_dir):
                  CAST(month(day) AS INTEGER) AS MonthNumber, monthname(day) AS MonthName,
                  CAST(quarter(day) AS INTEGER) AS Quarter, CAST(year(day) AS INTEGER) AS Year,
                  strftime(day, '%m') AS YearMonth, coalesce(n, 0) AS Orders
-          FROM d LEFT JOIN n ON n.o_orderdate = d.day""")
+          FROM d LEFT JOIN n ON n.o_orderdate = d.day""", name="calendar")
 def calendar_of_orders(spark, sf_dir):
     """The calendar from the first to the last order, with the orders of each day."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
@@ -156,6 +157,19 @@ def client_clean(spark, sf_dir):
     return clean.client_clean(bank.stg("client"), bank.stg("disp"), bank.district_clean, OBSERVED_TO)
 
 
+@query("""SELECT client_id, CASE WHEN district_id IN (SELECT district_id FROM district) THEN district_id ELSE -1 END
+                     AS DistrictID FROM client""")
+def invalid_reference_default(spark, sf_dir):
+    """A reference to a district that does not exist becomes the unknown id."""
+    client = role(spark, sf_dir, "client").select("client_id", "district_id")
+    known = role(spark, sf_dir, "district").select("district_id", F.lit(True).alias("known"))
+    joined = lookup_join(client, known, "district_id", "left", row_id="client_id")
+    return joined.select(
+        "client_id",
+        F.when(F.col("known"), F.col("district_id")).otherwise(F.lit(K.UNKNOWN_ID)).alias("DistrictID"),
+    )
+
+
 @query("SELECT * FROM loan_clean")
 def loan_clean(spark, sf_dir):
     bank = Bank(spark, sf_dir)

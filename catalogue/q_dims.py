@@ -159,7 +159,7 @@ def _earlier_accounts(bank: Bank):
            SELECT (SELECT max(AccountKey) FROM old) + row_number() OVER (ORDER BY AccountID), AccountID,
                   AccountOpenDateKey, StatementFrequency, AccountAgeGroup, SourceSystem, AccountOpenDate,
                   DATE '9999-12-31', true, 'inserted'
-           FROM account_clean WHERE AccountID NOT IN (SELECT AccountID FROM cur)""")
+           FROM account_clean WHERE AccountID NOT IN (SELECT AccountID FROM cur)""", name="upsert_current")
 def upsert_current_accounts(spark, sf_dir):
     bank = Bank(spark, sf_dir)
     return dims.load_account(_earlier_accounts(bank), bank.account_clean)
@@ -213,7 +213,7 @@ STATISTICS = """SELECT count(*) AS TotalDimDistrictRows,
           FROM dim_district"""
 
 
-@query(STATISTICS)
+@query(STATISTICS, name="dimension_stats")
 def district_statistics(spark, sf_dir):
     return validation.district_statistics(Bank(spark, sf_dir).dim_district)
 
@@ -230,6 +230,28 @@ def constant_lookup(spark, sf_dir):
     return bank.dim_loan_status.join(used, "LoanStatusCode", "left").fillna(0, ["Loans"])
 
 
+@query("""SELECT v.*, coalesce(n.n, 0) AS Transactions FROM type_values v
+          LEFT JOIN (SELECT TransactionTypeCode, count(*) AS n FROM transaction_clean GROUP BY 1) n
+          USING (TransactionTypeCode)""")
+def transaction_type_lookup(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+    used = bank.transaction_clean.groupBy("TransactionTypeCode").agg(
+        F.count("*").alias("Transactions")
+    )
+    return bank.dim_transaction_type.join(used, "TransactionTypeCode", "left").fillna(
+        0, ["Transactions"]
+    )
+
+
+@query("""SELECT v.*, coalesce(n.n, 0) AS Transactions FROM operation_values v
+          LEFT JOIN (SELECT OperationCode, count(*) AS n FROM transaction_clean GROUP BY 1) n
+          USING (OperationCode)""")
+def operation_lookup(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+    used = bank.transaction_clean.groupBy("OperationCode").agg(F.count("*").alias("Transactions"))
+    return bank.dim_operation.join(used, "OperationCode", "left").fillna(0, ["Transactions"])
+
+
 @query("""SELECT CASE LoanStatusCode WHEN 'UNKNOWN' THEN 0 WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3
                      WHEN 'D' THEN 4 ELSE 5 END AS StatusRank, LoanStatusCode, count(*) AS Loans
           FROM (SELECT coalesce(nullif(upper(trim(status)), ''), 'UNKNOWN') AS LoanStatusCode FROM loan)
@@ -264,7 +286,7 @@ def _status_dim(spark, sf_dir):
     )
 
 
-@query(STATUS_FROM_CODES)
+@query(STATUS_FROM_CODES, name="lookup_from_codes")
 def loan_status_from_codes(spark, sf_dir):
     return _status_dim(spark, sf_dir)
 
@@ -308,7 +330,7 @@ def operation_from_codes(spark, sf_dir):
                   coalesce(v.LoanStatusGroup, 'Unknown') AS LoanStatusGroup,
                   coalesce(v.ProblemFlag, false) AS ProblemFlag, count(*) AS LoanCount,
                   {sum2('l.amount')} AS TotalLoanAmount
-           FROM loan l LEFT JOIN status_values v ON v.LoanStatusCode = {norm('l.status')} GROUP BY ALL""")
+           FROM loan l LEFT JOIN status_values v ON v.LoanStatusCode = {norm('l.status')} GROUP BY ALL""", name="mapping_coverage")
 def loan_status_coverage(spark, sf_dir):
     return validation.mapping_coverage(
         role(spark, sf_dir, "loan"), "status", Bank(spark, sf_dir).dim_loan_status,
@@ -333,7 +355,7 @@ def operation_coverage(spark, sf_dir):
 
 
 @query(f"""SELECT DISTINCT operation AS UnmappedOperation FROM trans
-           WHERE {norm('operation')} NOT IN (SELECT OperationCode FROM operation_values)""")
+           WHERE {norm('operation')} NOT IN (SELECT OperationCode FROM operation_values)""", name="unmapped_values")
 def unmapped_operations(spark, sf_dir):
     return validation.unmapped_values(
         role(spark, sf_dir, "trans"), "operation", Bank(spark, sf_dir).dim_operation,

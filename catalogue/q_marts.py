@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from catalogue.bank import Bank
 from catalogue.checks import big, mean2, norm, signed_case, sum2
 from catalogue.registry import query
-from catalogue.roles import role
+from catalogue.roles import OBSERVED_TO, RUN_TS, SOURCE_SYSTEM, role, table
 from starloom.functions import date_key, inflow, money, norm_code, outflow, signed
 from starloom.operators import Reference, broken_references, check_rules
 from starloom.plans import dims, marts, validation
+from starloom.plans.warehouse import Warehouse
+from starloom.session import new_path
 
 
 @query(f"""SELECT CAST(year(date) AS INTEGER) AS Year, CAST(month(date) AS INTEGER) AS MonthNumber,
@@ -84,12 +86,30 @@ STAGES = [(label, a, b) for label, a, b in validation.STAGE_CHECKS]
 _NAMES = {"FactLoan": "fact_loan", "FactTransaction": "fact_transaction"}
 
 
-@query("SELECT ValidationCheck, SourceRows, TargetRows, CASE WHEN SourceRows = TargetRows THEN 'PASS' "
-       "ELSE 'FAIL' END AS ValidationStatus FROM ("
-       + " UNION ALL ".join(
-           f"SELECT '{label}' AS ValidationCheck, (SELECT count(*) FROM {_NAMES.get(a, a)}) AS SourceRows, "
-           f"(SELECT count(*) FROM {_NAMES.get(b, b)}) AS TargetRows"
-           for label, a, b in STAGES) + ")")
+_STAGE_COUNTS = (
+    "SELECT ValidationCheck, SourceRows, TargetRows, CASE WHEN SourceRows = TargetRows THEN 'PASS' "
+    "ELSE 'FAIL' END AS ValidationStatus FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{label}' AS ValidationCheck, (SELECT count(*) FROM {_NAMES.get(a, a)}) AS SourceRows, "
+        f"(SELECT count(*) FROM {_NAMES.get(b, b)}) AS TargetRows"
+        for label, a, b in STAGES)
+    + ")"
+)
+
+
+@query(_STAGE_COUNTS)
+def whole_load(spark, sf_dir):
+    """All stages by the runner, published as tables; its row-count report."""
+    names = ["account", "client", "disp", "district", "loan", "trans", "card"]
+    sources = {name: role(spark, sf_dir, name) for name in names}
+    sources["order"] = table(spark, sf_dir, "orders")
+    warehouse = Warehouse(
+        spark, new_path(spark, "warehouse"), SOURCE_SYSTEM, observed_to=OBSERVED_TO
+    )
+    return warehouse.run(sources, RUN_TS)["row_counts"]
+
+
+@query(_STAGE_COUNTS)
 def stage_row_counts(spark, sf_dir):
     bank = Bank(spark, sf_dir)
     return validation.stage_row_counts(
@@ -106,9 +126,9 @@ def stage_row_counts(spark, sf_dir):
     )
 
 
-def _integrity(fact: str, table: str, key: str, dim: str) -> str:
+def _integrity(fact: str, rows: str, key: str, dim: str) -> str:
     return (
-        f"SELECT '{fact} invalid {key}' AS ValidationCheck, count(*) AS InvalidRows FROM {table} f "
+        f"SELECT '{fact} invalid {key}' AS ValidationCheck, count(*) AS InvalidRows FROM {rows} f "
         f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{key})"
     )
 

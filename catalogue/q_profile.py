@@ -20,12 +20,12 @@ from starloom.operators import (
 from starloom.plans import validation
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS TableName, count(*) AS NumberOfRows FROM {t}" for t in TABLES))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS TableName, count(*) AS NumberOfRows FROM {t}" for t in TABLES), name="row_count_sheet")
 def row_count_sheet_all(spark, sf_dir):
     return row_count_sheet({t: table(spark, sf_dir, t) for t in TABLES})
 
 
-@query("SELECT frequency, count(*) AS NumberOfAccounts FROM account GROUP BY frequency")
+@query("SELECT frequency, count(*) AS NumberOfAccounts FROM account GROUP BY frequency", name="value_frequency")
 def frequency_values(spark, sf_dir):
     return value_frequency(role(spark, sf_dir, "account"), "frequency", "NumberOfAccounts")
 
@@ -51,7 +51,7 @@ def amount_by_status(spark, sf_dir):
 
 
 @query("""SELECT l_orderkey, l_linenumber, count(*) AS DuplicateCount FROM lineitem
-          GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+          GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""", name="duplicate_keys")
 def duplicate_line_keys(spark, sf_dir):
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -82,7 +82,7 @@ def missing_in_account(spark, sf_dir):
                  count(*) - count(amount) AS MissingAmounts, count(*) - count(balance) AS MissingBalances,
                  count(*) - count(nullif(trim(type), '')) AS MissingTypes,
                  count(*) - count(nullif(trim(operation), '')) AS MissingOperations
-          FROM trans""")
+          FROM trans""", name="missing_profile")
 def missing_in_transactions(spark, sf_dir):
     return validation.missing_in_transactions(role(spark, sf_dir, "trans"))
 
@@ -162,7 +162,7 @@ def signed_measures(spark, sf_dir):
 
 
 @query("""SELECT count(*) AS InvalidAccountReferences FROM trans t
-          WHERE NOT EXISTS (SELECT 1 FROM account a WHERE a.account_id = t.account_id)""")
+          WHERE NOT EXISTS (SELECT 1 FROM account a WHERE a.account_id = t.account_id)""", name="orphan_count")
 def orphan_transactions(spark, sf_dir):
     return orphan_count(
         role(spark, sf_dir, "trans"), "account_id", role(spark, sf_dir, "account"), "account_id",
@@ -190,7 +190,7 @@ def clients_without_valid_district(spark, sf_dir):
 
 @query("""SELECT c.client_id, c.birth_number, c.district_id, d.disp_id, d.account_id, d.type AS ClientRole
           FROM client c LEFT JOIN disp d ON d.client_id = c.client_id
-          ORDER BY c.client_id, d.disp_id NULLS FIRST LIMIT 20""")
+          ORDER BY c.client_id, d.disp_id NULLS FIRST LIMIT 20""", name="client_disposition")
 def client_dispositions(spark, sf_dir):
     return validation.client_dispositions(
         role(spark, sf_dir, "client"), role(spark, sf_dir, "disp")

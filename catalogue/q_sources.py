@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from catalogue.registry import query
 from catalogue.roles import RUN_TS, role, table
 from starloom import schemas as S
-from starloom.operators import require_unique
+from starloom.operators import require_unique, row_count_sheet
 from starloom.plans import dims
 from starloom.session import new_path
 from starloom.sources import (
@@ -32,6 +32,21 @@ def staged_copy(spark, sf_dir):
     return extract(table(spark, sf_dir, "orders"), new_path(spark, "orders"), RUN_TS)
 
 
+_STAGED = ["account", "client", "disp", "district", "loan", "trans", "card"]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{n}' AS TableName, count(*) AS NumberOfRows FROM {n}" for n in _STAGED)
+    + " UNION ALL SELECT 'order', count(*) FROM orders")
+def staged_tables(spark, sf_dir):
+    """Every source extracted in full; the sheet counts the staged copies."""
+    sources = {n: role(spark, sf_dir, n) for n in _STAGED}
+    sources["order"] = table(spark, sf_dir, "orders")
+    return row_count_sheet(
+        {n: extract(df, new_path(spark, n), RUN_TS) for n, df in sources.items()}
+    )
+
+
 @query("SELECT * FROM account")
 def csv_round_trip(spark, sf_dir):
     """Accounts written as delimited text and read with a declared schema."""
@@ -96,7 +111,7 @@ def publish_snapshot(spark, sf_dir):
     return published.publish(parts, expected_rows=parts.count())
 
 
-@query()
+@query(name="sample_rows")
 def sample_of_lines(spark, sf_dir):
     """Any five lines; which ones is not defined, so there is nothing to compare."""
     return sample_rows(table(spark, sf_dir, "lineitem"))

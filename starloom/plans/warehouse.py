@@ -17,7 +17,6 @@ from starloom import schemas as S
 from starloom.operators import action_counts
 from starloom.operators.upsert import ACTION
 from starloom.plans import clean, dims, facts, marts, validation
-from starloom.session import stage_table
 from starloom.sources import SnapshotTable, with_audit
 
 DIMENSIONS = [
@@ -65,10 +64,13 @@ class Warehouse:
         return table.read() if table.exists() else dims.new_dimensions(self.spark)[name]
 
     def _publish_load(self, layer: str, name: str, result: DataFrame) -> None:
-        """Publish an upsert's rows; keep its counts from the same written rows."""
-        written = stage_table(result, name)
-        self.actions[name] = action_counts(written)
-        self.table(layer, name).publish(written.drop(ACTION), written.count())
+        """Publish an upsert's rows.
+
+        The upsert has written its merged rows already, so counting what it did
+        and how many rows to expect reads one column of them.
+        """
+        self.actions[name] = action_counts(result)
+        self.table(layer, name).publish(result.drop(ACTION), result.count())
 
     # --- stages ---
 

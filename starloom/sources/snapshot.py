@@ -8,16 +8,18 @@ previous one in place.  One writer per table at a time.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.schemas import _schema
 
-_VERSION = _schema("version long, path text, rows long")
+_VERSION = _schema("version long, path text, rows long, schema text")
 
 
 class PublishError(RuntimeError):
@@ -35,7 +37,7 @@ class SnapshotTable:
     def versions(self) -> DataFrame:
         return self.spark.read.schema(_VERSION).parquet(f"{self.root}/versions")
 
-    def _latest(self):
+    def _latest(self) -> Row | None:
         try:
             return self.versions().orderBy(F.desc("version")).first()
         except AnalysisException as missing:
@@ -47,10 +49,14 @@ class SnapshotTable:
         return self._latest() is not None
 
     def read(self) -> DataFrame:
+        """The table as published, under the schema it was published with."""
         latest = self._latest()
         if latest is None:
             raise FileNotFoundError(f"nothing published at {self.root}")
-        return self.spark.read.parquet(latest["path"])
+        return self._open(latest["path"], T.StructType.fromJson(json.loads(latest["schema"])))
+
+    def _open(self, path: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(path)
 
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
         if self.partition_by:
@@ -64,16 +70,15 @@ class SnapshotTable:
         version = (latest["version"] if latest else 0) + 1
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         self._write(df, path, "errorifexists")
-        written = self.spark.read.schema(df.schema).parquet(path)
+        written = self._open(path, df.schema)
         rows = written.count()
         if expected_rows is not None and rows != expected_rows:
             raise PublishError(f"{self.root}: wrote {rows} rows, expected {expected_rows}")
-        self.spark.createDataFrame([(version, path, rows)], _VERSION).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/versions")
-        if self.versions().filter(F.col("version") == version).count() != 1:
-            raise PublishError(f"{self.root}: version {version} was published twice")
-        return self.read()
+        entry = {"version": version, "path": path, "rows": rows, "schema": df.schema.json()}
+        self.spark.range(1, numPartitions=1).select(
+            *[F.lit(entry[f.name]).cast(f.dataType).alias(f.name) for f in _VERSION.fields]
+        ).write.mode("append").parquet(f"{self.root}/versions")
+        return written
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the current snapshot."""
