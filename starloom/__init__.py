@@ -9,6 +9,6 @@ The package is layered the way a load runs:
 * ``streaming``  incremental delivery of the fact append
 """
 
-from starloom.session import build_session, stage_table
+from starloom.session import build_session, sized_for, stage_table
 
-__all__ = ["build_session", "stage_table"]
+__all__ = ["build_session", "sized_for", "stage_table"]

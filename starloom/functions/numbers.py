@@ -46,8 +46,13 @@ def first_number(convert, *columns: Column | str) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column, kind: str = "decimal(18,2)") -> Column:
-    """``numerator / denominator`` at a fixed scale; NULL when the denominator is 0."""
-    return (numerator / F.nullif(denominator, F.lit(0).cast("bigint"))).cast(kind)
+    """``numerator / denominator`` at a fixed scale; NULL when the denominator is 0.
+
+    The numerator is held at 28 digits, which leaves the quotient 12 decimals,
+    so rounding it to ``kind`` is not rounding a rounded number.
+    """
+    quotient = numerator.cast("decimal(28,2)") / F.nullif(denominator, F.lit(0).cast("bigint"))
+    return quotient.cast(kind)
 
 
 def inflow(type_: Column | str, amount: Column | str) -> Column:

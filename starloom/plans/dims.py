@@ -80,7 +80,8 @@ def dim_date(
     if calendar_days(start, end) > K.CALENDAR_ROWS:
         raise ValueError(f"a calendar has at most {K.CALENDAR_ROWS} days")
     day = F.col("FullDate")
-    days = spark.range(calendar_days(start, end)).select(
+    # a bounded number of rows: one file, one task
+    days = spark.range(0, calendar_days(start, end), numPartitions=1).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("FullDate")
     )
     return days.select(

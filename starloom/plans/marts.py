@@ -39,7 +39,7 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
             total("InflowAmount").alias("TotalInflow"),
             total("OutflowAmount").alias("TotalOutflow"),
             total("SignedAmount").alias("NetCashFlow"),
-            ratio(total("TransactionAmount"), F.sum("n")).alias("AverageTransactionAmount"),
+            ratio(F.sum("TransactionAmount"), F.sum("n")).alias("AverageTransactionAmount"),
         )
     )
     active = (
@@ -118,7 +118,7 @@ def loans_by_status(fact: DataFrame, statuses: DataFrame) -> DataFrame:
     summed = fact.groupBy("LoanStatusKey").agg(
         F.sum("LoanCount").alias("LoanCount"),
         total("LoanAmount").alias("TotalLoanAmount"),
-        F.avg("LoanAmount").cast("decimal(18,2)").alias("AverageLoanAmount"),
+        ratio(F.sum("LoanAmount"), F.count("LoanAmount")).alias("AverageLoanAmount"),
         total("ExpectedPaymentAmount").alias("TotalExpectedPaymentAmount"),
         F.sum("ProblemLoanCount").alias("ProblemLoanCount"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom import constants as K
 from starloom.constants import CALENDAR_ROWS
-from starloom.functions import norm_code, total
+from starloom.functions import norm_code, ratio, total
 from starloom.operators import (
     Reference,
     broken_references,
@@ -250,9 +250,7 @@ def district_statistics(dim: DataFrame) -> DataFrame:
         F.count_distinct(when("DistrictID")).alias("DistinctSourceDistricts"),
         F.min(when("Population")).alias("MinimumPopulation"),
         F.max(when("Population")).alias("MaximumPopulation"),
-        F.avg(F.col("AverageSalary").cast("decimal(18,2)"))
-        .cast("decimal(18,2)")
-        .alias("OverallAverageSalary"),
+        ratio(F.sum("AverageSalary"), F.count("AverageSalary")).alias("OverallAverageSalary"),
         missing("Population").alias("MissingPopulation"),
         missing("AverageSalary").alias("MissingAverageSalary"),
         missing("UnemploymentMeasure").alias("MissingUnemployment"),

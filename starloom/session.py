@@ -13,11 +13,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a load of this many bytes.
+
+    Shuffles start at about 128 MB a partition, which a task sorts in memory;
+    AQE joins those that turn out small.  Scans of very large inputs use larger
+    splits, to keep the number of tasks in the hundred thousands.
+    """
+    mb = 1024 * 1024
+    partitions = min(max(-(-input_bytes // (128 * mb)), 8), 200_000)
+    split = 128 if input_bytes < 10 * mb * mb else 512
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    }
+
+
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are written for.
 
     Skewed shuffle partitions are split at run time by AQE; ``conf`` entries
-    override or add settings (pass dotted names through a dict: ``**{...}``).
+    override or add settings (pass dotted names through a dict: ``**{...}``;
+    ``**sized_for(bytes)`` sets the partition sizes).
     """
     builder = SparkSession.builder.appName(app)
     if master:

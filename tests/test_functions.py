@@ -101,6 +101,11 @@ def test_ratio_is_null_for_zero(spark):
     assert one(spark, value, 0, "bigint") is None
 
 
+def test_ratio_rounds_once(spark):
+    # 0.004999999: rounding to six digits first would give 0.005 and then 0.01
+    assert one(spark, ratio(F.lit(Decimal("4999999.00")), F.col("x")), 10**9, "bigint") == 0
+
+
 @pytest.mark.parametrize(
     "kind, measures",
     [(" prijem", (5, 0, 5)), ("VYDAJ", (0, 5, -5)), ("vyber ", (0, 5, -5)), ("x", (0, 0, 0)), (None, (0, 0, 0))],

@@ -125,3 +125,10 @@ def test_stream_replay_adds_nothing(spark, tmp_path, rows):
     assert rows(table.read()) == [(i,) for i in range(9)]
     run("b")
     assert rows(table.read()) == [(i,) for i in range(9)]
+
+
+def test_partition_settings_follow_the_input():
+    small, large = session.sized_for(10**9), session.sized_for(10**14)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert large["spark.sql.shuffle.partitions"] == "200000"
+    assert large["spark.sql.files.maxPartitionBytes"] == "512m"
