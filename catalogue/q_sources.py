@@ -10,6 +10,7 @@ from catalogue.roles import RUN_TS, role, table
 from starloom import schemas as S
 from starloom.operators import require_unique, row_count_sheet
 from starloom.plans import dims
+from starloom.plans.rebuild import rebuild
 from starloom.session import new_path
 from starloom.sources import (
     SnapshotTable,
@@ -111,6 +112,14 @@ def publish_snapshot(spark, sf_dir):
     return published.publish(parts, expected_rows=parts.count())
 
 
+@query("SELECT * FROM disp")
+def gated_rebuild(spark, sf_dir):
+    """Dispositions rebuilt under a unique key: gate, copy, count, switch."""
+    return rebuild(
+        SnapshotTable(spark, new_path(spark, "disp")), role(spark, sf_dir, "disp"), "disp_id"
+    )
+
+
 @query(name="sample_rows")
 def sample_of_lines(spark, sf_dir):
     """Any five lines; which ones is not defined, so there is nothing to compare."""

@@ -82,6 +82,19 @@ def test_publish_keeps_the_old_table_when_counts_differ(spark, rows):
     assert rows(table.read()) == [(0,)] and table.versions().count() == 2
 
 
+def test_rebuild_is_gated(spark, rows):
+    from starloom.operators import LoadGateError
+    from starloom.plans.rebuild import rebuild
+
+    table = SnapshotTable(spark, new_path(spark, "disp"))
+    rebuild(table, spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), "id")
+    with pytest.raises(LoadGateError, match="NULL"):
+        rebuild(table, spark.createDataFrame([(None, "x")], "id int, v string"), "id")
+    with pytest.raises(LoadGateError, match="duplicate"):
+        rebuild(table, spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string"), "id")
+    assert rows(table.read()) == [(1, "a"), (2, "b")]
+
+
 def test_partitioned_append(spark):
     table = SnapshotTable(spark, new_path(spark, "t"), ["y"])
     rows = spark.range(100).withColumn("y", (F.col("id") % 2).cast("int"))
