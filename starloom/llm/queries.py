@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontaminate, language, simhash, toxicity
+from starloom.llm import (
+    bpe,
+    decontaminate,
+    html,
+    language,
+    simhash,
+    tokenbin,
+    tokencount,
+    topk,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +41,46 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
+@query(OP1_SQL)
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every vector whose id is divisible by 100."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (
+  SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)
+"""
+
+
+@query(OP2_SQL)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages")).drop("archive", "offset")
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3_SQL = rf"""
@@ -66,6 +117,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 @query()
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document."""
@@ -73,6 +130,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to token files and read back."""
+    return tokenbin.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
@@ -80,6 +143,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query()
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate components of every document."""
