@@ -279,7 +279,7 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .mapInArrow(_spans(lengths), schema)
         .withColumn("size", F.split("key", ":")[0].cast("int"))
         .where(F.when(F.col("size") < WINDOW, F.col("n") == F.col("size")).otherwise(F.col("n") == WINDOW))
-        .withColumn("item", F.split("key", ":")[1])
+        .withColumn("item", F.get(F.split("key", ":"), F.lit(1)))
     )
     windows = (
         item_spans.select(F.explode("words").alias("window"), "item").groupBy("window")

@@ -98,8 +98,8 @@ class Counter:
         a space leaves it out, so its begin is read as it is inside the text.
         """
         first = begin + (begin > 0 and text[begin] == " ")
-        found = self._model.encode_as_immutable_proto(text[first:end])
-        return Chunk(begin, end, np.array([p.end for p in found.pieces], np.int64) + first)
+        found = self._model.encode(text[first:end], out_type="offset_mapping")["offsets"]
+        return Chunk(begin, end, np.array([last for _, last in found], np.int64) + first)
 
     def common(self, text: str, left: Chunk, right: Chunk) -> int | None:
         """The last safe border in the overlap that both chunks have.
