@@ -57,7 +57,9 @@ class Bank:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.spark)
+        """The calendar of the years in which there are loans or transactions."""
+        days = dims.calendar_range([(self.stg("loan"), "date"), (self.stg("trans"), "date")])
+        return stage_table(dims.dim_date(self.spark, *days))
 
     @cached_property
     def dim_district(self) -> DataFrame:
@@ -71,6 +73,12 @@ class Bank:
             dims.load_account(self._new["DimAccount"], self.account_clean).drop(ACTION)
         )
 
+    @cached_property
+    def dim_client(self) -> DataFrame:
+        return stage_table(
+            dims.load_client(self._new["DimClient"], self.client_clean, self.dim_district).drop(ACTION)
+        )
+
     def _lookup(self, name: str, values: DataFrame, code: str, key: str) -> DataFrame:
         return stage_table(dims.load_lookup(self._new[name], values, code, key).drop(ACTION))
 

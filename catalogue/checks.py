@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from catalogue.roles import OBSERVED_TO, ROLES, SOURCE_SYSTEM, TABLES
+from starloom import constants as K
 
 STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -45,9 +46,30 @@ def latest(name: str, ident: str, columns: list[str]) -> str:
     )
 
 
-FREQUENCY = """CASE upper(trim(frequency)) WHEN 'POPLATEK MESICNE' THEN 'Monthly'
-    WHEN 'POPLATEK TYDNE' THEN 'Weekly' WHEN 'POPLATEK PO OBRATU' THEN 'After Transaction'
-    ELSE 'Unknown' END"""
+def quoted(x: object) -> str:
+    return str(x).lower() if isinstance(x, (bool, int)) else f"'{x}'"
+
+
+def case_map(x: str, mapping: dict[str, str], other: str) -> str:
+    whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in mapping.items())
+    return f"CASE upper(trim({x})) {whens} ELSE '{other}' END"
+
+
+def numbered(rows: list[tuple], names: str) -> str:
+    """Constant rows with their position as the key, 0 for the unknown member."""
+    values = ", ".join(f"({i}, {', '.join(map(quoted, r))})" for i, r in enumerate(rows))
+    return f"SELECT * FROM (VALUES {values}) AS t({names})"
+
+
+def age_band(start: str, end_year: int) -> str:
+    years = f"{end_year} - year({start})"
+    return (
+        f"CASE WHEN {start} IS NULL THEN 'Unknown' WHEN {years} BETWEEN 1 AND 4 THEN '1-4 Years' "
+        f"WHEN {years} BETWEEN 5 AND 9 THEN '5-9 Years' ELSE 'Other' END"
+    )
+
+
+FREQUENCY = case_map("frequency", K.STATEMENT_FREQUENCY, K.UNKNOWN_TEXT)
 
 CTES = {name: text.format(**{t: t for t in [*TABLES, *ROLES]}) for name, text in ROLES.items()}
 CTES |= {
@@ -56,10 +78,7 @@ CTES |= {
                {FREQUENCY} AS StatementFrequency, date AS AccountOpenDate,
                coalesce({key('date')}, 19000101) AS AccountOpenDateKey,
                CAST({OBSERVED_TO.year} - year(date) AS INTEGER) AS AccountAgeYears,
-               CASE WHEN date IS NULL THEN 'Unknown'
-                    WHEN {OBSERVED_TO.year} - year(date) IN (1, 2, 3, 4) THEN '1-4 Years'
-                    WHEN {OBSERVED_TO.year} - year(date) IN (5, 6, 7, 8, 9) THEN '5-9 Years'
-                    ELSE 'Other' END AS AccountAgeGroup,
+               {age_band('date', OBSERVED_TO.year)} AS AccountAgeGroup,
                '{SOURCE_SYSTEM}' AS SourceSystem, {STAMP} AS ETL_LoadDateTime
         FROM account""",
     "district_clean": f"""
@@ -78,8 +97,7 @@ CTES |= {
         SELECT c.client_id AS ClientID,
                CASE WHEN c.district_id IN (SELECT DistrictID FROM district_clean)
                     THEN c.district_id ELSE -1 END AS DistrictID,
-               CASE upper(trim(d.type)) WHEN 'OWNER' THEN 'Owner'
-                    WHEN 'DISPONENT' THEN 'Authorized User' ELSE 'Unknown' END AS ClientRole,
+               {case_map('d.type', K.CLIENT_ROLE, K.UNKNOWN_TEXT)} AS ClientRole,
                d.disp_id AS DispositionID, d.account_id AS AccountID, c.birth_number AS BirthDate,
                CAST({OBSERVED_TO.year} - year(c.birth_number) AS INTEGER) AS AgeAtDatasetEnd,
                {STAMP} AS ETL_LoadDateTime
@@ -118,35 +136,25 @@ CTES |= {
         FROM trans_one t JOIN account_clean a ON a.AccountID = t.account_id
         WHERE t.date IS NOT NULL AND t.amount IS NOT NULL""",
     # --- dimensions ---
-    "status_values": """
-        SELECT * FROM (VALUES
-            (0, 'UNKNOWN', 'Unknown Loan Status', 'Unknown', false),
-            (1, 'A', 'Completed Without Repayment Problems', 'Completed', false),
-            (2, 'B', 'Completed With Repayment Problems', 'Completed', true),
-            (3, 'C', 'Active Without Current Repayment Problems', 'Active', false),
-            (4, 'D', 'Active With Current Debt', 'Active', true))
-        AS t(LoanStatusKey, LoanStatusCode, LoanStatusDescription, LoanStatusGroup, ProblemFlag)""",
-    "type_values": """
-        SELECT * FROM (VALUES
-            (0, 'UNKNOWN', 'Unknown Transaction Type', 'Unknown'), (1, 'PRIJEM', 'Credit', 'Incoming'),
-            (2, 'VYBER', 'Withdrawal', 'Outgoing'), (3, 'VYDAJ', 'Debit', 'Outgoing'))
-        AS t(TransactionTypeKey, TransactionTypeCode, TransactionTypeName, CashFlowDirection)""",
-    "operation_values": """
-        SELECT * FROM (VALUES
-            (0, 'UNKNOWN', 'Unknown Operation', 'Unknown'),
-            (1, 'PREVOD NA UCET', 'Outgoing Bank Transfer', 'Bank Transfer'),
-            (2, 'PREVOD Z UCTU', 'Incoming Bank Transfer', 'Bank Transfer'),
-            (3, 'VKLAD', 'Cash Deposit', 'Cash Transaction'),
-            (4, 'VYBER', 'Cash Withdrawal', 'Cash Transaction'),
-            (5, 'VYBER KARTOU', 'Credit Card Withdrawal', 'Card Transaction'))
-        AS t(OperationKey, OperationCode, OperationDescription, OperationGroup)""",
+    "status_values": numbered(
+        [(c, d, g, bool(p)) for c, d, g, p in K.LOAN_STATUS],
+        "LoanStatusKey, LoanStatusCode, LoanStatusDescription, LoanStatusGroup, ProblemFlag"),
+    "type_values": numbered(
+        K.TRANSACTION_TYPE, "TransactionTypeKey, TransactionTypeCode, TransactionTypeName, CashFlowDirection"),
+    "operation_values": numbered(
+        K.OPERATION, "OperationKey, OperationCode, OperationDescription, OperationGroup"),
     "dim_date": f"""
         SELECT {key('d')} AS DateKey, CAST(d AS DATE) AS FullDate, CAST(day(d) AS INTEGER) AS DayNumber,
                dayname(d) AS DayName, CAST(weekofyear(d) AS INTEGER) AS WeekNumber,
                CAST(month(d) AS INTEGER) AS MonthNumber, monthname(d) AS MonthName,
                CAST(quarter(d) AS INTEGER) AS Quarter, CAST(year(d) AS INTEGER) AS Year,
                strftime(d, '%m') AS YearMonth
-        FROM generate_series(TIMESTAMP '1900-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY) AS s(d)""",
+        FROM (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+              FROM calendar_range)""",
+    "calendar_range": """
+        SELECT make_date(least(1900, min(y)), 1, 1) AS a, make_date(greatest(1900, max(y)), 12, 31) AS b
+        FROM (SELECT year(date) AS y FROM loan UNION ALL SELECT year(date) FROM trans)""",
+    "short_date": "SELECT * FROM dim_date WHERE FullDate <= DATE '1998-12-31'",
     "dim_district": """
         SELECT 0 AS DistrictKey, -1 AS DistrictID, 'Unknown' AS DistrictName, 'Unknown' AS RegionName,
                NULL AS Population, NULL AS AverageSalary, CAST(NULL AS DECIMAL(5,2)) AS UnemploymentMeasure,
@@ -164,6 +172,10 @@ CTES |= {
         SELECT row_number() OVER (ORDER BY AccountID), AccountID, AccountOpenDateKey, StatementFrequency,
                AccountAgeGroup, SourceSystem, AccountOpenDate, DATE '9999-12-31', true
         FROM account_clean""",
+    "dim_client": """
+        SELECT row_number() OVER (ORDER BY c.ClientID) AS ClientKey, c.ClientID, d.DistrictKey, c.ClientRole,
+               DATE '2024-01-01' AS EffectiveFrom, DATE '9999-12-31' AS EffectiveTo, true AS IsCurrent
+        FROM client_clean c JOIN dim_district d ON d.DistrictID = c.DistrictID""",
     # --- facts: unmatched rows dropped, or pointed at key 0 ---
     "loan_inner": """
         SELECT l.LoanID, l.LoanDateKey, a.AccountKey, d.DistrictKey, s.LoanStatusKey, l.LoanCount,

@@ -170,13 +170,9 @@ def dim_account(spark, sf_dir):
     return Bank(spark, sf_dir).dim_account
 
 
-@query("""SELECT row_number() OVER (ORDER BY c.ClientID) AS ClientKey, c.ClientID, d.DistrictKey, c.ClientRole,
-                 DATE '2024-01-01' AS EffectiveFrom, DATE '9999-12-31' AS EffectiveTo, true AS IsCurrent
-          FROM client_clean c JOIN dim_district d ON d.DistrictID = c.DistrictID""")
+@query("SELECT * FROM dim_client")
 def dim_client(spark, sf_dir):
-    bank = Bank(spark, sf_dir)
-    empty = spark.createDataFrame([], S.DIM_CLIENT)
-    return dims.load_client(empty, bank.client_clean, bank.dim_district).drop(ACTION)
+    return Bank(spark, sf_dir).dim_client
 
 
 @query("""SELECT 0 AS DistrictKey, -1 AS DistrictID, 'Unknown' AS DistrictName, 'Unknown' AS RegionName,
@@ -370,3 +366,26 @@ def unmapped_loan_status(spark, sf_dir):
         role(spark, sf_dir, "loan"), "status", Bank(spark, sf_dir).dim_loan_status,
         "LoanStatusCode", "UnmappedLoanStatus",
     )
+
+
+@query(f"""SELECT {norm('t.type')} AS SourceType, coalesce(v.TransactionTypeKey, 0) AS TransactionTypeKey,
+                  coalesce(v.TransactionTypeName, 'Unknown Transaction Type') AS TransactionTypeName,
+                  coalesce(v.CashFlowDirection, 'Unknown') AS CashFlowDirection, count(*) AS TransactionCount,
+                  {sum2('t.amount')} AS TotalAmount
+           FROM trans t LEFT JOIN type_values v ON v.TransactionTypeCode = {norm('t.type')} GROUP BY ALL""")
+def transaction_type_coverage(spark, sf_dir):
+    return validation.mapping_coverage(
+        role(spark, sf_dir, "trans"), "type", Bank(spark, sf_dir).dim_transaction_type,
+        "TransactionTypeCode", "TransactionTypeKey",
+        {"TransactionTypeName": "Unknown Transaction Type", "CashFlowDirection": "Unknown"},
+        "TransactionCount", "SourceType", "amount",
+    )
+
+
+@query(f"""SELECT DISTINCT type AS UnmappedType FROM trans
+           WHERE {norm('type')} NOT IN (SELECT TransactionTypeCode FROM type_values)""")
+def unmapped_transaction_types(spark, sf_dir):
+    return validation.unmapped_values(
+        role(spark, sf_dir, "trans"), "type", Bank(spark, sf_dir).dim_transaction_type,
+        "TransactionTypeCode", "UnmappedType",
+    )

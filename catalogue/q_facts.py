@@ -10,8 +10,8 @@ from catalogue.bank import Bank
 from catalogue.checks import big, sum2
 from catalogue.registry import query
 from catalogue.roles import table
-from starloom.operators import control_totals, unmatched_rows
-from starloom.plans import dims, facts, marts
+from starloom.operators import control_totals, duplicate_keys, unmatched_rows
+from starloom.plans import dims, facts, marts, validation
 from starloom.session import new_path, stage_table
 from starloom.sources import SnapshotTable
 from starloom.streaming import deliver, landing_stream
@@ -72,7 +72,7 @@ def fact_loan_unknown(spark, sf_dir):
 
 
 @query("""SELECT '_date' AS Lookup, 'drop' AS OnMissing,
-                 count(*) FILTER (LoanDateKey NOT IN (SELECT DateKey FROM dim_date)) AS UnmatchedRows FROM loan_clean
+                 count(*) FILTER (LoanDateKey NOT IN (SELECT DateKey FROM short_date)) AS UnmatchedRows FROM loan_clean
           UNION ALL SELECT 'AccountKey', 'unknown',
                  count(*) FILTER (AccountID NOT IN (SELECT AccountID FROM dim_account)) FROM loan_clean
           UNION ALL SELECT 'DistrictKey', 'unknown',
@@ -80,9 +80,11 @@ def fact_loan_unknown(spark, sf_dir):
           UNION ALL SELECT 'LoanStatusKey', 'unknown',
                  count(*) FILTER (LoanStatusCode NOT IN (SELECT LoanStatusCode FROM status_values)) FROM loan_clean""")
 def fact_loan_unmatched(spark, sf_dir):
+    """What a calendar that ends in 1998, given on purpose, would cut off."""
     bank = Bank(spark, sf_dir)
+    short = {**bank.loan_dims, "DimDate": dims.dim_date(spark)}
     return unmatched_rows(
-        bank.loan_clean, facts.loan_lookups(bank.loan_dims, "unknown"), row_id="LoanID"
+        bank.loan_clean, facts.loan_lookups(short, "unknown"), row_id="LoanID"
     )
 
 
@@ -135,7 +137,7 @@ def fact_transaction(spark, sf_dir):
            FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS v FROM events) e
            LEFT JOIN dim_account a ON a.AccountID = e.user_id""")
 def fact_transaction_stream(spark, sf_dir):
-    """Events delivered as transactions by a stream, twice; the replay adds nothing."""
+    """Events delivered as transactions by a stream, each twice in a batch and then all again; none doubles."""
     from starloom.functions import date_key, inflow, money, outflow, signed
 
     bank = Bank(spark, sf_dir)
@@ -162,12 +164,13 @@ def fact_transaction_stream(spark, sf_dir):
             signed(code, money("value")).alias("SignedAmount"),
             F.lit(None).cast("decimal(18,2)").alias("BalanceAfterTransaction"),
         )
+        twice = transactions.unionByName(transactions)
         rows = facts.append_transactions(
-            published, transactions, known, "unknown", increment=True
+            published, twice, known, "unknown", increment=True, last_key=fact.top()
         ).rows
         return facts.with_year(rows)
 
-    fact = SnapshotTable(spark, new_path(spark, "fact_stream"), [facts.YEAR])
+    fact = SnapshotTable(spark, new_path(spark, "fact_stream"), [facts.YEAR], "TransactionKey")
     events = table(spark, sf_dir, "events")
     for delivery in ("first", "replay"):
         # a glob, so that the table may be one file or a folder of files
@@ -237,3 +240,35 @@ def transactions_by_type(spark, sf_dir):
 def loan_listing(spark, sf_dir):
     bank = Bank(spark, sf_dir)
     return marts.loan_listing(bank.fact_loan, bank.loan_dims)
+
+
+@query(f"""SELECT count(*) AS TotalFactTransactions, count(DISTINCT TransactionID) AS DistinctTransactionIDs,
+                  {big('sum(TransactionCount)')} AS TotalTransactionCount,
+                  {sum2('TransactionAmount')} AS TotalTransactionAmount, {sum2('InflowAmount')} AS TotalInflow,
+                  {sum2('OutflowAmount')} AS TotalOutflow, {sum2('SignedAmount')} AS NetAmount
+           FROM fact_transaction""")
+def transaction_totals(spark, sf_dir):
+    return control_totals(
+        Bank(spark, sf_dir).fact_transaction,
+        {"TransactionCount": "TotalTransactionCount", "TransactionAmount": "TotalTransactionAmount",
+         "InflowAmount": "TotalInflow", "OutflowAmount": "TotalOutflow", "SignedAmount": "NetAmount"},
+        "TotalFactTransactions", distinct={"TransactionID": "DistinctTransactionIDs"},
+    )
+
+
+@query("""SELECT (SELECT count(*) FROM transaction_clean WHERE BalanceAfterTransaction IS NULL) AS MissingInSource,
+                 (SELECT count(*) FROM fact_transaction WHERE BalanceAfterTransaction IS NULL) AS MissingInFact""")
+def missing_balances_kept(spark, sf_dir):
+    """A missing balance stays missing: it does not become 0."""
+    bank = Bank(spark, sf_dir)
+    return validation.missing_balances(bank.transaction_clean, bank.fact_transaction)
+
+
+@query("""SELECT LoanID, count(*) AS DuplicateCount FROM fact_loan GROUP BY LoanID HAVING count(*) > 1
+          UNION ALL SELECT -1, count(*) FROM fact_loan""")
+def duplicate_fact_loans(spark, sf_dir):
+    """Loan ids that occur more than once in the fact, and all its rows as id -1."""
+    fact = Bank(spark, sf_dir).fact_loan
+    return duplicate_keys(fact, "LoanID").select("LoanID", "DuplicateCount").unionByName(
+        fact.agg(F.lit(-1).cast("bigint").alias("LoanID"), F.count("*").alias("DuplicateCount"))
+    )

@@ -160,7 +160,7 @@ def broken_keys(spark, sf_dir):
         account,
         [
             Reference("unlisted district", "district_id", role(spark, sf_dir, "district"), "district_id"),
-            Reference("no opening date in calendar", "date", dims.dim_date(spark), "FullDate", 400_000),
+            Reference("no opening date in calendar", "date", Bank(spark, sf_dir).dim_date, "FullDate"),
             Reference("no client", "account_id", role(spark, sf_dir, "client"), "client_id"),
         ],
     )
@@ -294,7 +294,7 @@ def missing_districts_after_load(spark, sf_dir):
 @query("""SELECT count(*) AS MissingTransactionsAfterLoad FROM transaction_clean
           WHERE TransactionID NOT IN (SELECT TransactionID FROM fact_transaction)""")
 def missing_transactions_after_load(spark, sf_dir):
-    """Transactions after the end of the calendar do not arrive."""
+    """None: the calendar holds every transaction's day."""
     bank = Bank(spark, sf_dir)
     return validation.missing_after_load(
         bank.transaction_clean, bank.fact_transaction, "TransactionID", "MissingTransactionsAfterLoad"
@@ -305,3 +305,100 @@ def missing_transactions_after_load(spark, sf_dir):
                  count(*) FILTER (AccountID <> -1) AS BusinessRows FROM dim_account""")
 def member_counts(spark, sf_dir):
     return validation.member_counts(Bank(spark, sf_dir).dim_account, "AccountID")
+
+
+_TRANSACTION_NOT_NULL = [
+    "TransactionKey", "TransactionID", "DateKey", "AccountKey", "DistrictKey", "TransactionTypeKey",
+    "OperationKey", "TransactionCount", "TransactionAmount", "InflowAmount", "OutflowAmount", "SignedAmount",
+]
+_TRANSACTION_RULES = " UNION ALL ".join(
+    _dim_rules("fact_transaction", "FactTransaction", _TRANSACTION_NOT_NULL, "", _TRANSACTION_NOT_NULL[7:11],
+               ["TransactionKey", "TransactionID"])
+    + [f"SELECT 'FactTransaction: unmatched {k}', count(*) FROM fact_transaction WHERE {k} NOT IN (SELECT {k} FROM {d})"
+       for k, d in (("AccountKey", "dim_account"), ("DistrictKey", "dim_district"), ("DateKey", "dim_date"),
+                    ("TransactionTypeKey", "type_values"), ("OperationKey", "operation_values"))]
+)
+
+
+@query(f"SELECT *, CASE WHEN Violations = 0 THEN 'PASS' ELSE 'FAIL' END AS Status FROM ({_TRANSACTION_RULES})")
+def fact_transaction_rules(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+    return validation.fact_transaction_rules(bank.fact_transaction, bank.dims)
+
+
+_HISTORY_RULES = " UNION ALL ".join(
+    _dim_rules("dim_date", "DimDate", ["DateKey", "FullDate", "DayNumber", "MonthNumber", "Quarter", "Year"],
+               "Quarter|1, 2, 3, 4", [], ["DateKey", "FullDate"])
+    + [f"SELECT 'DimDate: {c} >= 1', count(*) FILTER ({c} < 1) FROM dim_date"
+       for c in ("DayNumber", "MonthNumber", "WeekNumber")]
+    + _dim_rules("dim_account", "DimAccount",
+                 ["AccountKey", "AccountID", "AccountOpenDate", "StatementFrequency", "IsCurrent"],
+                 "StatementFrequency|'Monthly', 'Weekly', 'After Transaction', 'Unknown'", [], ["AccountKey"])
+    + ["SELECT 'DimAccount: AccountAgeGroup in list', "
+       "count(*) FILTER (AccountAgeGroup NOT IN ('1-4 Years', '5-9 Years', 'Other', 'Unknown')) FROM dim_account"]
+    + _dim_rules("dim_client", "DimClient", ["ClientKey", "ClientID", "DistrictKey", "ClientRole", "IsCurrent"],
+                 "ClientRole|'Owner', 'Authorized User', 'Unknown'", [], ["ClientKey"])
+    + ["SELECT 'DimClient: unmatched DistrictKey', count(*) FROM dim_client "
+       "WHERE DistrictKey NOT IN (SELECT DistrictKey FROM dim_district)"]
+)
+
+
+@query(f"SELECT *, CASE WHEN Violations = 0 THEN 'PASS' ELSE 'FAIL' END AS Status FROM ({_HISTORY_RULES})")
+def calendar_account_client_rules(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+    return (
+        validation.dim_date_rules(bank.dim_date)
+        .unionByName(validation.dim_account_rules(bank.dim_account))
+        .unionByName(validation.dim_client_rules(bank.dim_client, bank.dim_district))
+    )
+
+
+@query("""SELECT count(*) AS ClientsWithInvalidDistrict FROM client_clean
+          WHERE DistrictID NOT IN (SELECT DistrictID FROM dim_district)""")
+def invalid_district_clients(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+    return validation.invalid_district_clients(bank.client_clean, bank.dim_district)
+
+
+def _missing(name: str, clean: str, loaded: str, key: str, column: str):
+    """Register the count of clean rows that a load left out."""
+
+    @query(f"SELECT count(*) AS {column} FROM {clean} WHERE {key} NOT IN (SELECT {key} FROM {loaded})", name=name)
+    def missing(spark, sf_dir):
+        bank = Bank(spark, sf_dir)
+        return validation.missing_after_load(getattr(bank, clean), getattr(bank, loaded), key, column)
+
+
+_missing("missing_accounts_after_load", "account_clean", "dim_account", "AccountID", "MissingAccountsAfterLoad")
+_missing("missing_clients_after_load", "client_clean", "dim_client", "ClientID", "MissingClientsAfterLoad")
+_missing("missing_loans_after_load", "loan_clean", "fact_loan", "LoanID", "MissingLoansAfterLoad")
+
+
+@query("""SELECT 'DimAccount' AS Dimension, count(*) AS TotalRows, count(*) FILTER (IsCurrent) AS CurrentRows,
+                 count(*) FILTER (NOT IsCurrent) AS HistoricalRows FROM dim_account
+          UNION ALL SELECT 'DimClient', count(*), count(*) FILTER (IsCurrent), count(*) FILTER (NOT IsCurrent)
+          FROM dim_client""")
+def current_counts(spark, sf_dir):
+    bank = Bank(spark, sf_dir)
+
+    def row(name, dim):
+        return validation.current_counts(dim).withColumn("Dimension", F.lit(name))
+
+    return row("DimAccount", bank.dim_account).unionByName(row("DimClient", bank.dim_client))
+
+
+@query("""SELECT 'DimAccount' AS Dimension, count(*) AS RepeatedCurrent FROM (
+              SELECT AccountID FROM dim_account WHERE IsCurrent GROUP BY AccountID HAVING count(*) > 1)
+          UNION ALL SELECT 'DimClient', count(*) FROM (
+              SELECT ClientID FROM dim_client WHERE IsCurrent GROUP BY ClientID HAVING count(*) > 1)""")
+def repeated_current(spark, sf_dir):
+    """How many ids have more than one current row."""
+    bank = Bank(spark, sf_dir)
+
+    def row(name, dim, key):
+        found = validation.repeated_current(dim, key)
+        return found.agg(F.lit(name).alias("Dimension"), F.count("*").alias("RepeatedCurrent"))
+
+    return row("DimAccount", bank.dim_account, "AccountID").unionByName(
+        row("DimClient", bank.dim_client, "ClientID")
+    )

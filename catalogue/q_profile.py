@@ -102,6 +102,11 @@ def invalid_loans(spark, sf_dir):
     return validation.invalid_loans(role(spark, sf_dir, "loan"))
 
 
+@query("SELECT count(*) AS NegativeAmounts FROM trans WHERE amount < 0")
+def invalid_transactions(spark, sf_dir):
+    return validation.invalid_transactions(role(spark, sf_dir, "trans"))
+
+
 @query("""SELECT (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS NegativeBalances,
                  (SELECT count(*) FROM customer WHERE c_acctbal = 0) AS ZeroBalances,
                  (SELECT count(*) FROM customer WHERE c_acctbal BETWEEN 0 AND 1000

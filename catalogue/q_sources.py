@@ -11,7 +11,7 @@ from starloom import schemas as S
 from starloom.operators import require_unique, row_count_sheet
 from starloom.plans import dims
 from starloom.plans.rebuild import rebuild
-from starloom.session import new_path
+from starloom.session import new_path, stage_table
 from starloom.sources import (
     SnapshotTable,
     convert,
@@ -92,12 +92,12 @@ def _card_schema() -> T.StructType:
                           substr(issued, 5, 2) || substr(issued, 7, 9) AS TIMESTAMP) AS issued
           FROM card""")
 def card_load(spark, sf_dir):
-    """Cards loaded twice: first the building trade's, then all; none doubles."""
+    """Cards loaded twice: first the building trade's, then all of them doubled; none doubles."""
     path = convert(role(spark, sf_dir, "card"), new_path(spark, "card_json"))
     cards = read_json(spark, path, _card_schema())
     loaded = SnapshotTable(spark, new_path(spark, "card"))
     loaded.publish(dims.card_rows(cards.filter(F.col("type") == "building")))
-    loaded.append(dims.load_cards(loaded.read(), cards))
+    loaded.append(dims.load_cards(loaded.read(), cards.unionByName(cards)))
     result = loaded.read()
     require_unique(result, "card_id")
     return result
@@ -120,7 +120,27 @@ def gated_rebuild(spark, sf_dir):
     )
 
 
-@query(name="sample_rows")
+@query("""SELECT card_id, disp_id, type, issued FROM card
+          UNION ALL SELECT card_id, disp_id, type, issued FROM card WHERE card_id = (SELECT min(card_id) FROM card)""")
+def json_documents(spark, sf_dir):
+    """Cards as documents that each hold an array of a bounded range of ids, and one that holds a single object."""
+    cards = role(spark, sf_dir, "card").select("card_id", "disp_id", "type", "issued")
+    record = F.struct(*cards.columns)
+    arrays = cards.groupBy(F.floor(F.col("card_id") / 10_000)).agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
+    single = cards.orderBy("card_id").limit(1).select(F.to_json(record).alias("value"))
+    path = new_path(spark, "card_documents")
+    # each document in a file of its own
+    arrays.repartition(F.xxhash64("value")).write.option("maxRecordsPerFile", 1).text(path)
+    single.write.mode("append").text(path)
+    return read_json(spark, path, _card_schema(), document=True)
+
+
+@query("""SELECT least(5, count(*)) AS DrawnRows, least(5, count(*)) AS FoundRows FROM lineitem""", name="sample_rows")
 def sample_of_lines(spark, sf_dir):
-    """Any five lines; which ones is not defined, so there is nothing to compare."""
-    return sample_rows(table(spark, sf_dir, "lineitem"))
+    """Any five lines; which ones is not defined, but they are rows of the table."""
+    lines = table(spark, sf_dir, "lineitem")
+    drawn = stage_table(sample_rows(lines), "sample").distinct()
+    rows = drawn.agg(F.count("*")).first()[0]
+    found = lines.join(F.broadcast(drawn), lines.columns, "left_semi").distinct()
+    return found.agg(
+        F.least(F.lit(5), F.lit(rows)).cast("bigint").alias("DrawnRows"), F.count("*").alias("FoundRows"))

@@ -19,7 +19,7 @@ TABLES = [
 ]
 
 RUN_TS = dt.datetime(2024, 1, 1)
-SOURCE_SYSTEM = "Retail Banking"
+SOURCE_SYSTEM = "Core Ledger"
 #: with this end both age bands occur
 OBSERVED_TO = dt.date(2004, 12, 31)
 

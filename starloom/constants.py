@@ -19,12 +19,10 @@ OPEN_END = dt.date(9999, 12, 31)
 
 # --- default ranges (fixed values, every user of them takes a parameter) ---
 CALENDAR_START = dt.date(1900, 1, 1)
+#: the end of a calendar that is asked for without one; a load takes its own from the data
 CALENDAR_END = dt.date(1998, 12, 31)
 OBSERVATION_END = dt.date(1999, 12, 31)
 
-# --- a calendar never has more days than this, so it can always be broadcast ---
-CALENDAR_ROWS = 400_000
-
 # --- account statement frequency (fixed values) ---
 STATEMENT_FREQUENCY = {
     "POPLATEK MESICNE": "Monthly",

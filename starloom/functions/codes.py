@@ -40,11 +40,11 @@ def map_code(
 
     Codes outside ``mapping`` become ``else_``, or, with ``keep_others``, pass
     through in their normalised form.  The mapping is a short constant, so it is
-    a CASE expression rather than a join.
+    a literal map rather than a join, and the code is normalised once.
     """
     code = norm_code(c)
-    mapped = None
-    for source, value in mapping.items():
-        mapped = (F if mapped is None else mapped).when(code == source, F.lit(value))
     fallback = code if keep_others else F.lit(else_)
-    return fallback if mapped is None else mapped.otherwise(fallback)
+    if not mapping:
+        return fallback
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, code), fallback)

@@ -43,10 +43,10 @@ def year_month_label(year: Column | str, month: Column | str) -> Column:
 
 
 def century_timestamp(c: Column | str, century: str = "19") -> Column:
-    """``yyMMdd HH:mm:ss`` text with the century put in front; bad text gives NULL."""
+    """``yyMMdd HH:mm:ss`` text with the century put in front; any other text gives NULL."""
     c = _col(c)
     text = F.concat(
         F.lit(century), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 3, 2), F.lit("-"),
         F.substring(c, 5, 2), F.substring(c, 7, 9),
     )
-    return text.try_cast("timestamp_ntz")
+    return F.when(c.rlike(r"^\d{6} \d{2}:\d{2}:\d{2}$"), text.try_cast("timestamp_ntz"))

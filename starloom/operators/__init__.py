@@ -16,7 +16,7 @@ from starloom.operators.checks import (
 from starloom.operators.dedup import latest_per_key, preferred_per_key
 from starloom.operators.joins import fits_broadcast, lookup_join
 from starloom.operators.keys import assign_keys, max_key
-from starloom.operators.lookup import KeyLookup, resolve_keys, unmatched_rows
+from starloom.operators.lookup import KeyLookup, resolve_keys, resolve_once, unmatched_rows
 from starloom.operators.profile import (
     control_totals,
     count_where,
@@ -40,7 +40,7 @@ __all__ = [
     "broken_references", "check_rules", "control_totals", "count_where", "counts_match",
     "duplicate_keys", "ensure_unknown", "fits_broadcast", "insert_new", "latest_per_key",
     "lookup_join", "max_key", "missing_profile", "new_rows", "orphan_count", "pass_fail",
-    "preferred_per_key", "require", "require_unique", "resolve_keys", "row_count_sheet",
-    "totals_match", "unmatched_rows", "update_matched", "upsert", "upsert_current",
+    "preferred_per_key", "require", "require_unique", "resolve_keys", "resolve_once",
+    "row_count_sheet", "totals_match", "unmatched_rows", "update_matched", "upsert", "upsert_current",
     "value_frequency",
 ]

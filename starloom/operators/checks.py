@@ -134,21 +134,20 @@ class Reference:
     column: str
     dim: DataFrame
     dim_column: str
-    max_rows: int | None = None
 
 
 def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataFrame:
     """``ValidationCheck``, ``InvalidRows`` per reference, in one scan of the fact.
 
-    Bounded dimensions are broadcast.  The rows are then grouped by the one
-    unbounded reference before the shuffle, so it sees a row per key and not a
-    row per fact.  Further unbounded references get a scan of their column.
+    Small dimensions are broadcast.  The rows are then grouped by the one
+    large reference before the shuffle, so it sees a row per key and not a
+    row per fact.  Further large references get a scan of their column.
     """
     small, large = [], []
     for ref in references:
         keys = ref.dim.select(ref.dim_column).distinct()
-        bounded = ref.max_rows is not None or fits_broadcast(ref.dim)
-        (small if bounded else large).append((ref, keys))
+        fits = fits_broadcast(ref.dim.select(ref.dim_column))
+        (small if fits else large).append((ref, keys))
     flagged = fact
     flags = []
     for i, (ref, keys) in enumerate(small):

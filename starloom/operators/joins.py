@@ -1,28 +1,46 @@
 """Looking a large table up in a smaller one, whatever the sizes and the skew.
 
-A side is broadcast only after its rows were counted against a bound.  Beyond
-the bound the join shuffles, and keys that hold more than their share of the
+A side is broadcast only after its rows and bytes were measured against a
+bound.  Beyond the bound the join shuffles, and keys that hold more than their share of the
 rows are sliced, so no task gets a whole hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: largest lookup (rows of a few narrow columns) that is broadcast
+#: largest lookup that is broadcast, in rows and in bytes
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 #: a key is never sliced below this many rows
 SLICE_ROWS = 1_000_000
 
 _SALT, _SLICES, _HOT = "_salt", "_slices", "_hot"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops at the bound."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def byte_size(df: DataFrame) -> Column:
+    """Aggregate: about how many bytes the rows take, by the lengths of their texts."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]
+    return reduce(add, lengths, F.count("*") * (16 * len(df.columns)))
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most so many rows and bytes.
+
+    Every task sends one partial sum, so the check costs a scan of the columns
+    given and moves nothing; pass stored tables and only the columns needed.
+    """
+    seen = df.agg(F.count("*").alias("rows"), byte_size(df).alias("bytes")).first()
+    return seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
 
 
 def hot_keys(fact: DataFrame, key: str, slice_rows: int | None = None) -> DataFrame | None:
@@ -65,11 +83,12 @@ def lookup_join(
     which keys are sliced changes the work, never the result.  ``fits`` passes
     on a size check already made.
     """
+    columns = fact.columns + [c for c in dim.columns if c != key]
     if fits_broadcast(dim) if fits is None else fits:
-        return fact.join(F.broadcast(dim), key, how)
+        return fact.join(F.broadcast(dim), key, how).select(*columns)
     hot = hot_keys(fact if measure is None else measure, key, slice_rows)
     if hot is None:
-        return fact.join(dim, key, how)
+        return fact.join(dim, key, how).select(*columns)
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     # rows without a key match nothing but would still meet in one partition
     salted = (
@@ -87,5 +106,4 @@ def lookup_join(
         )
         .drop(_HOT, _SLICES)
     )
-    columns = fact.columns + [c for c in dim.columns if c != key]
     return salted.join(copies, [key, _SALT], how).select(*columns)

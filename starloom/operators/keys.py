@@ -29,20 +29,23 @@ def assign_keys(
     start: int = 1,
     kind: str = "bigint",
     max_rows: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``key`` = start, start+1, … in ``order``, which must be unique per row.
 
     Rows counted or bounded beforehand (``max_rows``) to be few are numbered by
-    one task.  Otherwise the rows are range-partitioned and sorted, and written once with their
+    one task.  Otherwise the rows are range-partitioned and sorted, and written with their
     position inside the partition.  Adding the size of the earlier partitions
-    (one number per partition) then gives the key in a map-only step.
+    (one number per partition) then gives the key in a map-only step.  Finding
+    the ranges reads the rows a first time, so they are written before unless
+    ``stored`` says that reading them is cheap.
     """
     order = [order] if isinstance(order, (str, Column)) else list(order)
     if max_rows is not None and max_rows <= SMALL_ROWS:
         number = F.row_number().over(Window.orderBy(*order))
         return df.select((F.lit(start - 1) + number).cast(kind).alias(key), *df.columns)
     placed = (
-        df.repartitionByRange(*order)
+        (df if stored else stage_table(df, "unkeyed")).repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_ID, F.monotonically_increasing_id())
     )

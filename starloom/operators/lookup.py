@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.constants import UNKNOWN_KEY
-from starloom.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from starloom.operators.checks import LoadGateError
+from starloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, byte_size, lookup_join
+from starloom.session import stage_table
 
 
 @dataclass(frozen=True)
@@ -19,7 +21,6 @@ class KeyLookup:
 
     ``on_missing='drop'`` removes unmatched fact rows, ``'unknown'`` points them
     at key 0.  ``carry`` adds attributes of the matched row (NULL if none).
-    ``max_rows`` is set when the dimension has a known bound.
     """
 
     dim: DataFrame
@@ -29,7 +30,6 @@ class KeyLookup:
     as_: str = ""
     on_missing: str = "unknown"
     carry: Sequence[str] = field(default_factory=tuple)
-    max_rows: int | None = None
 
     def __post_init__(self) -> None:
         if self.on_missing not in ("drop", "unknown"):
@@ -41,10 +41,19 @@ class KeyLookup:
 
     @cached_property
     def fits(self) -> bool:
-        """Whether the dimension may be broadcast; counted once per lookup."""
-        if self.max_rows is not None:
-            return self.max_rows <= BROADCAST_ROWS
-        return fits_broadcast(self.dim)
+        """Whether the dimension may be broadcast; measured once per lookup.
+
+        The same pass makes sure that no value occurs twice, which would
+        multiply facts.
+        """
+        dim, probe = self.narrow(), F.col(self._probe)
+        seen = dim.agg(
+            F.count("*").alias("rows"), byte_size(dim).alias("bytes"),
+            (F.count(probe) - F.count_distinct(probe)).alias("surplus"),
+        ).first()
+        if seen["surplus"]:
+            raise LoadGateError(f"duplicate keys in {self.dim_column} of the lookup {self.name}")
+        return seen["rows"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_BYTES
 
     def narrow(self) -> DataFrame:
         return self.dim.select(
@@ -90,13 +99,7 @@ def resolve_keys(
     return fact
 
 
-def unmatched_rows(
-    fact: DataFrame, lookups: Sequence[KeyLookup], row_id: str | Sequence[str]
-) -> DataFrame:
-    """Rows of ``fact`` each lookup does not match, all counted in one pass."""
-    source = fact
-    for look in lookups:
-        fact = _join(fact, look, row_id, "left", source)
+def _unmatched(joined: DataFrame, lookups: Sequence[KeyLookup]) -> DataFrame:
     counts = [
         F.struct(
             F.lit(look.name).alias("Lookup"),
@@ -105,4 +108,36 @@ def unmatched_rows(
         )
         for look in lookups
     ]
-    return fact.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+    return joined.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+
+
+def _joined(fact: DataFrame, lookups: Sequence[KeyLookup], row_id: str | Sequence[str]) -> DataFrame:
+    source = fact
+    for look in sorted(lookups, key=lambda x: not x.fits):
+        fact = _join(fact, look, row_id, "left", source)
+    return fact
+
+
+def unmatched_rows(
+    fact: DataFrame, lookups: Sequence[KeyLookup], row_id: str | Sequence[str]
+) -> DataFrame:
+    """Rows of ``fact`` each lookup does not match, all counted in one pass."""
+    return _unmatched(_joined(fact, lookups, row_id), lookups)
+
+
+def resolve_once(
+    fact: DataFrame, lookups: Sequence[KeyLookup], row_id: str | Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with their keys, unmatched counts), both from one run of the joins.
+
+    The joined rows are written with what every lookup found; dropping rows,
+    counting the unmatched and numbering what is left then read that table.
+    """
+    stored = stage_table(_joined(fact, lookups, row_id), "resolved")
+    rows = stored
+    for look in lookups:
+        found = F.col(look._found)
+        if look.on_missing == "drop":
+            rows = rows.filter(found.isNotNull())
+        rows = rows.withColumn(look.name, F.coalesce(found, F.lit(UNKNOWN_KEY)))
+    return rows.drop(*[look._found for look in lookups]), _unmatched(stored, lookups)

@@ -14,6 +14,9 @@ from starloom.operators.joins import fits_broadcast
 from starloom.operators.keys import assign_keys, max_key
 from starloom.session import stage_table
 
+#: a target of up to this many rows is matched without writing a merged copy
+SHORT_ROWS = 1_000
+
 #: what the load did with a row: 'kept', 'updated' or 'inserted'
 ACTION = "_action"
 _IN_TARGET, _IN_SOURCE, _S = "_in_target", "_in_source", "_s_"
@@ -83,7 +86,8 @@ def insert_new(
         fresh = stage_table(fresh, "fresh")
         kind = target.schema[surrogate].dataType.simpleString()
         fresh = assign_keys(
-            fresh, key, surrogate, max_key(target, surrogate) + 1, kind, max_rows=fresh.count()
+            fresh, key, surrogate, max_key(target, surrogate) + 1, kind, max_rows=fresh.count(),
+            stored=True,
         )
     return target.withColumn(ACTION, F.lit("kept")).unionByName(
         _shaped(fresh, target).withColumn(ACTION, F.lit("inserted"))
@@ -117,7 +121,9 @@ def upsert(
     ``scope`` limits which target rows count as existing (the current ones);
     the others are carried over.  ``protect`` marks matched rows that must not
     change (the unknown member).  One full outer join serves both halves, so
-    each side is shuffled once; only the inserted rows are keyed.
+    each side is shuffled once, and its rows are written once before the
+    inserted ones are keyed.  A short target, as on a first load, is broadcast
+    instead, and nothing is written twice; pass a stored source.
 
     The result has the target's columns plus ``_action``.
     """
@@ -136,47 +142,47 @@ def upsert(
     changed = F.col(_IN_SOURCE).isNotNull()
     if protect is not None:
         changed = changed & ~F.coalesce(protect, F.lit(False))
-    joined = (
-        live.withColumn(_IN_TARGET, F.lit(True))
-        .join(incoming, key, "full_outer")
-        .withColumn(
-            ACTION,
-            F.when(F.col(_IN_TARGET).isNull(), "inserted")
-            .when(changed, "updated")
-            .otherwise("kept"),
-        )
-    )
 
     def value(name: str) -> Column:
+        kind = target.schema[name].dataType
+        if name == key:
+            return F.col(key).cast(kind).alias(key)
         if name not in shaped:
             return F.col(name)
         take = F.col(ACTION) == "inserted"
         if name in update:
             take = take | (F.col(ACTION) == "updated")
-        kind = target.schema[name].dataType
         return F.when(take, F.col(_S + name).cast(kind)).otherwise(F.col(name)).alias(name)
 
-    kind = target.schema[key].dataType
-    merged = stage_table(
-        joined.select(
-            *[F.col(key).cast(kind).alias(key) if c == key else value(c) for c in target.columns],
-            ACTION,
-        ),
-        "merged",
-    )
-    inserted = F.col(ACTION) == "inserted"
-    seen = merged.agg(
-        F.coalesce(F.max(surrogate), F.lit(0)).alias("last"), F.count_if(inserted).alias("new")
-    ).first()
-    result = merged.filter(~inserted)
-    if seen["new"]:
-        last = seen["last"] if carried is None else max(seen["last"], max_key(carried, surrogate))
+    columns = [value(c) for c in target.columns]
+    did = F.when(changed, "updated").otherwise("kept")
+    if live.count() <= SHORT_ROWS:
+        # the few rows go to the source, and the new rows are numbered as they come
+        known = F.broadcast(live.select(key))
+        old = live.join(
+            incoming.join(known, key, "left_semi"), key, "left"
+        ).withColumn(ACTION, did).select(*columns, ACTION)
+        new = _shaped(source.join(known, key, "left_anti"), target).withColumn(ACTION, F.lit("inserted"))
+        last, n_new = max_key(live, surrogate), new.count()
+    else:
+        joined = (
+            live.withColumn(_IN_TARGET, F.lit(True))
+            .join(incoming, key, "full_outer")
+            .withColumn(ACTION, F.when(F.col(_IN_TARGET).isNull(), "inserted").otherwise(did))
+        )
+        merged = stage_table(joined.select(*columns, ACTION), "merged")
+        inserted = F.col(ACTION) == "inserted"
+        seen = merged.agg(
+            F.coalesce(F.max(surrogate), F.lit(0)).alias("last"), F.count_if(inserted).alias("new")
+        ).first()
+        old, new, last, n_new = merged.filter(~inserted), merged.filter(inserted), seen["last"], seen["new"]
+    result = old
+    if n_new:
+        if carried is not None:
+            last = max(last, max_key(carried, surrogate))
         kind = target.schema[surrogate].dataType.simpleString()
         result = result.unionByName(
-            assign_keys(
-                merged.filter(inserted).drop(surrogate), key, surrogate, last + 1, kind,
-                max_rows=seen["new"],
-            )
+            assign_keys(new.drop(surrogate), key, surrogate, last + 1, kind, max_rows=n_new, stored=True)
         )
     if carried is not None:
         result = result.unionByName(carried.withColumn(ACTION, F.lit("kept")))

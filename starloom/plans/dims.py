@@ -24,6 +24,7 @@ from starloom.operators import (
     ensure_unknown,
     insert_new,
     new_rows,
+    preferred_per_key,
     upsert,
     upsert_current,
 )
@@ -51,21 +52,18 @@ UNKNOWN_MEMBERS: dict[str, dict[str, object]] = {
     "DistrictKey": {
         "DistrictID": K.UNKNOWN_ID, "DistrictName": K.UNKNOWN_TEXT, "RegionName": K.UNKNOWN_TEXT,
     },
-    "LoanStatusKey": dict(
-        zip(
-            ["LoanStatusCode", "LoanStatusDescription", "LoanStatusGroup", "ProblemFlag"],
-            [*K.LOAN_STATUS[0][:3], False],
-        )
-    ),
-    "TransactionTypeKey": dict(
-        zip(
-            ["TransactionTypeCode", "TransactionTypeName", "CashFlowDirection"],
-            K.TRANSACTION_TYPE[0],
-        )
-    ),
-    "OperationKey": dict(
-        zip(["OperationCode", "OperationDescription", "OperationGroup"], K.OPERATION[0])
-    ),
+    "LoanStatusKey": {
+        "LoanStatusCode": K.UNKNOWN_CODE, "LoanStatusDescription": "Unknown Loan Status",
+        "LoanStatusGroup": K.UNKNOWN_TEXT, "ProblemFlag": False,
+    },
+    "TransactionTypeKey": {
+        "TransactionTypeCode": K.UNKNOWN_CODE, "TransactionTypeName": "Unknown Transaction Type",
+        "CashFlowDirection": K.UNKNOWN_TEXT,
+    },
+    "OperationKey": {
+        "OperationCode": K.UNKNOWN_CODE, "OperationDescription": "Unknown Operation",
+        "OperationGroup": K.UNKNOWN_TEXT,
+    },
 }
 
 
@@ -73,15 +71,26 @@ def calendar_days(start: dt.date, end: dt.date) -> int:
     return (end - start).days + 1
 
 
+def calendar_range(
+    dates: Sequence[tuple[DataFrame, str]], start: dt.date = K.CALENDAR_START
+) -> tuple[dt.date, dt.date]:
+    """Whole years that hold every date of the columns, and ``start``, the day of facts without a date.
+
+    One minimum and one maximum per table; only the date columns are read.
+    """
+    found = [start]
+    for frame, column in dates:
+        seen = frame.agg(F.min(column).cast("date").alias("a"), F.max(column).cast("date").alias("b")).first()
+        found += [d for d in seen if d is not None]
+    return dt.date(min(found).year, 1, 1), dt.date(max(found).year, 12, 31)
+
+
 def dim_date(
     spark: SparkSession, start: dt.date = K.CALENDAR_START, end: dt.date = K.CALENDAR_END
 ) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
-    if calendar_days(start, end) > K.CALENDAR_ROWS:
-        raise ValueError(f"a calendar has at most {K.CALENDAR_ROWS} days")
-    day = F.col("FullDate")
-    # a bounded number of rows: one file, one task
-    days = spark.range(0, calendar_days(start, end), numPartitions=1).select(
+    day, days = F.col("FullDate"), calendar_days(start, end)
+    days = spark.range(0, days, numPartitions=1 + days // 1_000_000).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("FullDate")
     )
     return days.select(
@@ -280,8 +289,8 @@ def card_rows(cards: DataFrame, century: str = "19") -> DataFrame:
 
 
 def load_cards(target: DataFrame, cards: DataFrame, century: str = "19") -> DataFrame:
-    """The cards to append: those whose id the table does not have yet."""
-    return new_rows(card_rows(cards, century), target, "card_id")
+    """The cards to append: those whose id the table does not have yet, one row per id."""
+    return new_rows(preferred_per_key(card_rows(cards, century), "card_id", []), target, "card_id")
 
 
 def new_dimensions(spark: SparkSession) -> Mapping[str, DataFrame]:

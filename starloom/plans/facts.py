@@ -1,7 +1,9 @@
 """Fact loads: key resolution, upsert, incremental append, rebuild.
 
 Call these on stage tables (published or written with ``stage_table``): sizes
-and hot keys are measured by reading single columns of the inputs.
+and hot keys are measured by reading single columns of the inputs.  A fact's
+dimensions are joined once; kept rows, unmatched counts and keys come from what
+that join wrote.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import constants as K
@@ -20,10 +22,11 @@ from starloom.operators import (
     assign_keys,
     max_key,
     new_rows,
+    preferred_per_key,
     require,
     require_unique,
     resolve_keys,
-    unmatched_rows,
+    resolve_once,
     upsert,
 )
 from starloom.operators.joins import lookup_join
@@ -58,10 +61,7 @@ def _current(dim_account: DataFrame) -> DataFrame:
 
 def _date_lookup(dims: Dims, fact_column: str) -> KeyLookup:
     # a fact without a calendar day has no place in any report by date
-    return KeyLookup(
-        dims["DimDate"], fact_column, "DateKey", "DateKey", "_date", "drop",
-        max_rows=K.CALENDAR_ROWS,
-    )
+    return KeyLookup(dims["DimDate"], fact_column, "DateKey", "DateKey", "_date", "drop")
 
 
 def loan_lookups(dims: Dims, on_missing: str) -> list[KeyLookup]:
@@ -114,10 +114,8 @@ def require_unknown_members(dims: Dims, pairs) -> None:
 def resolve_loans(loans: DataFrame, dims: Dims, on_missing: str = "unknown") -> FactLoad:
     """Clean loans with surrogate keys, and the unmatched counts."""
     lookups = loan_lookups(dims, on_missing)
-    rows = resolve_keys(loans, lookups, row_id="LoanID").select(
-        *[c for c in LOAN_COLUMNS if c != "LoanKey"]
-    )
-    return FactLoad(rows, unmatched_rows(loans, lookups, row_id="LoanID"))
+    rows, unmatched = resolve_once(loans, lookups, row_id="LoanID")
+    return FactLoad(rows.select(*[c for c in LOAN_COLUMNS if c != "LoanKey"]), unmatched)
 
 
 def upsert_loans(target: DataFrame, load: FactLoad) -> DataFrame:
@@ -205,10 +203,8 @@ def resolve_transactions(
 ) -> FactLoad:
     """Clean transactions with surrogate keys, and the unmatched counts."""
     lookups = transaction_lookups(dims, on_missing)
-    rows = resolve_keys(transactions, lookups, row_id="TransactionID").select(
-        *[c for c in TRANSACTION_COLUMNS if c != "TransactionKey"]
-    )
-    return FactLoad(rows, unmatched_rows(transactions, lookups, row_id="TransactionID"))
+    rows, unmatched = resolve_once(transactions, lookups, row_id="TransactionID")
+    return FactLoad(rows.select(*[c for c in TRANSACTION_COLUMNS if c != "TransactionKey"]), unmatched)
 
 
 def append_transactions(
@@ -217,24 +213,40 @@ def append_transactions(
     dims: Dims,
     on_missing: str = "unknown",
     increment: bool = False,
+    last_key: int | None = None,
 ) -> FactLoad:
     """The rows to append: transactions the fact does not have, with keys.
 
-    Known ids are removed first and the rest is written once, so a rerun looks
-    nothing up and appends nothing, and the fact's ids are read a single time.
-    ``increment`` says the transactions are few next to the fact.
+    Of rows with one id in ``transactions`` one counts; rows without an id are
+    left out.  Known ids are removed first and the rest is written once, so a
+    rerun looks nothing up and appends nothing, and the fact's ids are read a
+    single time.  ``increment`` says the transactions are few next to the fact;
+    with the fact's year column, only the years of the batch are then read, as
+    an id keeps its date.  ``last_key`` is the fact's largest key, if known.
     """
-    fresh = transactions
-    if not target.isEmpty():
-        fresh = stage_table(new_rows(transactions, target, "TransactionID", increment), "fresh")
+    offered = preferred_per_key(transactions, "TransactionID", [])
+    if last_key is None:
+        last_key = max_key(target, "TransactionKey")
+    if last_key:
+        if increment:
+            offered = stage_table(offered, "offered")
+            if YEAR in target.columns:
+                years = [r[0] for r in offered.select(_year()).distinct().collect()]
+                target = target.filter(F.col(YEAR).isin([y for y in years if y is not None]))
+        offered = new_rows(offered, target, "TransactionID", increment)
+    fresh = stage_table(offered, "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
-        load.rows, "TransactionID", "TransactionKey", max_key(target, "TransactionKey") + 1,
-        max_rows=fresh.count(),
+        load.rows, "TransactionID", "TransactionKey", last_key + 1,
+        max_rows=fresh.count(), stored=True,
     )
     return FactLoad(rows.select(*TRANSACTION_COLUMNS), load.unmatched)
 
 
+def _year() -> Column:
+    return F.floor(F.col("DateKey") / 10000).cast("int").alias(YEAR)
+
+
 def with_year(fact: DataFrame) -> DataFrame:
     """The partition column of the transaction fact."""
-    return fact.withColumn(YEAR, F.floor(F.col("DateKey") / 10000).cast("int"))
+    return fact.select("*", _year())

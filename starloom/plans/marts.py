@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from starloom import constants as K
 from starloom.functions import ratio, total, year_month_label
+from starloom.operators.joins import lookup_join
+from starloom.session import stage_table
 
 DISTRICT_COLUMNS = [
     "DistrictKey", "DistrictID", "DistrictName", "RegionName", "Population", "AverageSalary",
@@ -25,12 +27,13 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     spreads out a month that has most of the rows.
     """
     months = ["Year", "MonthNumber"]
-    days = F.broadcast(calendar.select("DateKey", *months))
+    days = calendar.select("DateKey", *months)
     per_day = fact.groupBy("DateKey").agg(
         F.sum("TransactionCount").alias("n"),
         *[F.sum(c).alias(c) for c in ("TransactionAmount", "InflowAmount", "OutflowAmount", "SignedAmount")],
     )
     summed = (
+        # both sides have a row per day
         per_day.join(days, "DateKey")
         .groupBy(*months)
         .agg(
@@ -43,16 +46,17 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         )
     )
     active = (
-        fact.select("DateKey", "AccountKey")
-        .join(days, "DateKey")
+        lookup_join(
+            fact.select("DateKey", "AccountKey"), days, "DateKey", "inner", row_id="AccountKey"
+        )
         .groupBy(*months)
         .agg(F.count_distinct("AccountKey").alias("ActiveAccounts"))
     )
     names = calendar.select(*months, "MonthName", "Quarter").distinct()
     # all three have at most one row per month of the calendar
     return (
-        summed.join(F.broadcast(active), months)
-        .join(F.broadcast(names), months)
+        summed.join(active, months)
+        .join(names, months)
         .select(
             *months, "MonthName", "Quarter",
             year_month_label(*months).alias("YearMonthLabel"),
@@ -152,13 +156,12 @@ def transactions_by_type(fact: DataFrame, types: DataFrame) -> DataFrame:
 def loan_listing(fact: DataFrame, dims: Mapping[str, DataFrame], n: int = 100) -> DataFrame:
     """The first ``n`` loans by date with all their attributes.
 
-    The ``n`` rows are chosen first (a top-n, no full sort); the dimensions are
-    then read only for them.
+    The ``n`` rows are chosen first (a top-n, no full sort) and written; the
+    dimensions are then read only for them.
     """
     days = dims["DimDate"].select(F.col("DateKey").alias("LoanDateKey"), "FullDate")
-    chosen = (
-        fact.join(F.broadcast(days), "LoanDateKey").orderBy("FullDate", "LoanID").limit(n)
-    )
+    dated = lookup_join(fact, days, "LoanDateKey", "inner", row_id="LoanID")
+    chosen = stage_table(dated.orderBy("FullDate", "LoanID").limit(n), "chosen")
 
     def attributes(dim: str, key: str, *names: str) -> DataFrame:
         wanted = dims[dim].select(key, *names)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import constants as K
-from starloom.constants import CALENDAR_ROWS
 from starloom.functions import norm_code, ratio, total
 from starloom.operators import (
     Reference,
@@ -22,6 +21,7 @@ from starloom.operators import (
     orphan_count,
     totals_match,
 )
+from starloom.session import stage_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -82,7 +82,7 @@ def client_dispositions(client: DataFrame, disp: DataFrame, n: int = 20) -> Data
     ``n`` clients, and none of them can show more than ``n`` dispositions; only
     those few rows are joined, however many a client has.
     """
-    first = client.orderBy("client_id").limit(n)
+    first = stage_table(client.orderBy("client_id").limit(n), "first_clients")
     place = F.row_number().over(Window.partitionBy("client_id").orderBy("disp_id"))
     theirs = (
         disp.join(F.broadcast(first.select("client_id")), "client_id", "left_semi")
@@ -117,6 +117,43 @@ def member_counts(dim: DataFrame, id_column: str) -> DataFrame:
     )
 
 
+def current_counts(dim: DataFrame) -> DataFrame:
+    """One row: current and historical rows of a dimension with history."""
+    current = F.coalesce("IsCurrent", F.lit(False))
+    return dim.agg(
+        F.count("*").alias("TotalRows"),
+        F.count_if(current).alias("CurrentRows"),
+        F.count_if(~current).alias("HistoricalRows"),
+    )
+
+
+def repeated_current(dim: DataFrame, id_column: str) -> DataFrame:
+    """Ids with more than one current row."""
+    return duplicate_keys(dim.filter("IsCurrent"), id_column).select(id_column, "DuplicateCount")
+
+
+def invalid_district_clients(clients: DataFrame, districts: DataFrame) -> DataFrame:
+    """One row: clean clients whose district the dimension does not have."""
+    return orphan_count(clients, "DistrictID", districts, "DistrictID", "ClientsWithInvalidDistrict")
+
+
+def missing_balances(clean: DataFrame, fact: DataFrame) -> DataFrame:
+    """One row: missing balances before and after the load."""
+    def missing(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count_if(F.col("BalanceAfterTransaction").isNull()).alias(name))
+
+    # two single rows side by side
+    one = F.lit(1).alias("_one")
+    left = missing(clean, "MissingInSource").select(one, "MissingInSource")
+    right = missing(fact, "MissingInFact").select(one, "MissingInFact")
+    return left.join(right, "_one").select("MissingInSource", "MissingInFact")
+
+
+def invalid_transactions(trans: DataFrame) -> DataFrame:
+    """One row: transactions with a negative amount."""
+    return count_where(trans, {"NegativeAmounts": F.col("amount") < 0})
+
+
 def loan_references(dims: Tables, prefix: str = "FactLoan invalid ") -> list[Reference]:
     return [
         Reference(f"{prefix}AccountKey", "AccountKey", dims["DimAccount"], "AccountKey"),
@@ -140,7 +177,7 @@ def transaction_references(dims: Tables, prefix: str = "FactTransaction invalid
 
 
 def date_reference(dims: Tables, column: str, label: str) -> Reference:
-    return Reference(label, column, dims["DimDate"], "DateKey", max_rows=CALENDAR_ROWS)
+    return Reference(label, column, dims["DimDate"], "DateKey")
 
 
 def integrity_report(loans: DataFrame, transactions: DataFrame, dims: Tables) -> DataFrame:
@@ -284,6 +321,59 @@ def fact_loan_rules(fact: DataFrame, dims: Tables) -> DataFrame:
     )
 
 
+def fact_transaction_rules(fact: DataFrame, dims: Tables) -> DataFrame:
+    measures = ["TransactionCount", "TransactionAmount", "InflowAmount", "OutflowAmount"]
+    return check_rules(
+        fact,
+        not_null=[
+            "TransactionKey", "TransactionID", "DateKey", "AccountKey", "DistrictKey",
+            "TransactionTypeKey", "OperationKey", *measures, "SignedAmount",
+        ],
+        unique=["TransactionKey", "TransactionID"],
+        at_least={m: 0 for m in measures},
+        references=[
+            *transaction_references(dims, "unmatched "),
+            date_reference(dims, "DateKey", "unmatched DateKey"),
+        ],
+        table="FactTransaction",
+    )
+
+
+def dim_date_rules(dim: DataFrame) -> DataFrame:
+    return check_rules(
+        dim,
+        not_null=["DateKey", "FullDate", "DayNumber", "MonthNumber", "Quarter", "Year"],
+        unique=["DateKey", "FullDate"],
+        allowed={"Quarter": [1, 2, 3, 4]},
+        at_least={"DayNumber": 1, "MonthNumber": 1, "WeekNumber": 1},
+        table="DimDate",
+    )
+
+
+def dim_account_rules(dim: DataFrame) -> DataFrame:
+    return check_rules(
+        dim,
+        not_null=["AccountKey", "AccountID", "AccountOpenDate", "StatementFrequency", "IsCurrent"],
+        unique=["AccountKey"],
+        allowed={
+            "StatementFrequency": [*K.STATEMENT_FREQUENCY.values(), K.UNKNOWN_TEXT],
+            "AccountAgeGroup": ["1-4 Years", "5-9 Years", "Other", K.UNKNOWN_TEXT],
+        },
+        table="DimAccount",
+    )
+
+
+def dim_client_rules(dim: DataFrame, districts: DataFrame) -> DataFrame:
+    return check_rules(
+        dim,
+        not_null=["ClientKey", "ClientID", "DistrictKey", "ClientRole", "IsCurrent"],
+        unique=["ClientKey"],
+        allowed={"ClientRole": [*K.CLIENT_ROLE.values(), K.UNKNOWN_TEXT]},
+        references=[Reference("unmatched DistrictKey", "DistrictKey", districts, "DistrictKey")],
+        table="DimClient",
+    )
+
+
 def dim_district_rules(dim: DataFrame) -> DataFrame:
     return check_rules(
         dim,

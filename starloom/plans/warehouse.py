@@ -23,16 +23,20 @@ DIMENSIONS = [
     "DimDate", "DimDistrict", "DimAccount", "DimClient", "DimLoanStatus", "DimTransactionType",
     "DimOperation",
 ]
+#: a load this many times smaller than the fact is an increment
+INCREMENT_SHARE = 10
 CLEAN = ["account_clean", "district_clean", "client_clean", "loan_clean", "transaction_clean"]
 
 
 class Warehouse:
+    """``calendar`` cuts facts off outside of its range; without one, it holds every staged date."""
+
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         source_system: str,
-        calendar: tuple[dt.date, dt.date] = (K.CALENDAR_START, K.CALENDAR_END),
+        calendar: tuple[dt.date, dt.date] | None = None,
         observed_to: dt.date = K.OBSERVATION_END,
         on_missing: str = "unknown",
     ) -> None:
@@ -50,8 +54,10 @@ class Warehouse:
     # --- tables ---
 
     def table(self, layer: str, name: str) -> SnapshotTable:
-        partitions = [facts.YEAR] if name == "FactTransaction" else []
-        return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}", partitions)
+        path = f"{self.root}/{layer}/{name}"
+        if name == "FactTransaction":
+            return SnapshotTable(self.spark, path, [facts.YEAR], "TransactionKey")
+        return SnapshotTable(self.spark, path)
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.table(layer, name).read()
@@ -99,9 +105,10 @@ class Warehouse:
 
     def load_dimensions(self) -> None:
         spark = self.spark
-        self.table("dim", "DimDate").publish(
-            dims.dim_date(spark, *self.calendar), dims.calendar_days(*self.calendar)
+        days = self.calendar or dims.calendar_range(
+            [(self.read("stg", "loan"), "date"), (self.read("stg", "trans"), "date")]
         )
+        self.table("dim", "DimDate").publish(dims.dim_date(spark, *days), dims.calendar_days(*days))
         self._publish_load(
             "dim", "DimDistrict",
             dims.load_district(self._current_dim("DimDistrict"), self.read("clean", "district_clean")),
@@ -140,13 +147,11 @@ class Warehouse:
         self._publish_load("fact", "FactLoan", facts.upsert_loans(target, loans))
 
         table = self.table("fact", "FactTransaction")
-        target = (
-            table.read().drop(facts.YEAR)
-            if table.exists()
-            else self.spark.createDataFrame([], S.FACT_TRANSACTION)
-        )
+        target = table.read() if table.exists() else self.spark.createDataFrame([], S.FACT_TRANSACTION)
+        offered = self.table("clean", "transaction_clean")
         load = facts.append_transactions(
-            target, self.read("clean", "transaction_clean"), found, self.on_missing
+            target, offered.read(), found, self.on_missing,
+            increment=offered.rows() * INCREMENT_SHARE <= table.rows(), last_key=table.top(),
         )
         self.unmatched["FactTransaction"] = load.unmatched
         table.append(facts.with_year(load.rows))
@@ -177,6 +182,10 @@ class Warehouse:
             "reconciliation": validation.reconciliation(loans, transactions, monthly, districts),
             "excluded_loans": marts.excluded_loans(loans, found["DimDistrict"]),
             "rules": validation.fact_loan_rules(loans, found)
+            .unionByName(validation.fact_transaction_rules(transactions, found))
+            .unionByName(validation.dim_date_rules(found["DimDate"]))
+            .unionByName(validation.dim_account_rules(found["DimAccount"]))
+            .unionByName(validation.dim_client_rules(found["DimClient"], found["DimDistrict"]))
             .unionByName(validation.dim_district_rules(found["DimDistrict"]))
             .unionByName(validation.dim_loan_status_rules(found["DimLoanStatus"]))
             .unionByName(validation.dim_transaction_type_rules(found["DimTransactionType"]))

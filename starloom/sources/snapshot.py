@@ -1,9 +1,12 @@
 """Published tables: count-verified snapshots and appends.
 
 A table is a folder with ``data/<id>`` snapshots and a ``versions`` log.  A
-snapshot is written and counted first; one appended log row then makes it the
-table.  Readers always see a complete snapshot, and a failed load leaves the
-previous one in place.  One writer per table at a time.
+snapshot lies in increments, folders of their own: the first is what was
+published, each append adds one.  An increment is written, counted and compared
+with the table's columns first; one log row that lists all increments then
+makes it part of the table.  Readers open the increments of the latest row, so
+they see complete loads only, and a failed load leaves the table as it was.
+One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import types as T
 
 from starloom.schemas import _schema
 
-_VERSION = _schema("version long, path text, rows long, schema text")
+_VERSION = _schema("version long, path text, increments text, rows long, top long, schema text")
+_PART = "increment"
 
 
 class PublishError(RuntimeError):
@@ -27,12 +31,15 @@ class PublishError(RuntimeError):
 
 
 class SnapshotTable:
+    """``key`` names a column whose largest value the log keeps."""
+
     def __init__(
-        self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()
+        self, spark: SparkSession, root: str, partition_by: Sequence[str] = (), key: str | None = None
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self.key = key
 
     def versions(self) -> DataFrame:
         return self.spark.read.schema(_VERSION).parquet(f"{self.root}/versions")
@@ -53,37 +60,75 @@ class SnapshotTable:
         latest = self._latest()
         if latest is None:
             raise FileNotFoundError(f"nothing published at {self.root}")
-        return self._open(latest["path"], T.StructType.fromJson(json.loads(latest["schema"])))
+        return self._open(
+            latest["path"], json.loads(latest["increments"]), T.StructType.fromJson(json.loads(latest["schema"]))
+        )
 
-    def _open(self, path: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path)
+    def rows(self) -> int:
+        """How many rows the table has, from the log."""
+        latest = self._latest()
+        return latest["rows"] if latest else 0
 
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
+    def top(self) -> int:
+        """The largest ``key``, from the log; 0 if there is none."""
+        latest = self._latest()
+        return (latest["top"] or 0) if latest else 0
+
+    def _open(self, path: str, increments: Sequence[str], schema: T.StructType) -> DataFrame:
+        return (
+            self.spark.read.schema(schema).option("basePath", path)
+            .parquet(*[f"{path}/{_PART}={name}" for name in increments])
+            .select(*[f"`{f.name}`" for f in schema.fields])
+        )
+
+    def _write(self, df: DataFrame, path: str) -> tuple[str, int, int | None]:
+        """Write an increment; its name, rows and largest key."""
+        name = uuid.uuid4().hex
+        schema = df.schema
         if self.partition_by:
             # even files per partition value; a value with most of the rows is split
             df = df.hint("rebalance", *self.partition_by)
-        df.write.mode(mode).partitionBy(*self.partition_by).parquet(path)
+        df.write.partitionBy(*self.partition_by).parquet(f"{path}/{_PART}={name}")
+        top = F.max(self.key).cast("bigint") if self.key else F.lit(None).cast("bigint")
+        seen = self._open(path, [name], schema).agg(F.count("*"), top).first()
+        return name, seen[0], seen[1]
+
+    def _log(self, **entry: object) -> None:
+        self.spark.range(1, numPartitions=1).select(
+            *[F.lit(entry[f.name]).cast(f.dataType).alias(f.name) for f in _VERSION.fields]
+        ).write.mode("append").parquet(f"{self.root}/versions")
 
     def publish(self, df: DataFrame, expected_rows: int | None = None) -> DataFrame:
         """Write a new snapshot, verify its row count, make it the table."""
         latest = self._latest()
         version = (latest["version"] if latest else 0) + 1
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        self._write(df, path, "errorifexists")
-        written = self._open(path, df.schema)
-        rows = written.count()
+        name, rows, top = self._write(df, path)
         if expected_rows is not None and rows != expected_rows:
             raise PublishError(f"{self.root}: wrote {rows} rows, expected {expected_rows}")
-        entry = {"version": version, "path": path, "rows": rows, "schema": df.schema.json()}
-        self.spark.range(1, numPartitions=1).select(
-            *[F.lit(entry[f.name]).cast(f.dataType).alias(f.name) for f in _VERSION.fields]
-        ).write.mode("append").parquet(f"{self.root}/versions")
-        return written
+        self._log(
+            version=version, path=path, increments=json.dumps([name]), rows=rows, top=top, schema=df.schema.json()
+        )
+        return self._open(path, [name], df.schema)
+
+    def append(self, df: DataFrame) -> int:
+        """Add rows with the table's columns; returns how many.
 
-    def append(self, df: DataFrame) -> None:
-        """Add rows to the current snapshot."""
+        Columns are matched by name and must have the table's types.
+        """
         latest = self._latest()
         if latest is None:
-            self.publish(df)
-        else:
-            self._write(df, latest["path"], "append")
+            return self.publish(df).count()
+        schema = T.StructType.fromJson(json.loads(latest["schema"]))
+        kinds = {f.name: f.dataType for f in schema.fields}
+        if {f.name: f.dataType for f in df.schema.fields} != kinds or len(df.columns) != len(kinds):
+            raise PublishError(f"{self.root}: the columns are {df.dtypes}, not those of the table")
+        name, rows, top = self._write(df.select(*[f"`{c}`" for c in kinds]), latest["path"])
+        if rows:
+            tops = [t for t in (latest["top"], top) if t is not None]
+            self._log(
+                version=latest["version"] + 1, path=latest["path"],
+                increments=json.dumps([*json.loads(latest["increments"]), name]),
+                rows=latest["rows"] + rows, top=max(tops, default=None), schema=latest["schema"],
+            )
+        return rows
