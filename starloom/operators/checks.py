@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import fits_broadcast
+from starloom.operators.joins import BROADCAST_ROWS, fits_broadcast
 
 
 class LoadGateError(RuntimeError):
@@ -128,12 +128,13 @@ def orphan_count(
 
 @dataclass(frozen=True)
 class Reference:
-    """A fact column that must exist in a dimension."""
+    """A fact column that must exist in a dimension, of at most ``max_rows`` rows if that is known."""
 
     label: str
     column: str
     dim: DataFrame
     dim_column: str
+    max_rows: int | None = None
 
 
 def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataFrame:
@@ -146,7 +147,9 @@ def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataF
     small, large = [], []
     for ref in references:
         keys = ref.dim.select(ref.dim_column).distinct()
-        fits = fits_broadcast(ref.dim.select(ref.dim_column))
+        # a stated bound is a bound only if it is small
+        stated = ref.max_rows is not None and ref.max_rows <= BROADCAST_ROWS
+        fits = stated or fits_broadcast(ref.dim.select(ref.dim_column))
         (small if fits else large).append((ref, keys))
     flagged = fact
     flags = []

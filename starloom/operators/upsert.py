@@ -156,14 +156,16 @@ def upsert(
 
     columns = [value(c) for c in target.columns]
     did = F.when(changed, "updated").otherwise("kept")
-    if live.count() <= SHORT_ROWS:
+    few = live.limit(SHORT_ROWS + 1).collect()
+    if len(few) <= SHORT_ROWS:
         # the few rows go to the source, and the new rows are numbered as they come
+        live = live.sparkSession.createDataFrame(few, live.schema)
         known = F.broadcast(live.select(key))
         old = live.join(
             incoming.join(known, key, "left_semi"), key, "left"
         ).withColumn(ACTION, did).select(*columns, ACTION)
         new = _shaped(source.join(known, key, "left_anti"), target).withColumn(ACTION, F.lit("inserted"))
-        last, n_new = max_key(live, surrogate), new.count()
+        last, n_new = max((r[surrogate] for r in few if r[surrogate] is not None), default=0), new.count()
     else:
         joined = (
             live.withColumn(_IN_TARGET, F.lit(True))

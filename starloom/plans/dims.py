@@ -91,7 +91,7 @@ def dim_date(
     """One row per day from ``start`` to ``end``, both included."""
     day, days = F.col("FullDate"), calendar_days(start, end)
     days = spark.range(0, days, numPartitions=1 + days // 1_000_000).select(
-        F.date_add(F.lit(start), F.col("id").cast("int")).alias("FullDate")
+        F.date_add(F.to_date(F.lit(start.isoformat())), F.col("id").cast("int")).alias("FullDate")
     )
     return days.select(
         date_key(day).alias("DateKey"),

@@ -8,7 +8,8 @@ costs the running stage at most.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ from starloom import schemas as S
 from starloom.operators import action_counts
 from starloom.operators.upsert import ACTION
 from starloom.plans import clean, dims, facts, marts, validation
+from starloom.session import run_folder, sized_for
 from starloom.sources import SnapshotTable, with_audit
 
 DIMENSIONS = [
@@ -70,13 +72,15 @@ class Warehouse:
         return table.read() if table.exists() else dims.new_dimensions(self.spark)[name]
 
     def _publish_load(self, layer: str, name: str, result: DataFrame) -> None:
-        """Publish an upsert's rows.
+        """Publish an upsert's rows; what it did also says how many to expect."""
+        did = action_counts(result)
+        counts = did.first()
+        self.actions[name] = self.spark.createDataFrame([counts], did.schema)
+        self.table(layer, name).publish(result.drop(ACTION), sum(counts))
 
-        The upsert has written its merged rows already, so counting what it did
-        and how many rows to expect reads one column of them.
-        """
-        self.actions[name] = action_counts(result)
-        self.table(layer, name).publish(result.drop(ACTION), result.count())
+    def _keep(self, report: DataFrame) -> DataFrame:
+        """A report of a few rows, free of the stage tables it was made from."""
+        return self.spark.createDataFrame(report.collect(), report.schema)
 
     # --- stages ---
 
@@ -143,7 +147,7 @@ class Warehouse:
         target = (
             table.read() if table.exists() else self.spark.createDataFrame([], S.FACT_LOAN)
         )
-        self.unmatched["FactLoan"] = loans.unmatched
+        self.unmatched["FactLoan"] = self._keep(loans.unmatched)
         self._publish_load("fact", "FactLoan", facts.upsert_loans(target, loans))
 
         table = self.table("fact", "FactTransaction")
@@ -153,7 +157,7 @@ class Warehouse:
             target, offered.read(), found, self.on_missing,
             increment=offered.rows() * INCREMENT_SHARE <= table.rows(), last_key=table.top(),
         )
-        self.unmatched["FactTransaction"] = load.unmatched
+        self.unmatched["FactTransaction"] = self._keep(load.unmatched)
         table.append(facts.with_year(load.rows))
 
     def build_marts(self) -> None:
@@ -194,10 +198,26 @@ class Warehouse:
         }
 
     def run(self, sources: Mapping[str, DataFrame], run_ts: dt.datetime) -> dict[str, DataFrame]:
-        """All stages in order; running it again with the same sources adds nothing."""
+        """All stages in order; running it again with the same sources adds nothing.
+
+        Scratch tables go when the load is published.
+        """
         self.stage(sources, run_ts)
-        self.clean()
-        self.load_dimensions()
-        self.load_facts()
-        self.build_marts()
+        with run_folder(self.spark), self._sized(sources):
+            self.clean()
+            self.load_dimensions()
+            self.load_facts()
+            self.build_marts()
         return self.validate()
+
+    @contextmanager
+    def _sized(self, sources: Mapping[str, DataFrame]) -> Iterator[None]:
+        """As many shuffle partitions as the staged rows need, never fewer than the session has."""
+        name = "spark.sql.shuffle.partitions"
+        staged = sum(self.table("stg", n).rows() * 16 * len(df.columns) for n, df in sources.items())
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, max(int(before), int(sized_for(staged)[name])))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +24,7 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     splits, to keep the number of tasks in the hundred thousands.
     """
     mb = 1024 * 1024
-    partitions = min(max(-(-input_bytes // (128 * mb)), 8), 200_000)
+    partitions = max(-(-input_bytes // (128 * mb)), 8)
     split = 128 if input_bytes < 10 * mb * mb else 512
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -72,9 +75,28 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_RUN: ContextVar[str | None] = ContextVar("starloom_run", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Stage tables written inside lie in one folder, which is removed at the end.
+
+    What is to outlive the run must be published elsewhere.
+    """
+    path = f"{work_dir(spark)}/starloom/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has used yet, below the shared folder."""
-    return f"{work_dir(spark)}/starloom/{uuid.uuid4().hex}/{name}"
+    """A path nobody has used yet, below the folder of the run or the shared folder."""
+    return f"{_RUN.get() or work_dir(spark) + '/starloom'}/{uuid.uuid4().hex}/{name}"
 
 
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -73,7 +73,7 @@ def test_year_month_label(spark):
 @pytest.mark.parametrize(
     "text, stamp",
     [("931107 00:00:00", dt.datetime(1993, 11, 7)), ("931107 13:05:09", dt.datetime(1993, 11, 7, 13, 5, 9)),
-     ("931107", dt.datetime(1993, 11, 7)), ("931307 00:00:00", None), ("junk", None), (None, None)],
+     ("931107", None), ("931107 00:00:00 ", None), ("931307 00:00:00", None), ("junk", None), (None, None)],
 )
 def test_century_timestamp(spark, text, stamp):
     assert one(spark, century_timestamp("x"), text) == stamp
