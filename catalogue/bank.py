@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from catalogue.roles import OBSERVED_TO, SOURCE_SYSTEM, staged, table
 from starloom.operators.upsert import ACTION
 from starloom.plans import clean, dims, facts, marts
-from starloom.session import stage_table
+from starloom.session import local_rows, stage_table
 
 
 class Bank:
@@ -128,11 +128,11 @@ class Bank:
 
     @cached_property
     def no_loans(self) -> DataFrame:
-        return self.spark.createDataFrame([], facts.S.FACT_LOAN)
+        return local_rows(self.spark, [], facts.S.FACT_LOAN)
 
     @cached_property
     def no_transactions(self) -> DataFrame:
-        return self.spark.createDataFrame([], facts.S.FACT_TRANSACTION)
+        return local_rows(self.spark, [], facts.S.FACT_TRANSACTION)
 
     @cached_property
     def fact_loan(self) -> DataFrame:

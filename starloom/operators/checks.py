@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import BROADCAST_ROWS, fits_broadcast
+from starloom.session import part_of
 
 
 class LoadGateError(RuntimeError):
@@ -149,7 +150,7 @@ def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataF
         keys = ref.dim.select(ref.dim_column).distinct()
         # a stated bound is a bound only if it is small
         stated = ref.max_rows is not None and ref.max_rows <= BROADCAST_ROWS
-        fits = stated or fits_broadcast(ref.dim.select(ref.dim_column))
+        fits = stated or fits_broadcast(part_of(ref.dim, ref.dim.select(ref.dim_column)))
         (small if fits else large).append((ref, keys))
     flagged = fact
     flags = []

@@ -8,12 +8,11 @@ rows are sliced, so no task gets a whole hot key.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from starloom.session import byte_size, known_size
 
 #: largest lookup that is broadcast, in rows and in bytes
 BROADCAST_ROWS = 500_000
@@ -24,21 +23,17 @@ SLICE_ROWS = 1_000_000
 _SALT, _SLICES, _HOT = "_salt", "_slices", "_hot"
 
 
-def byte_size(df: DataFrame) -> Column:
-    """Aggregate: about how many bytes the rows take, by the lengths of their texts."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]
-    return reduce(add, lengths, F.count("*") * (16 * len(df.columns)))
-
-
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Whether ``df`` has at most so many rows and bytes.
 
-    Every task sends one partial sum, so the check costs a scan of the columns
+    A stage table's size is known from its write.  Otherwise every task sends one partial sum, so the check costs a scan of the columns
     given and moves nothing; pass stored tables and only the columns needed.
     """
+    known = known_size(df)
+    if known is not None and known[0] <= max_rows and known[1] <= max_bytes:
+        return True
     seen = df.agg(F.count("*").alias("rows"), byte_size(df).alias("bytes")).first()
     return seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from starloom.constants import UNKNOWN_KEY
 from starloom.operators.checks import LoadGateError
-from starloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, byte_size, lookup_join
-from starloom.session import stage_table
+from starloom.operators.joins import fits_broadcast, lookup_join
+from starloom.session import known_size, part_of, stage_table
 
 
 @dataclass(frozen=True)
@@ -41,19 +41,8 @@ class KeyLookup:
 
     @cached_property
     def fits(self) -> bool:
-        """Whether the dimension may be broadcast; measured once per lookup.
-
-        The same pass makes sure that no value occurs twice, which would
-        multiply facts.
-        """
-        dim, probe = self.narrow(), F.col(self._probe)
-        seen = dim.agg(
-            F.count("*").alias("rows"), byte_size(dim).alias("bytes"),
-            (F.count(probe) - F.count_distinct(probe)).alias("surplus"),
-        ).first()
-        if seen["surplus"]:
-            raise LoadGateError(f"duplicate keys in {self.dim_column} of the lookup {self.name}")
-        return seen["rows"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_BYTES
+        """Whether the dimension may be broadcast; measured once per lookup."""
+        return fits_broadcast(part_of(self.dim, self.narrow()))
 
     def narrow(self) -> DataFrame:
         return self.dim.select(
@@ -132,12 +121,18 @@ def resolve_once(
 
     The joined rows are written with what every lookup found; dropping rows,
     counting the unmatched and numbering what is left then read that table.
+    A dimension with a key twice would multiply rows: then nothing is loaded.
     """
     stored = stage_table(_joined(fact, lookups, row_id), "resolved")
+    before = known_size(fact)[0] if known_size(fact) else fact.count()
+    if known_size(stored)[0] != before:
+        keys = ", ".join(look.name for look in lookups)
+        raise LoadGateError(f"duplicate keys in a dimension of {keys}: {before} rows became {known_size(stored)[0]}")
     rows = stored
     for look in lookups:
         found = F.col(look._found)
         if look.on_missing == "drop":
             rows = rows.filter(found.isNotNull())
         rows = rows.withColumn(look.name, F.coalesce(found, F.lit(UNKNOWN_KEY)))
-    return rows.drop(*[look._found for look in lookups]), _unmatched(stored, lookups)
+    rows = rows.drop(*[look._found for look in lookups])
+    return part_of(stored, rows), _unmatched(stored, lookups)

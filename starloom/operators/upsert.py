@@ -12,7 +12,7 @@ from starloom.constants import OPEN_END, UNKNOWN_KEY
 from starloom.operators.checks import require_unique
 from starloom.operators.joins import fits_broadcast
 from starloom.operators.keys import assign_keys, max_key
-from starloom.session import stage_table
+from starloom.session import known_size, local_rows, part_of, stage_table
 
 #: a target of up to this many rows is matched without writing a merged copy
 SHORT_ROWS = 1_000
@@ -86,7 +86,7 @@ def insert_new(
         fresh = stage_table(fresh, "fresh")
         kind = target.schema[surrogate].dataType.simpleString()
         fresh = assign_keys(
-            fresh, key, surrogate, max_key(target, surrogate) + 1, kind, max_rows=fresh.count(),
+            fresh, key, surrogate, max_key(target, surrogate) + 1, kind, max_rows=known_size(fresh)[0],
             stored=True,
         )
     return target.withColumn(ACTION, F.lit("kept")).unionByName(
@@ -159,13 +159,15 @@ def upsert(
     few = live.limit(SHORT_ROWS + 1).collect()
     if len(few) <= SHORT_ROWS:
         # the few rows go to the source, and the new rows are numbered as they come
-        live = live.sparkSession.createDataFrame(few, live.schema)
+        live = local_rows(live.sparkSession, few, live.schema)
         known = F.broadcast(live.select(key))
         old = live.join(
             incoming.join(known, key, "left_semi"), key, "left"
         ).withColumn(ACTION, did).select(*columns, ACTION)
         new = _shaped(source.join(known, key, "left_anti"), target).withColumn(ACTION, F.lit("inserted"))
-        last, n_new = max((r[surrogate] for r in few if r[surrogate] is not None), default=0), new.count()
+        last = max((r[surrogate] for r in few if r[surrogate] is not None), default=0)
+        # at most the rows of the source
+        n_new = known_size(source)[0] if known_size(source) else new.count()
     else:
         joined = (
             live.withColumn(_IN_TARGET, F.lit(True))
@@ -214,6 +216,7 @@ def upsert_current(
         .withColumn("EffectiveTo", F.lit(OPEN_END))
         .withColumn("IsCurrent", F.lit(True))
     )
+    part_of(source, dated)
     return upsert(
         target, dated, key, update, surrogate, protect=protect, scope=F.col("IsCurrent")
     )

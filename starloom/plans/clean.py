@@ -24,6 +24,7 @@ from starloom.functions import (
 )
 from starloom.operators import latest_per_key, preferred_per_key
 from starloom.operators.joins import lookup_join
+from starloom.session import part_of
 from starloom.sources.staging import AUDIT
 
 _STATUS = [r for r in K.LOAN_STATUS if r[0] != K.UNKNOWN_CODE]
@@ -111,9 +112,9 @@ def loan_clean(loan: DataFrame, accounts: DataFrame) -> DataFrame:
     latest = latest_per_key(loan, "loan_id", AUDIT).filter(
         (F.col("amount") > 0) & (F.col("duration") > 0) & (F.col("payments") > 0)
     )
-    district = accounts.select(
+    district = part_of(accounts, accounts.select(
         F.col("AccountID").alias("account_id"), F.col("DistrictID").alias("_district")
-    )
+    ))
     joined = lookup_join(
         latest, district, "account_id", "left", row_id="loan_id", measure=loan
     )
@@ -145,7 +146,9 @@ def transaction_clean(trans: DataFrame, accounts: DataFrame) -> DataFrame:
     latest = latest_per_key(trans, "trans_id", AUDIT).filter(
         F.col("account_id").isNotNull() & F.col("date").isNotNull() & F.col("amount").isNotNull()
     )
-    district = accounts.select(F.col("AccountID").alias("account_id"), "DistrictID")
+    district = part_of(
+        accounts, accounts.select(F.col("AccountID").alias("account_id"), "DistrictID")
+    )
     joined = lookup_join(
         latest, district, "account_id", "inner", row_id="trans_id", measure=trans
     )

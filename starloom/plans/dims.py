@@ -21,7 +21,6 @@ from starloom.functions import (
     try_rate,
 )
 from starloom.operators import (
-    ensure_unknown,
     insert_new,
     new_rows,
     preferred_per_key,
@@ -30,6 +29,7 @@ from starloom.operators import (
 )
 from starloom.operators.joins import lookup_join
 from starloom.operators.upsert import ACTION
+from starloom.session import local_rows, part_of
 from starloom.sources.files import constant_table
 from starloom.sources.staging import AUDIT
 
@@ -135,7 +135,8 @@ def operation_values(spark: SparkSession) -> DataFrame:
 
 def empty_dim(spark: SparkSession, schema, key: str) -> DataFrame:
     """A new dimension that holds only its unknown member."""
-    return ensure_unknown(spark.createDataFrame([], schema), key, UNKNOWN_MEMBERS[key])
+    values = {**UNKNOWN_MEMBERS[key], key: K.UNKNOWN_KEY}
+    return local_rows(spark, [[values.get(f.name) for f in schema.fields]], schema)
 
 
 def load_lookup(target: DataFrame, values: DataFrame, code: str, key: str) -> DataFrame:
@@ -256,7 +257,7 @@ def load_account(target: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("AccountOpenDate").alias("_opened"),
     )
     return upsert_current(
-        target, source, "AccountID", ACCOUNT_ATTRIBUTES, "AccountKey",
+        target, part_of(accounts, source), "AccountID", ACCOUNT_ATTRIBUTES, "AccountKey",
         effective_from="_opened", protect=_known("AccountID"),
     )
 

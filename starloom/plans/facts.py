@@ -30,7 +30,7 @@ from starloom.operators import (
     upsert,
 )
 from starloom.operators.joins import lookup_join
-from starloom.session import stage_table
+from starloom.session import known_size, part_of, stage_table
 
 Dims = Mapping[str, DataFrame]
 
@@ -56,7 +56,7 @@ class FactLoad:
 
 
 def _current(dim_account: DataFrame) -> DataFrame:
-    return dim_account.filter("IsCurrent")
+    return part_of(dim_account, dim_account.filter("IsCurrent"))
 
 
 def _date_lookup(dims: Dims, fact_column: str) -> KeyLookup:
@@ -115,7 +115,7 @@ def resolve_loans(loans: DataFrame, dims: Dims, on_missing: str = "unknown") ->
     """Clean loans with surrogate keys, and the unmatched counts."""
     lookups = loan_lookups(dims, on_missing)
     rows, unmatched = resolve_once(loans, lookups, row_id="LoanID")
-    return FactLoad(rows.select(*[c for c in LOAN_COLUMNS if c != "LoanKey"]), unmatched)
+    return FactLoad(part_of(rows, rows.select(*[c for c in LOAN_COLUMNS if c != "LoanKey"])), unmatched)
 
 
 def upsert_loans(target: DataFrame, load: FactLoad) -> DataFrame:
@@ -238,7 +238,7 @@ def append_transactions(
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
         load.rows, "TransactionID", "TransactionKey", last_key + 1,
-        max_rows=fresh.count(), stored=True,
+        max_rows=known_size(fresh)[0], stored=True,
     )
     return FactLoad(rows.select(*TRANSACTION_COLUMNS), load.unmatched)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom import constants as K
 from starloom.functions import ratio, total, year_month_label
 from starloom.operators.joins import lookup_join
-from starloom.session import stage_table
+from starloom.session import part_of, stage_table
 
 DISTRICT_COLUMNS = [
     "DistrictKey", "DistrictID", "DistrictName", "RegionName", "Population", "AverageSalary",
@@ -27,7 +27,7 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     spreads out a month that has most of the rows.
     """
     months = ["Year", "MonthNumber"]
-    days = calendar.select("DateKey", *months)
+    days = part_of(calendar, calendar.select("DateKey", *months))
     per_day = fact.groupBy("DateKey").agg(
         F.sum("TransactionCount").alias("n"),
         *[F.sum(c).alias(c) for c in ("TransactionAmount", "InflowAmount", "OutflowAmount", "SignedAmount")],
@@ -159,7 +159,7 @@ def loan_listing(fact: DataFrame, dims: Mapping[str, DataFrame], n: int = 100) -
     The ``n`` rows are chosen first (a top-n, no full sort) and written; the
     dimensions are then read only for them.
     """
-    days = dims["DimDate"].select(F.col("DateKey").alias("LoanDateKey"), "FullDate")
+    days = part_of(dims["DimDate"], dims["DimDate"].select(F.col("DateKey").alias("LoanDateKey"), "FullDate"))
     dated = lookup_join(fact, days, "LoanDateKey", "inner", row_id="LoanID")
     chosen = stage_table(dated.orderBy("FullDate", "LoanID").limit(n), "chosen")
 

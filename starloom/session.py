@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
@@ -99,9 +105,47 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_RUN.get() or work_dir(spark) + '/starloom'}/{uuid.uuid4().hex}/{name}"
 
 
+def byte_size(df: DataFrame) -> Column:
+    """Aggregate: about how many bytes the rows take, by the lengths of their texts."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]
+    return reduce(add, lengths, F.count(F.lit(1)) * (16 * len(df.columns)))
+
+
+_SIZE = "_starloom_size"
+
+
+def known_size(df: DataFrame) -> tuple[int, int] | None:
+    """(rows, bytes) of a stage table or a part of one, as counted when it was written."""
+    return getattr(df, _SIZE, None)
+
+
+def part_of(whole: DataFrame, part: DataFrame) -> DataFrame:
+    """``part``, some rows or columns of ``whole``, with the whole's size as its bound."""
+    if known_size(whole) is not None:
+        setattr(part, _SIZE, known_size(whole))
+    return part
+
+
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once and return a frame that reads the written table."""
+    """Write ``df`` once and return a frame that reads the written table.
+
+    Rows and bytes are counted by the write itself; see ``known_size``.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), byte_size(df).alias("bytes")).write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    setattr(stored, _SIZE, (seen.get["rows"], seen.get["bytes"]))
+    return stored
+
+
+def local_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
+    """A few rows as part of the plan, so reading them starts no job."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
+    kinds = to_arrow_schema(schema)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
+    df = spark.createDataFrame(table, schema)
+    setattr(df, _SIZE, (len(rows), table.nbytes))
+    return df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.schemas import DISTRICT_FILE, DISTRICT_NAMES
+from starloom.session import local_rows
 
 
 def read_delimited(
@@ -58,7 +59,9 @@ def constant_table(
     spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str
 ) -> DataFrame:
     """A short table of fixed rows."""
-    return spark.createDataFrame(list(rows), schema)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return local_rows(spark, rows, schema)
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

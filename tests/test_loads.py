@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from starloom import operators as O
 from starloom import schemas as S
-from starloom.operators import LoadGateError, joins, lookup
+from starloom.operators import LoadGateError, joins
 from starloom.plans import dims, facts
-from starloom.session import new_path, stage_table
+from starloom.session import byte_size, known_size, new_path, stage_table
 from starloom.sources import PublishError, SnapshotTable
 
 
@@ -41,7 +41,7 @@ def test_size_check_moves_no_rows(spark):
     wide = spark.range(1000, numPartitions=20).withColumn("t", F.lit("x" * 1000))
     assert joins.fits_broadcast(wide) and not joins.fits_broadcast(wide, max_bytes=100_000)
     assert not joins.fits_broadcast(wide, max_rows=999)
-    checked = plan(wide.agg(F.count("*"), joins.byte_size(wide)))
+    checked = plan(wide.agg(F.count("*"), byte_size(wide)))
     assert "Limit" not in checked and checked.count("partial_count") == 1
 
 
@@ -75,14 +75,21 @@ def _compare_bounds(spark):
 
 def test_a_dimension_with_a_key_twice_is_refused(spark):
     dim = spark.createDataFrame([(1, 10), (1, 11), (None, 0), (None, 0)], "id long, key long")
-    with pytest.raises(LoadGateError, match="duplicate keys in id"):
+    with pytest.raises(LoadGateError, match="duplicate keys"):
         O.resolve_once(spark.range(3), [O.KeyLookup(dim, "id", "id", "key")], "id")
 
 
+def test_a_stage_table_knows_its_size(spark):
+    stored = stage_table(spark.range(10).select(F.lit("abc").alias("t")))
+    assert known_size(stored) == (10, 10 * 16 + 30) and known_size(spark.range(1)) is None
+    assert known_size(stage_table(spark.range(0))) == (0, 0)
+    assert joins.fits_broadcast(stored) and not joins.fits_broadcast(stored, max_rows=9)
+
+
 # --- one join per load ---
 
 
-def test_the_star_join_runs_once(spark, monkeypatch):
+def test_the_star_join_runs_once(spark):
     reads = spark.sparkContext.accumulator(0)
 
     @F.udf("long")
@@ -92,7 +99,6 @@ def test_the_star_join_runs_once(spark, monkeypatch):
 
     fact = stage_table(spark.range(50)).select(seen("id").alias("id"))
     dim = spark.range(40).select("id", (F.col("id") + 1).alias("key"))
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 1000)
     rows, unmatched = O.resolve_once(fact, [O.KeyLookup(dim, "id", "id", "key", on_missing="drop")], "id")
     assert rows.count() == 40 and unmatched.first()["UnmatchedRows"] == 10
     assert O.assign_keys(rows, "id", "n", stored=True).agg(F.max("n")).first()[0] == 40
