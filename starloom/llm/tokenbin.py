@@ -30,6 +30,7 @@ import re
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ RANK_BITS = 512
 SEGMENT_IDS = 1 << 20
 
 #: Words whose ids a task remembers; beyond it, it begins anew.
-MEMORY = 200_000
+MEMORY = 800_000
 
 _HEAD = struct.Struct("<4sIIQQ")
 
@@ -148,21 +149,55 @@ class Segment:
 
 # --- ids of texts -----------------------------------------------------------------------------------------------
 
-#: Characters at which a text may be cut into words; every one is white space to the tokenizer's pattern.
+#: Python's white space that is none to the tokenizer's pattern.
+_NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+
 _CUT = re.compile(r"[ \t\n\r]+")
 
 
+def cut(text: str) -> list[str]:
+    """A text's words, cut at characters that are white space to the tokenizer's pattern."""
+    if any(c in text for c in _NOT_SPACE):
+        return _CUT.split(text)
+    return text.split()
+
+#: Characters that may be cut off a word's end: never part of a letter run, nor of a special token.
+TAIL = ".,;:!?%*#$&@()[]{}+-=/^_~"
+
+
+def _byte_characters() -> dict[int, int]:
+    """How byte-level tokenizers write each byte: printable ones as they are, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [x for x in range(256) if x not in plain]
+    return {x: x for x in plain} | {x: 256 + i for i, x in enumerate(rest)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
+def _simple(word: str) -> bool:
+    """Letters up to U+017F, which the tokenizer only lower-cases and takes as one piece.
+
+    All are composed already, and all but one have one character in lower case.
+    """
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0180" and "\u0130" not in word))
+
+
 class Words:
     """Ids by a word-level tokenizer file, remembering those of words.
 
     Only for tokenizers that turn white space into nothing but borders, so that
     a text's ids are those of its words one after the other; ``from_file``
-    checks that the file is such a one.
+    checks that the file is such a one.  A word of letters with a tail of
+    punctuation is looked up as these two: the pattern always parts them.
+    Letters are one piece, so they go to the tokenizer's model at once; any other
+    word goes the whole way.
     """
 
     def __init__(self, tokenizer, memory: int = MEMORY):
         self._tokenizer, self._memory = tokenizer, memory
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._model = tokenizer.model
+        self._known: dict[str, bytes] = {}
 
     @classmethod
     def from_file(cls, path: str, memory: int = MEMORY) -> "Words":
@@ -173,32 +208,59 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
-        split = (said.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        split, level = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}])[:2]
         special = [x["content"] for x in said["added_tokens"]]
         if not (
             split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed"
-            and "\\s" in split["pattern"]["Regex"].rpartition("[^")[2] and said.get("truncation") is None
+            and split["pattern"]["Regex"].endswith("[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+            and level.get("type") == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+            and [x["type"] for x in said["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+            and said.get("truncation") is None
             and not any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in said["added_tokens"])
-            and not any(_CUT.search(x) for x in special)
+            and not any(_CUT.search(x) or set(TAIL) & set(x) for x in special)
         ):
             raise ValueError(f"{path}: white space is not dropped by this tokenizer")
         return cls(Tokenizer.from_file(path), memory)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [_CUT.split(t) if t.strip(" \t\n\r") else [] for t in texts]
-        known = self._known
-        new = {w for words in split for w in words if w not in known}
+        split = [cut(t) for t in texts]
+        new = set(chain.from_iterable(split)).difference(self._known)
         if new:
-            if len(known) + len(new) > self._memory:
-                known.clear()
-                new = {w for words in split for w in words}
-            listed = list(new)
-            for begin in range(0, len(listed), 4096):
-                some = listed[begin : begin + 4096]
-                for word, found in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = found.ids
-        return [[i for w in words for i in known[w]] for words in split]
+            if len(self._known) + len(new) > self._memory:
+                self._known.clear()
+                new = set(chain.from_iterable(split))
+            self._learn(new)
+        find = self._known.__getitem__
+        return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in split]
+
+    def _learn(self, new: set[str]) -> None:
+        known, tokenize, others = self._known, self._model.tokenize, []
+        known[""] = b""
+        for word in new:
+            base = word.rstrip(TAIL)
+            if not _simple(base):
+                others.append(word)
+                continue
+            tail = word[len(base) :]
+            if tail not in known:
+                self._whole([tail])
+            base = base.lower()
+            if base not in known:
+                written = base if base.isascii() else base.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+                known[base] = _packed([t.id for t in tokenize(written)])
+            if word is not base:
+                known[word] = known[base] + known[tail]
+        for begin in range(0, len(others), 4096):
+            self._whole(others[begin : begin + 4096])
+
+    def _whole(self, words: list[str]) -> None:
+        for word, found in zip(words, self._tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self._known[word] = _packed(found.ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -219,6 +281,7 @@ def write_segments(docs: DataFrame, path: str, end_id: int, segment_ids: int = S
     def task(batches):
         words, part, number = words_of(path), TaskContext.get().partitionId(), 0
         doc_ids, sizes, found, total = [], [], [], 0
+        end = np.array([end_id], np.uint32)
 
         def segment():
             ids = np.concatenate(found)
@@ -231,11 +294,10 @@ def write_segments(docs: DataFrame, path: str, end_id: int, segment_ids: int = S
             names, texts = batch.column(0), strings(batch.column(1))
             for begin in range(0, len(texts), 64):
                 for name, ids in zip(names[begin : begin + 64].to_pylist(), words.encode(texts[begin : begin + 64].to_pylist())):
-                    ids.append(end_id)
                     doc_ids.append(name)
-                    sizes.append(len(ids))
-                    found.append(np.array(ids, np.uint32))
-                    total += len(ids)
+                    sizes.append(len(ids) + 1)
+                    found += [ids, end]
+                    total += len(ids) + 1
                     if total >= segment_ids:
                         yield segment()
                         doc_ids, sizes, found, total, number = [], [], [], 0, number + 1

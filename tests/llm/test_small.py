@@ -564,7 +564,16 @@ def test_words_give_the_library_ids():
     texts = ["", " ", *[t for t in TEXTS if t], *("".join(draw.choices(alphabet, k=draw.randint(1, 30))) for _ in range(600))]
     for begin in range(0, len(texts), 37):
         some = texts[begin : begin + 37]
-        assert own.encode(some) == [library_.encode(t, add_special_tokens=False).ids for t in some]
+        assert [x.tolist() for x in own.encode(some)] == [library_.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_words_are_cut_at_white_space_only():
+    library_ = word_library()
+    space = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and len(tokenbin.cut(f"a{c}b")) == 2]
+    assert " " in space and "\u3000" in space and "\x1c" not in space
+    ids = [library_.encode(x, add_special_tokens=False).ids for x in ("a", "b")]
+    for c in space:
+        assert library_.encode(f"a{c}b", add_special_tokens=False).ids == ids[0] + ids[1]
 
 
 def test_segment_access():
