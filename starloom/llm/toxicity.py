@@ -138,8 +138,17 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
         .where("_llm_id IS NOT NULL AND toxic IS NOT NULL").groupBy("_llm_id")
         .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     )
-    by = Window.partitionBy("toxic").orderBy(F.xxhash64("_llm_id"), "_llm_id")
-    chosen = known.withColumn("n", F.row_number().over(by)).where(F.col("n") <= sample).select("_llm_id", "toxic")
+    counts = known.groupBy("toxic").count().collect()
+    if not counts:
+        return docs.select(F.lit(0).alias("toxic"), F.col("text").cast("string").alias("text")).limit(0)
+    # about twice the sample lies below this share of the hashes, so the sort sees no more
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["toxic"], min(1.0, 2 * sample / r["count"]))])
+    by = Window.partitionBy("toxic").orderBy("h", "_llm_id")
+    chosen = (
+        known.withColumn("h", F.shiftrightunsigned(F.xxhash64("_llm_id"), 1))
+        .where(F.col("h") / F.lit(float(1 << 63)) <= F.element_at(share, F.col("toxic")))
+        .withColumn("n", F.row_number().over(by)).where(F.col("n") <= sample).select("_llm_id", "toxic")
+    )
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id")).select("toxic", "text")
 
