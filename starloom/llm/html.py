@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.arrow import send_code
+from starloom.operators.joins import fits_broadcast
+from starloom.session import stage_table
 
 #: Tags whose content is not text, up to their end tag.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "canvas")
@@ -292,7 +294,9 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     send_code(pages.sparkSession)
-    won = winning_paths(pages)
+    # a row per host: where they are few, pages stay where they lie; else the join splits a host with many pages
+    won = stage_table(winning_paths(pages), "paths")
+    won = F.broadcast(won) if fits_broadcast(won) else won
     # the same host as host_of gives
     host = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1)
     host = F.lower(F.substring_index(F.substring_index(host, "@", -1), ":", 1))
