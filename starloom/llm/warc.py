@@ -199,9 +199,13 @@ def records(content: bytes) -> Iterator[tuple[int, dict]]:
 
 def train(payloads: DataFrame, records: int = DICTIONARY_RECORDS) -> bytes:
     """A dictionary from a bounded number of whole payloads, those with the smallest hash; empty if they are too few."""
+    n = payloads.count()
+    # about four times the records lie below this share of the hashes; copies of a payload have one hash
     some = (
-        payloads.where(f"size BETWEEN 1 AND {DICTIONARY_RECORD_BYTES}").select("payload", F.xxhash64("payload").alias("h"))
-        .orderBy("h").limit(records).collect()
+        payloads.where(f"size BETWEEN 1 AND {DICTIONARY_RECORD_BYTES}")
+        .select("payload", F.shiftrightunsigned(F.xxhash64("payload"), 1).alias("h"))
+        .where(F.col("h") / F.lit(float(1 << 63)) <= min(1.0, 4 * records / max(n, 1)))
+        .groupBy("h").agg(F.min("payload").alias("payload")).orderBy("h").limit(records).collect()
     )
     samples = sorted({bytes(r["payload"]) for r in some})
     if len(samples) < 8:
