@@ -80,7 +80,9 @@ _TOKEN = re.compile(
     r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute: its name ends at white space, a slash or "="; what follows "=" is its value, whatever it holds.
+_ATTRIBUTE = re.compile(r"(=?[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = frozenset(("class", "id", "role", "hidden"))
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -127,6 +129,15 @@ class Page:
         return "\n".join(text for text, at, _ in self.blocks if at >= 0 and inside[at])
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    """class, id, role and hidden of a tag; of one given twice the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(rest) if rest else ():
+        if (name := m[1].lower()) in _READ:
+            found.setdefault(name, html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
 def _noise(name: str, attributes: dict[str, str]) -> bool:
     if name in NOISE_TAGS or "hidden" in attributes or attributes.get("role", "").lower() in NOISE_ROLES:
         return True
@@ -222,9 +233,7 @@ def parse(source: str) -> Page:
             close_block()
         if name in VOID:
             continue
-        attributes = {}
-        for m in _ATTRIBUTE.finditer(token["rest"]) if token["rest"] else ():
-            attributes.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+        attributes = _attributes(token["rest"])
         outer = stack[-1] if stack else None
         noise = bool(outer and outer.noise) or _noise(name, attributes)
         path = outer.path if outer else (0 if page.paths else -1)

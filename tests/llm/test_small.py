@@ -545,6 +545,17 @@ def test_paths_are_voted_on(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", [
+    "body style='overflow:hidden'", "div aria-hidden=\"false\"", "div data-id=ad", "div data-class='sidebar' class=story",
+    "div data-href=/a?role=form title='the id = ad'", "div class=story class=ad", "div data-x='class=\"ad\"' Class = story",
+])
+def test_attributes_are_told_by_their_whole_name(tag):
+    page = html.parse(f"<html><{tag}><p>{'the story ' * 20}</p></{tag.split()[0]}>")
+    assert [b[0] for b in page.blocks] == [("the story " * 20).strip()]
+    assert "sidebar" not in page.paths[-1] and "ad" not in page.paths[-1].split(".")
+    assert not html.parse("<body><div hidden>x</div><div role='form'>y</div><p><b HIDDEN=hidden>z</b>").blocks
+
+
 # --- token files ------------------------------------------------------------------------------------------------
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
