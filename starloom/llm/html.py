@@ -10,6 +10,15 @@ containers of that path.  A page without such a container uses its own best.
 
 Left out are menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments, known by their tag, role, class or id.
+Of classes and ids only those of blocks count, not those of inline tags, and an
+element that holds more than half of the page's plain (not linked) text is not
+left out by one, unless it is marked by a whole class or id and lies beside an
+``article`` or ``main`` with text, or holds reader comments and a tenth of the
+text is something else.
+A word that is only a part of a class or id (``post-sidebar``) leaves out what is
+linked by half or more, or holds, together with the other elements of that
+word, less than ``SMALL`` of the plain text.  The winning container stays on
+every page, whatever marks it.
 Character references are decoded, white space inside a block becomes one space,
 and blocks are joined by one line feed.  Inline tags do not part words; ``br``
 is white space.
@@ -53,6 +62,15 @@ NOISE_WORDS = frozenset(
     "comment comments disqus respond replies reply form search toolbar skip".split()
 )
 
+#: Words of reader comments.
+COMMENT_WORDS = frozenset("comment comments disqus respond replies reply".split())
+
+#: Elements marked by a word inside a class are noise below this share of the page's plain text.
+SMALL = 0.25
+
+#: Reader comments are noise where at least this share of the page's plain text is something else.
+OTHER = 0.1
+
 #: Tags that begin and end a block of text.
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html "
@@ -86,6 +104,14 @@ _READ = frozenset(("class", "id", "role", "hidden"))
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: A class that says what the element is next to, not what it is.
+_STATE = re.compile(r"(?:has|no|with|without)[-_]", re.I)
+
+
+def _tag(path: str) -> str:
+    """The tag of a path's container."""
+    return path.rpartition(">")[2].split(".")[0].split("#")[0]
+
 
 @dataclass
 class _Open:
@@ -95,38 +121,147 @@ class _Open:
     path: int  # of the container it is in, or is
     noise: bool
     link: bool
+    mark: int  # of the marked element it is in, or is, -1 for none
+
+
+@dataclass
+class _Mark:
+    """An element whose class or id has words of noise."""
+
+    above: int  # the marked element around it, -1 for none
+    whole: frozenset[str]  # words that are a class or the id
+    parts: frozenset[str]  # words inside one
+    at: int  # the container it is in, or is
+    plain: int = 0  # characters that are not linked
+    linked: int = 0
 
 
 @dataclass
 class Page:
-    """A page's containers, as paths, and its blocks with the containers around them."""
+    """A page's containers, as paths, and its blocks with the containers around them.
+
+    Blocks of marked elements are kept; ``judge`` says which marks are noise.
+    """
 
     paths: list[str] = field(default_factory=list)
     above: list[int] = field(default_factory=list)  # the container around a container, -1 for none
-    blocks: list[tuple[str, int, int]] = field(default_factory=list)  # text, container, linked characters
+    marked: list[int] = field(default_factory=list)  # the innermost mark at or around a container
+    marks: list[_Mark] = field(default_factory=list)
+    noise: list[bool] = field(default_factory=list)  # whether a mark is noise
+    blocks: list[tuple[str, int, int, int]] = field(default_factory=list)  # text, container, linked characters, mark
+
+    def judge(self) -> None:
+        """Which marks are noise, by what they hold of the page."""
+        total = 0
+        for text, _, linked, mark in self.blocks:
+            plain = max(len(text) - linked, 0)
+            total += plain
+            if mark >= 0:
+                self.marks[mark].plain += plain
+                self.marks[mark].linked += min(linked, len(text))
+        for mark in reversed(self.marks):  # a mark comes after the one around it
+            if mark.above >= 0:
+                self.marks[mark.above].plain += mark.plain
+                self.marks[mark.above].linked += mark.linked
+        whole = self._together([m.whole for m in self.marks], [m.plain for m in self.marks])
+        either = self._together([m.whole | m.parts for m in self.marks], [m.plain for m in self.marks])
+        comments = sum(
+            m.plain for m, n in zip(self.marks, self._outer([bool(m.whole & COMMENT_WORDS) for m in self.marks])) if n
+        )
+        many = total - comments >= OTHER * total
+        self.noise = []
+        for mark, by_whole, by_any in zip(self.marks, whole, either):
+            if many and mark.whole & COMMENT_WORDS:
+                self.noise.append(True)
+            elif 2 * mark.plain > total:
+                self.noise.append(bool(mark.whole) and self._beside_main(len(self.noise)))
+            else:
+                self.noise.append(
+                    mark.linked >= mark.plain or any(2 * n <= total for n in by_whole.values())
+                    or any(by_any[w] < SMALL * total for w in mark.parts)
+                )
+
+    def _beside_main(self, mark: int) -> bool:
+        """Whether text of an article or main lies neither in nor around a mark that is none itself."""
+        at, around = self.marks[mark].at, set()
+        if at >= 0 and self.marked[at] == mark and _tag(self.paths[at]) in BONUS:
+            return False
+        while at >= 0:
+            around.add(at)
+            at = self.above[at]
+        for text, at, linked, inner in self.blocks:
+            while inner > mark:
+                inner = self.marks[inner].above
+            if inner == mark or linked >= len(text):
+                continue
+            while at >= 0:
+                if at not in around and _tag(self.paths[at]) in BONUS:
+                    return True
+                at = self.above[at]
+        return False
+
+    def _outer(self, chosen: list[bool]) -> list[bool]:
+        """Which chosen marks have no chosen one around them."""
+        inside: list[bool] = []
+        for mark in self.marks:
+            inside.append(mark.above >= 0 and (inside[mark.above] or chosen[mark.above]))
+        return [c and not i for c, i in zip(chosen, inside)]
+
+    def _together(self, words: list[frozenset[str]], plain: list[int]) -> list[dict[str, int]]:
+        """For each mark and word: what all marks of the word hold, those around it not counted as a whole."""
+        near: list[dict[str, int]] = []  # the next mark around of each word
+        held: dict[tuple[int, str], int] = {}  # by that mark and the word
+        for i, mark in enumerate(self.marks):
+            up = near[mark.above] | dict.fromkeys(words[mark.above], mark.above) if mark.above >= 0 else {}
+            near.append(up)
+            for w in words[i]:
+                key = up.get(w, -1), w
+                held[key] = held.get(key, 0) + plain[i]
+        found: list[dict[str, int]] = []
+        for i in range(len(self.marks)):
+            found.append({})
+            for w in words[i]:
+                up = near[i].get(w, -1)
+                found[i][w] = held[up, w] + (found[up][w] - plain[up] if up >= 0 else 0)
+        return found
+
+    def kept(self, mark: int, top: int = -1) -> bool:
+        """Whether no mark from ``mark`` out to ``top`` (left out) is noise."""
+        while mark > top:
+            if self.noise[mark]:
+                return False
+            mark = self.marks[mark].above
+        return True
 
     def scores(self) -> dict[str, float]:
         """The score of each path on this page."""
         total: dict[str, float] = {}
-        for text, at, linked in self.blocks:
+        for text, at, linked, mark in self.blocks:
+            if not self.kept(mark):
+                continue
             plain = max(len(text) - 2 * linked, 0)
             for share in FALL:
                 if at < 0:
                     break
                 path = self.paths[at]
-                bonus = BONUS.get(path.rpartition(">")[2].split(".")[0].split("#")[0], 1.0)
+                bonus = BONUS.get(_tag(path), 1.0)
                 total[path] = total.get(path, 0.0) + plain * share * bonus
                 at = self.above[at]
         return {path: score for path, score in total.items() if score > 0}
 
     def text(self, path: str | None) -> str | None:
-        """The blocks inside the containers of ``path``; None if there is no such container."""
-        inside: list[bool] = []
-        for own, above in zip(self.paths, self.above):  # a container comes after the one around it
-            inside.append(own == path or (above >= 0 and inside[above]))
-        if not any(inside):
+        """The blocks inside the containers of ``path``; None if there is no such container.
+
+        The path was chosen, so marks at or around such a container do not count.
+        """
+        inside: list[int] = []  # -2 if not inside, else the mark of the container of the path
+        for own, above, mark in zip(self.paths, self.above, self.marked):  # a container comes after the one around it
+            inside.append(mark if own == path else inside[above] if above >= 0 else -2)
+        if all(top == -2 for top in inside):
             return None
-        return "\n".join(text for text, at, _ in self.blocks if at >= 0 and inside[at])
+        return "\n".join(
+            text for text, at, _, mark in self.blocks if at >= 0 and inside[at] > -2 and self.kept(mark, inside[at])
+        )
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -139,13 +274,21 @@ def _attributes(rest: str) -> dict[str, str]:
 
 
 def _noise(name: str, attributes: dict[str, str]) -> bool:
-    if name in NOISE_TAGS or "hidden" in attributes or attributes.get("role", "").lower() in NOISE_ROLES:
-        return True
-    if name in ("body", "html", "article", "main"):
-        # such a tag is told by whole classes: a body may be called "no-sidebar"
-        return not NOISE_WORDS.isdisjoint(attributes.get("class", "").lower().split()) and name != "body"
-    said = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return not NOISE_WORDS.isdisjoint(w.lower() for w in _WORD.findall(said))
+    return name in NOISE_TAGS or "hidden" in attributes or attributes.get("role", "").lower() in NOISE_ROLES
+
+
+def _words(name: str, attributes: dict[str, str]) -> tuple[frozenset[str], frozenset[str]]:
+    """Words of noise that are a class or the id of a block, and those inside one."""
+    if name not in BLOCKS or name in ("body", "html"):
+        return frozenset(), frozenset()
+    classes = attributes.get("class", "").split()
+    whole = NOISE_WORDS.intersection(c.lower() for c in classes)
+    if name in ("article", "main"):  # such a tag is told by whole classes
+        return whole, frozenset()
+    names = [*classes, *attributes.get("id", "").split()]
+    whole = NOISE_WORDS.intersection(c.lower() for c in names)
+    parts = NOISE_WORDS.intersection(w.lower() for c in names if not _STATE.match(c) for w in _WORD.findall(c))
+    return whole, parts - whole
 
 
 def parse(source: str) -> Page:
@@ -158,7 +301,7 @@ def parse(source: str) -> Page:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            page.blocks.append((text, stack[-1].path if stack else root(), linked))
+            page.blocks.append((text, stack[-1].path if stack else root(), linked, stack[-1].mark if stack else -1))
         linked = 0
 
     def root() -> int:
@@ -166,6 +309,7 @@ def parse(source: str) -> Page:
         if not page.paths:
             page.paths.append("body")
             page.above.append(-1)
+            page.marked.append(-1)
         return 0
 
     def add(raw: str) -> None:
@@ -237,21 +381,29 @@ def parse(source: str) -> Page:
         outer = stack[-1] if stack else None
         noise = bool(outer and outer.noise) or _noise(name, attributes)
         path = outer.path if outer else (0 if page.paths else -1)
+        mark = outer.mark if outer else -1
+        whole, parts = _words(name, attributes) if attributes and not noise else ((), ())
+        if whole or parts:
+            # its container comes next, if it is one
+            page.marks.append(_Mark(mark, whole, parts, len(page.paths) if name in CONTAINERS else path))
+            mark = len(page.marks) - 1
         if name in CONTAINERS and not noise:
             classes = sorted(re.sub(r"\d+", "#", c) for c in attributes.get("class", "").split())
             own = ".".join([name, *classes])
             page.paths.append(f"{page.paths[path]}>{own}" if path >= 0 else own)
             page.above.append(path)
+            page.marked.append(mark)
             path = len(page.paths) - 1
         elif path < 0 and name not in ("html", "head"):
             path = root()
         if token["rest"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        stack.append(_Open(name, path, noise, bool(outer and outer.link) or name == "a"))
+        stack.append(_Open(name, path, noise, bool(outer and outer.link) or name == "a", mark))
     add(source[at:])
     close_block()
     # text between <html> and a container lies in no container yet
-    page.blocks = [(text, max(where, 0) if page.paths else root(), n) for text, where, n in page.blocks]
+    page.blocks = [(text, max(where, 0) if page.paths else root(), n, mark) for text, where, n, mark in page.blocks]
+    page.judge()
     return page
 
 

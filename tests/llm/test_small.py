@@ -556,6 +556,39 @@ def test_attributes_are_told_by_their_whole_name(tag):
     assert not html.parse("<body><div hidden>x</div><div role='form'>y</div><p><b HIDDEN=hidden>z</b>").blocks
 
 
+STORY = "<p>" + "the story goes on " * 30 + "</p>"
+
+
+@pytest.mark.parametrize("tag", [
+    "div class='elementor-widget elementor-widget-text-editor'", "div class='content has-sidebar'", "div id=share-page",
+    "article class='post related'", "main class=form", "div class='layout-sidebar-left'", "section class='notice'",
+])
+def test_names_do_not_lose_the_container_of_the_text(tag):
+    page = html.parse(f"<body><nav>menu</nav><div class=ad>buy this</div><{tag}>{STORY}</{tag.split()[0]}>"
+                      "<div class=sidebar>side text</div><div class='cookie-notice'>we use cookies</div></body>")
+    best = max(page.scores(), key=page.scores().get)
+    assert page.text(best) == page.text("body") == ("the story goes on " * 30).strip()
+
+
+def test_marks_of_parts_of_the_text():
+    code = "<pre>x = 1 <span class='hljs-comment'># one</span></pre>"
+    page = html.parse(f"<body><article>{STORY}{code}<div class='side share-box'>tell friends</div></article>")
+    assert page.text("body>article").endswith("\nx = 1 # one")
+    # a page made of widgets, none of which holds most
+    widgets = "".join(f"<div class='elementor-widget elementor-widget-{n}'><p>{n} {'words ' * 20}</p></div>" for n in "abcdef")
+    page = html.parse(f"<body><div class=all><div class='elementor-widget elementor-widget-h'>Title</div>{widgets}</div>")
+    assert [b.split()[0] for b in page.text("body>div.all").split("\n")] == ["Title", *"abcdef"]
+    # adverts and reader comments beside a short article, however long
+    for box in ("div class=ad", "section id=comments"):
+        page = html.parse(f"<body><article><p>{'a short story ' * 10}</p></article><{box}>{STORY * 3}</{box.split()[0]}>")
+        assert page.text("body") == ("a short story " * 10).strip()
+    # mostly links, or a mark that wins the vote on other pages
+    page = html.parse(f"<body><div class=x>{STORY}</div><div class='box-related'><p>{'<a href=x>other story</a> ' * 99}</p></div>")
+    assert page.text("body") == ("the story goes on " * 30).strip()
+    page = html.parse(f"<body><div class='has sidebar-page'><p>short</p></div><div class=x>{STORY}</div>")
+    assert page.text("body>div.has.sidebar-page") == "short" and "short" not in page.text("body")
+
+
 # --- token files ------------------------------------------------------------------------------------------------
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
