@@ -5,8 +5,12 @@ path is its chain of tags and classes from the body down, with digits in
 classes replaced, so pages of one template share it.  Each page scores its
 containers by the text they hold directly or a little deeper, less what is
 linked, and gives each path its share of the page's score.  The shares are
-added up by host, the best path wins, and every page's text is taken from its
-containers of that path.  A page without such a container uses its own best.
+added up by host and the best path wins.  It is left for the container around
+it while that adds plain text on at least half of the host's pages; an
+``article`` or ``main``, or a path whose next container adds nothing, is left only for a
+headline (``h1``) it does not have.  Every page's text is taken from its containers of the
+path found.  A page without such a container uses its own best; without any
+that has more plain than linked text, all its blocks that are not noise.
 
 Left out are menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments, known by their tag, role, class or id.
@@ -77,7 +81,8 @@ BLOCKS = frozenset(
     "legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 ) | NOISE_TAGS
 
-CONTAINERS = frozenset("body article main section div td center".split())
+#: Sections and cells are parts of the container around them.
+CONTAINERS = frozenset("body article main div center".split())
 
 #: How much more a container counts that says it is the main one.
 BONUS = {"article": 3.0, "main": 3.0}
@@ -122,6 +127,7 @@ class _Open:
     noise: bool
     link: bool
     mark: int  # of the marked element it is in, or is, -1 for none
+    title: bool  # whether it is in a h1, or is
 
 
 @dataclass
@@ -149,6 +155,7 @@ class Page:
     marks: list[_Mark] = field(default_factory=list)
     noise: list[bool] = field(default_factory=list)  # whether a mark is noise
     blocks: list[tuple[str, int, int, int]] = field(default_factory=list)  # text, container, linked characters, mark
+    titles: set[int] = field(default_factory=set)  # blocks that are a h1
 
     def judge(self) -> None:
         """Which marks are noise, by what they hold of the page."""
@@ -249,6 +256,53 @@ class Page:
                 at = self.above[at]
         return {path: score for path, score in total.items() if score > 0}
 
+    def climbs(self) -> dict[str, bool]:
+        """For each path that holds plain text, whether the container around it is to be taken in its place.
+
+        It is if it adds plain text; around article and main, and beyond
+        containers that add nothing, only for the page's headline.
+        """
+        plain, titled = [0] * len(self.paths), [0] * len(self.paths)
+        for i, (text, at, linked, mark) in enumerate(self.blocks):
+            if at >= 0 and 2 * linked < len(text) and self.kept(mark):
+                plain[at] += len(text) - linked
+                titled[at] += i in self.titles
+        for i in range(len(self.paths) - 1, -1, -1):
+            if self.above[i] >= 0:
+                plain[self.above[i]] += plain[i]
+                titled[self.above[i]] += titled[i]
+        held: dict[str, list[int]] = {}  # plain text, headlines
+        outer: dict[str, str] = {}
+        for path, above, n, h in zip(self.paths, self.above, plain, titled):
+            if above >= 0:
+                outer[path] = self.paths[above]
+            if n:
+                sums = held.setdefault(path, [0, 0])
+                sums[0] += n
+                sums[1] += h
+        found: dict[str, bool] = {}
+        for path, (n, h) in held.items():
+            top, adds = path, path in outer and _tag(path) not in BONUS and held[outer[path]][0] > n
+            while not adds and not h and top in outer:
+                top = outer[top]
+                adds = held[top][1] > 0
+            found[path] = adds
+        return found
+
+    def best(self) -> str | None:
+        """The path this page would choose by itself; None without a positive score."""
+        scores = self.scores()
+        if not scores:
+            return None
+        path, climbs = min(scores, key=lambda p: (-scores[p], p)), self.climbs()
+        while climbs.get(path):
+            path = path.rpartition(">")[0]
+        return path
+
+    def whole(self) -> str:
+        """All blocks that are not noise."""
+        return "\n".join(text for text, _, _, mark in self.blocks if self.kept(mark))
+
     def text(self, path: str | None) -> str | None:
         """The blocks inside the containers of ``path``; None if there is no such container.
 
@@ -301,6 +355,8 @@ def parse(source: str) -> Page:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
+            if stack and stack[-1].title:
+                page.titles.add(len(page.blocks))
             page.blocks.append((text, stack[-1].path if stack else root(), linked, stack[-1].mark if stack else -1))
         linked = 0
 
@@ -381,6 +437,8 @@ def parse(source: str) -> Page:
         outer = stack[-1] if stack else None
         noise = bool(outer and outer.noise) or _noise(name, attributes)
         path = outer.path if outer else (0 if page.paths else -1)
+        if path < 0 and name not in ("html", "head", "body"):
+            path = root()  # a page need not say where its body begins
         mark = outer.mark if outer else -1
         whole, parts = _words(name, attributes) if attributes and not noise else ((), ())
         if whole or parts:
@@ -388,17 +446,16 @@ def parse(source: str) -> Page:
             page.marks.append(_Mark(mark, whole, parts, len(page.paths) if name in CONTAINERS else path))
             mark = len(page.marks) - 1
         if name in CONTAINERS and not noise:
-            classes = sorted(re.sub(r"\d+", "#", c) for c in attributes.get("class", "").split())
+            classes = sorted(re.sub(r"[\d>]+", "#", c) for c in attributes.get("class", "").split())
             own = ".".join([name, *classes])
             page.paths.append(f"{page.paths[path]}>{own}" if path >= 0 else own)
             page.above.append(path)
             page.marked.append(mark)
             path = len(page.paths) - 1
-        elif path < 0 and name not in ("html", "head"):
-            path = root()
         if token["rest"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        stack.append(_Open(name, path, noise, bool(outer and outer.link) or name == "a", mark))
+        stack.append(_Open(name, path, noise, bool(outer and outer.link) or name == "a", mark,
+                           bool(outer and outer.title) or name == "h1"))
     add(source[at:])
     close_block()
     # text between <html> and a container lies in no container yet
@@ -415,10 +472,11 @@ def host_of(url: str | None) -> str:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, score, n): what the pages of each host give each path.
+    """(host, path, score, n, climbs): what the pages of each host give each path.
 
-    Task and partial sums come before the shuffle, so a host of any size sends
-    a row per path and task.
+    ``n`` pages have plain text in the path, and ``climbs`` of them would take
+    the container around it.  Task and partial sums come before the shuffle, so
+    a host of any size sends a row per path and task.
     """
     send_code(pages.sparkSession)
 
@@ -426,30 +484,41 @@ def votes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             found: dict[tuple[str, str], list] = {}
             for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                scores, host = parse(source or "").scores(), host_of(url)
+                page, host = parse(source or ""), host_of(url)
+                scores = page.scores()
                 total = sum(scores.values())
-                for path, score in scores.items():
+                for path, climbs in page.climbs().items() if scores else ():
                     # whole numbers add up alike in any order
-                    vote = found.setdefault((host, path), [0, 0])
-                    vote[0] += round(1_000_000 * score / total)
+                    vote = found.setdefault((host, path), [0, 0, 0])
+                    vote[0] += round(1_000_000 * scores.get(path, 0.0) / total)
                     vote[1] += 1
+                    vote[2] += climbs
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in found], pa.string()), pa.array([p for _, p in found], pa.string()),
-                 pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())],
-                ["host", "path", "score", "n"],
+                 *[pa.array([v[i] for v in found.values()], pa.int64()) for i in range(3)]],
+                ["host", "path", "score", "n", "climbs"],
             )
 
     plain = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return (
-        plain.mapInArrow(task, "host string, path string, score long, n long")
-        .groupBy("host", "path").agg(F.sum("score").alias("score"), F.sum("n").alias("n"))
+        plain.mapInArrow(task, "host string, path string, score long, n long, climbs long")
+        .groupBy("host", "path").agg(F.sum("score").alias("score"), F.sum("n").alias("n"), F.sum("climbs").alias("climbs"))
     )
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with the most votes of each host; ties to the first by name."""
+    """(host, path): the path with the most votes of each host, ties to the first by name, or one around it.
+
+    A path is left for the one around it while at least half of the pages that
+    have it want that.
+    """
     by = Window.partitionBy("host").orderBy(F.desc("score"), "path")
-    return votes(pages).withColumn("k", F.row_number().over(by)).where("k = 1").select("host", "path")
+    cast = stage_table(votes(pages), "votes")
+    won = cast.withColumn("k", F.row_number().over(by)).where("k = 1").select("host", F.col("path").alias("won"))
+    won = stage_table(won, "won")
+    stops = cast.where("2 * climbs < n").join(F.broadcast(won) if fits_broadcast(won) else won, "host")
+    around = (F.col("path") == F.col("won")) | F.expr("startswith(won, concat(path, '>'))")
+    return stops.where(around).groupBy("host").agg(F.max_by("path", F.length("path")).alias("path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -475,8 +544,8 @@ def extract(pages: DataFrame) -> DataFrame:
                     page = parse(source or "")
                     text = page.text(path) if path else None
                     if not text:
-                        scores = page.scores()
-                        text = page.text(min(scores, key=lambda p: (-scores[p], p))) if scores else ""
+                        best = page.best()
+                        text = page.text(best) if best else page.whole()
                     texts.append(text or "")
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

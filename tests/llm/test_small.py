@@ -589,6 +589,31 @@ def test_marks_of_parts_of_the_text():
     assert page.text("body>div.has.sidebar-page") == "short" and "short" not in page.text("body")
 
 
+def test_headline_lead_and_sections_are_kept(spark):
+    long = "<p>" + "many words of the story " * 120 + "</p>"
+    sources = {
+        "post": f"<body><nav>x</nav><div class=post><h1>Headline</h1><p class=lead>Lead</p><div class=body>{long}</div></div>",
+        "wrap": f"<body><div class=post><h1>Headline</h1><div class=in><div class=body>{long}</div></div></div>",
+        "main": f"<body><main><h1>Headline</h1><article>{long}</article></main><div class=note>stray words</div>",
+        "sections": "<body><div class=content><section class=intro><p>" + "intro " * 170
+                    + "</p></section><section class=details><p>" + "details " * 250 + "</p></section></div>",
+        "cells": "<body><div class=text><p>" + "paragraph " * 20 + "</p><table>"
+                 + f"<tr>{'<td>some cell</td>' * 9}</tr>" * 30 + "</table></div>",
+        "bare": f"<h1>Headline</h1><div class=body>{long}</div>",
+    }
+    rows = [(10 * i + j, f"http://{host}/{j}", source) for i, (host, source) in enumerate(sources.items()) for j in range(3)]
+    rows.append((90, "http://post/links", "<body><p><a href=x>first linked</a></p><p><a href=x>second</a></p>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r["page_id"]: r["text"].split("\n") for r in html.extract(pages).collect()}
+    story = ("many words of the story " * 120).strip()
+    for j in range(3):
+        assert texts[j] == ["Headline", "Lead", story]
+        assert texts[10 + j] == texts[20 + j] == texts[50 + j] == ["Headline", story]
+        assert [b[:5] for b in texts[30 + j]] == ["intro", "detai"]
+        assert texts[40 + j][0].startswith("paragraph") and texts[40 + j][1:] == ["some cell"] * 270
+    assert texts[90] == ["first linked", "second"]
+
+
 # --- token files ------------------------------------------------------------------------------------------------
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
