@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import constants as K
@@ -220,9 +220,9 @@ def append_transactions(
     Of rows with one id in ``transactions`` one counts; rows without an id are
     left out.  Known ids are removed first and the rest is written once, so a
     rerun looks nothing up and appends nothing, and the fact's ids are read a
-    single time.  ``increment`` says the transactions are few next to the fact;
-    with the fact's year column, only the years of the batch are then read, as
-    an id keeps its date.  ``last_key`` is the fact's largest key, if known.
+    single time.  ``increment`` says the transactions are few next to the fact,
+    whose ids, all of them, are then not shuffled; the result is the same.
+    ``last_key`` is the fact's largest key, if known.
     """
     offered = preferred_per_key(transactions, "TransactionID", [])
     if last_key is None:
@@ -230,9 +230,6 @@ def append_transactions(
     if last_key:
         if increment:
             offered = stage_table(offered, "offered")
-            if YEAR in target.columns:
-                years = [r[0] for r in offered.select(_year()).distinct().collect()]
-                target = target.filter(F.col(YEAR).isin([y for y in years if y is not None]))
         offered = new_rows(offered, target, "TransactionID", increment)
     fresh = stage_table(offered, "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
@@ -243,10 +240,6 @@ def append_transactions(
     return FactLoad(rows.select(*TRANSACTION_COLUMNS), load.unmatched)
 
 
-def _year() -> Column:
-    return F.floor(F.col("DateKey") / 10000).cast("int").alias(YEAR)
-
-
 def with_year(fact: DataFrame) -> DataFrame:
     """The partition column of the transaction fact."""
-    return fact.select("*", _year())
+    return fact.select("*", F.floor(F.col("DateKey") / 10000).cast("int").alias(YEAR))

@@ -142,6 +142,26 @@ def test_an_id_twice_in_a_batch_counts_once(spark, rows):
     assert table.append(facts.with_year(again.rows)) == 2 and (table.rows(), table.top()) == (4, 4)
 
 
+@pytest.mark.parametrize("increment", [False, True])
+def test_a_known_id_with_a_date_of_another_year_is_left_out(spark, rows, increment):
+    known = {**dims.new_dimensions(spark), "DimDate": dims.dim_date(spark)}
+    old = spark.createDataFrame(
+        [(i, 5, -1, 19970101, "UNKNOWN", "UNKNOWN", 1) for i in (1, 2)],
+        "TransactionID long, AccountID long, DistrictID int, DateKey int, TransactionTypeCode string, "
+        "OperationCode string, TransactionCount int",
+    ).select("*", *[
+        F.lit(1).cast("decimal(18,2)").alias(c)
+        for c in ("TransactionAmount", "InflowAmount", "OutflowAmount", "SignedAmount", "BalanceAfterTransaction")
+    ])
+    table = SnapshotTable(spark, new_path(spark, "f"), [facts.YEAR], "TransactionKey")
+    empty = spark.createDataFrame([], S.FACT_TRANSACTION)
+    table.publish(facts.with_year(facts.append_transactions(empty, old, known).rows))
+    moved = old.withColumn("DateKey", F.lit(19980101)).where("TransactionID = 2")
+    batch = moved.union(moved.withColumn("TransactionID", F.lit(3).cast("long")))
+    load = facts.append_transactions(table.read(), batch, known, increment=increment, last_key=table.top())
+    assert rows(load.rows, "TransactionKey", "TransactionID") == [(3, 3)]
+
+
 def test_increments_read_the_years_of_the_batch(spark):
     table = SnapshotTable(spark, new_path(spark, "f"), ["y"])
     table.publish(spark.range(10).withColumn("y", (F.col("id") % 3).cast("int")))
