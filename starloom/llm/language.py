@@ -12,7 +12,7 @@ not depend on what was scored before.  The shortest code wins, ties by name.
 the posterior of the prediction when all languages are equally likely (0 for
 ``und``).  Learning reads whole texts of a bounded sample: for each language
 up to ``SAMPLE`` different texts of up to ``SAMPLE_BYTES`` bytes, those with
-the smallest hash.  Null
+the smallest hash; all it has, if they are fewer.  Null
 languages and null or empty texts teach nothing; with nothing learned every
 text is ``und``.  Repeated rows give a row each; an empty table gives none;
 further columns are ignored.
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.arrow import buffers, mix, send_code, slices, strings
+from starloom.operators.joins import fits_broadcast
+from starloom.session import stage_table
 
 ORDER = 3
 
@@ -204,33 +206,57 @@ def learn(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Mode
     usable = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(
         f"lang IS NOT NULL AND octet_length(text) BETWEEN 1 AND {SAMPLE_BYTES}"
     )
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return Model({})
-    # enough hashes lie below this share; copies of a text have one hash and count once
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 4 * sample / r["count"]))])
     by_hash = usable.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
-    chosen = (
-        by_hash.where(F.col("h") / F.lit(float(1 << 63)) <= F.element_at(share, F.col("lang")))
-        .groupBy("lang", "h").agg(F.min("text").alias("text"))
-        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-        .where(F.col("n") <= sample)
-    )
+    # copies of a text have one hash and count once
+    kinds = by_hash.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("d"))
+    kinds = stage_table(kinds.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES), "languages")
+    if not kinds.count():
+        return Model({})
+    chosen = _smallest(by_hash, kinds, sample)
     table = (
         chosen.select("lang", "text").repartition(64, F.xxhash64("text"))
         .mapInArrow(_counts(order), "lang string, k int, key long, n long")
         .groupBy("lang", "k", "key").agg(F.sum("n").alias("n")).toArrow()
     )
-    found: dict[str, list] = {}
-    for name in sorted(set(table.column("lang").to_pylist())):
-        own = table.filter(pc.equal(table.column("lang"), name))
-        found[name] = []
-        for k in range(order + 1):
-            part = own.filter(pc.equal(own.column("k"), k))
-            keys = part.column("key").to_numpy().view(np.uint64)
-            by = np.argsort(keys)
-            found[name].append((keys[by], part.column("n").to_numpy()[by]))
-    return Model(found)
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    group = names.indices.to_numpy().astype(np.int64) * (order + 1) + table.column("k").to_numpy()
+    keys, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    by = np.lexsort((keys, group))
+    keys, n = keys[by], n[by]
+    cuts = np.searchsorted(group[by], np.arange(len(names.dictionary) * (order + 1) + 1))
+    return Model({
+        name: [(keys[cuts[i] : cuts[i + 1]], n[cuts[i] : cuts[i + 1]]) for i in range(j * (order + 1), (j + 1) * (order + 1))]
+        for j, name in enumerate(names.dictionary.to_pylist())
+    })
+
+
+def _smallest(by_hash: DataFrame, kinds: DataFrame, sample: int) -> DataFrame:
+    """(lang, text) of the ``sample`` smallest hashes ``h`` of each language; ``kinds`` has about how many ``d`` there are.
+
+    Rows are cut at a share of the hashes below which enough should lie.  The
+    share of a language that then has too few grows until it has enough or all
+    of its hashes are taken.
+    """
+    spread = 4.0
+    few, done = kinds.select("lang", "d"), None
+    while True:
+        share = F.least(F.lit(1.0), F.lit(spread * sample) / F.col("d")).alias("share")
+        shares = few.select("lang", share)
+        shares = F.broadcast(shares) if fits_broadcast(few) else shares
+        found = stage_table(
+            by_hash.join(shares, "lang").where(F.col("h") / F.lit(float(1 << 63)) <= F.col("share"))
+            .groupBy("lang", "h").agg(F.min("text").alias("text"))
+            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+            .where(F.col("n") <= sample).select("lang", "text"),
+            "sample",
+        )
+        done = found if done is None else done.join(few.select("lang"), "lang", "left_anti").unionByName(found)
+        cut = few.where(F.lit(spread * sample) < F.col("d"))
+        full = found.groupBy("lang").count().where(F.col("count") >= sample).select("lang")
+        few = stage_table(cut.join(full, "lang", "left_anti"), "few")
+        if not few.count():
+            return done
+        spread *= 16
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

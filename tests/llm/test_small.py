@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 pytest.importorskip("starloom.llm")
 
@@ -275,6 +276,25 @@ def test_language_of_awkward_rows(spark, docs, empty):
     assert learned == {i for i, h in held.items() if not h} - {None}
 
 
+def test_a_language_of_copies_is_learned(spark):
+    """As many different texts as asked for are found, however many copies there are."""
+    draw = random.Random(8)
+    rows = [("a", "alpha beta gamma " + str(i)) for i in range(300)]
+    rows += [("b", "der hund und die katze")] * 20_000 + [("b", f"ein anderer satz {i}") for i in range(30)]
+    rows += [("c", " ".join(draw.choices("xyzuvw", k=9)) + str(i)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    for sample in (1, 5, 30, 600):
+        usable = df.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+        for times in (1, 100_000):  # a count that is far too high, too, costs no text
+            kinds = usable.groupBy("lang").agg((F.approx_count_distinct("h") * times).alias("d"))
+            got = language._smallest(usable, kinds, sample).groupBy("lang").agg(F.count("*").alias("n"), F.count_distinct("text").alias("d"))
+            assert sorted(map(tuple, got.collect())) == [
+                (x, min(sample, n), min(sample, n)) for x, n in (("a", 300), ("b", 31), ("c", 5000))]
+    model = language.learn(df, sample=5)
+    assert model.languages == ["a", "b", "c"]
+    assert model.predict(strings(pa.array(["hund und katze", "beta gamma"])))[0] == ["b", "a"]
+
+
 # --- toxicity ---------------------------------------------------------------------------------------------------
 
 
