@@ -12,7 +12,9 @@ not depend on what was scored before.  The shortest code wins, ties by name.
 the posterior of the prediction when all languages are equally likely (0 for
 ``und``).  Learning reads whole texts of a bounded sample: for each language
 up to ``SAMPLE`` different texts of up to ``SAMPLE_BYTES`` bytes, those with
-the smallest hash; all it has, if they are fewer.  Null
+the smallest hash; all it has, if they are fewer.  Every language is learned;
+of more than ``MODEL_TEXTS / SAMPLE`` languages each gives fewer texts, one at
+least, so that all together are no more than ``MODEL_TEXTS``.  Null
 languages and null or empty texts teach nothing; with nothing learned every
 text is ``und``.  Repeated rows give a row each; an empty table gives none;
 further columns are ignored.
@@ -37,8 +39,11 @@ ORDER = 3
 #: Documents of each language that are learned from, at most.
 SAMPLE = 600
 
-#: Languages that are learned; if there are more, the most frequent.
-MOST_LANGUAGES = 64
+#: Texts of all languages together that are learned from, at most, while there are no more languages.
+MODEL_TEXTS = 64 * SAMPLE
+
+#: Languages whose contexts share a table of code lengths; so tables grow with the texts, not with their square.
+TABLE_LANGUAGES = 64
 
 #: Longer texts are scored like any other, but not learned from.
 SAMPLE_BYTES = 1 << 16
@@ -83,8 +88,8 @@ class _Lookup:
         return out
 
 
-class Model:
-    """The frozen statistics of all languages as tables of code lengths."""
+class _Tables:
+    """The frozen statistics of some languages as tables of code lengths."""
 
     def __init__(self, counts: dict[str, list[tuple[np.ndarray, np.ndarray]]]):
         """counts: for each language, (keys, counts) by context length."""
@@ -136,6 +141,22 @@ class Model:
                 out[:, i] += np.bincount(row, cost[:, i], len(texts))
         return out
 
+
+class Model:
+    """The frozen statistics of all languages."""
+
+    def __init__(self, counts: dict[str, list[tuple[np.ndarray, np.ndarray]]]):
+        """counts: for each language, (keys, counts) by context length."""
+        self.languages = sorted(counts)
+        self.tables = [
+            _Tables({name: counts[name] for name in self.languages[i : i + TABLE_LANGUAGES]})
+            for i in range(0, len(self.languages), TABLE_LANGUAGES)
+        ]
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """[text, language]: code lengths in bits of whole texts."""
+        return np.concatenate([np.zeros((len(texts), 0)), *[t.lengths(texts) for t in self.tables]], 1)
+
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, bits a byte of the shortest code) of each text."""
         n = len(texts)
@@ -208,10 +229,11 @@ def learn(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Mode
     )
     by_hash = usable.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
     # copies of a text have one hash and count once
-    kinds = by_hash.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("d"))
-    kinds = stage_table(kinds.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES), "languages")
-    if not kinds.count():
+    kinds = stage_table(by_hash.groupBy("lang").agg(F.approx_count_distinct("h").alias("d")), "languages")
+    languages = kinds.count()
+    if not languages:
         return Model({})
+    sample = max(1, min(sample, MODEL_TEXTS // languages))
     chosen = _smallest(by_hash, kinds, sample)
     table = (
         chosen.select("lang", "text").repartition(64, F.xxhash64("text"))

@@ -295,6 +295,18 @@ def test_a_language_of_copies_is_learned(spark):
     assert model.predict(strings(pa.array(["hund und katze", "beta gamma"])))[0] == ["b", "a"]
 
 
+def test_every_language_is_learned(spark):
+    draw = random.Random(6)
+    vocabulary = {f"l{i:02}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(5)] for i in range(70)}
+    rows = [(x, " ".join(w + w[: j % 3] for w in words)) for x, words in vocabulary.items() for j in range(3 if x < "l60" else 1)]
+    model = language.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == sorted(vocabulary) and len(model.tables) == 2
+    texts = [" ".join(words) for words in vocabulary.values()]
+    assert model.predict(strings(pa.array(texts)))[0] == sorted(vocabulary)
+    few = language.learn(spark.createDataFrame(rows, "lang string, text string"), sample=1)
+    assert few.languages == sorted(vocabulary)
+
+
 # --- toxicity ---------------------------------------------------------------------------------------------------
 
 
