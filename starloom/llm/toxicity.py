@@ -7,7 +7,8 @@ P(grade >= k) = sigmoid(w x - t_k) with t_1 < t_2 < ...  A document's severity i
 the expected grade; it is toxic if P(grade >= 1) is at least one half.
 
 Learning reads whole texts of a bounded sample: up to ``SAMPLE`` toxic and as
-many other labelled documents, those with the smallest hash of their id.
+many other labelled documents, those with the smallest hash of their id.  Of several
+rows of an id, the text with the smallest hash counts.
 Features are those whose share of documents differs between the two by more
 than ``LEAST_Z`` standard errors, the ``FEATURES`` strongest.  Both kinds weigh
 the same altogether.  Labels give only
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.arrow import WORD_BYTES, among, buffers, Hashes, send_code, slices, strings, words
+from starloom.session import stage_table
 
 #: Labelled documents of each kind that are learned from, at most.
 SAMPLE = 5_000
@@ -132,7 +134,7 @@ def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(toxic, text) of the documents learned from."""
+    """(toxic, text, id) of the documents learned from, a row each."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("_llm_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("_llm_id IS NOT NULL AND toxic IS NOT NULL").groupBy("_llm_id")
@@ -140,7 +142,8 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     )
     counts = known.groupBy("toxic").count().collect()
     if not counts:
-        return docs.select(F.lit(0).alias("toxic"), F.col("text").cast("string").alias("text")).limit(0)
+        return docs.select(
+            F.lit(0).alias("toxic"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("id")).limit(0)
     # about twice the sample lies below this share of the hashes, so the sort sees no more
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["toxic"], min(1.0, 2 * sample / r["count"]))])
     by = Window.partitionBy("toxic").orderBy("h", "_llm_id")
@@ -150,7 +153,12 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
         .withColumn("n", F.row_number().over(by)).where(F.col("n") <= sample).select("_llm_id", "toxic")
     )
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id")).select("toxic", "text")
+    # a null text, which teaches nothing, only if the id has no other
+    order = F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("h"), F.col("text").alias("text"))
+    return (
+        plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id")).groupBy("_llm_id", "toxic")
+        .agg(F.min(order).alias("least")).select("toxic", F.col("least.text").alias("text"), F.col("_llm_id").alias("id"))
+    )
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
@@ -158,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     send_code(docs.sparkSession)
     grades = len(GRADE_FROM) + 1
     nothing = Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.full(grades - 1, 40.0))
-    chosen = _sample(docs, labels, sample)
+    chosen = stage_table(_sample(docs, labels, sample), "examples")
 
     def count(batches):
         for batch in batches:
@@ -199,7 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
 
     def examples(batches):
         for batch in batches:
-            toxic, texts = batch.column(0), strings(batch.column(1))
+            toxic, texts, ids = batch.column(0), strings(batch.column(1)), batch.column(2)
             for a, b in slices(texts):
                 row, place, value = _values(texts[a:b], vocabulary)
                 cuts = np.searchsorted(row, np.arange(b - a + 1))
@@ -208,14 +216,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
                 marked = np.bincount(at[known][np.unique(number[known], return_index=True)[1]], minlength=b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        toxic[a:b], pa.array(marked.astype(np.int64)),
+                        ids[a:b], toxic[a:b], pa.array(marked.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(place.astype(np.int32))),
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value.astype(np.float32))),
                     ],
-                    ["toxic", "marked", "place", "value"],
+                    ["id", "toxic", "marked", "place", "value"],
                 )
 
-    seen = chosen.mapInArrow(examples, "toxic int, marked long, place array<int>, value array<float>").toArrow()
+    seen = chosen.mapInArrow(examples, "id long, toxic int, marked long, place array<int>, value array<float>").toArrow()
+    seen = seen.sort_by("id")  # sums of floats in one order
     toxic, marked = seen.column("toxic").to_numpy(), seen.column("marked").to_numpy()
     grade = np.where(toxic > 0, np.searchsorted(GRADE_FROM, marked, "right"), 0)
     size = pc.list_value_length(seen.column("place")).to_numpy()

@@ -366,6 +366,22 @@ def test_toxicity_of_awkward_rows(spark, docs, empty):
     assert toxicity.severity(docs, none).where("severity > 0.001").count() == 0
 
 
+def test_a_repeated_id_teaches_once(spark):
+    docs, labels = severe(spark, 300, 4)
+    first = docs.where("doc_id = 40000").first()
+    copies = docs.union(spark.createDataFrame([tuple(first)] * 5000, docs.schema))
+    assert toxicity._sample(copies, labels, 5000).count() == 300
+    one, many = toxicity.learn(docs, labels), toxicity.learn(copies, labels)
+    assert (one.vocabulary == many.vocabulary).all()
+    np.testing.assert_allclose(one.weights, many.weights, atol=1e-6)
+    # of different texts of an id the same one is taken, and a null only if there is no other
+    twice = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    got = {tuple(map(tuple, toxicity._sample(twice.repartition(n), marks, 9).select("toxic", "text").orderBy("toxic").collect()))
+           for n in (1, 3)}
+    assert len(got) == 1 and next(iter(got))[0] == (0, None) and next(iter(got))[1][1] in "ab"
+
+
 # --- byte-level BPE ---------------------------------------------------------------------------------------------
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
