@@ -277,9 +277,9 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         items.where("text IS NOT NULL").withColumn("size", n_words)
         .withColumn("key", F.concat_ws(":", "size", "key")).select("key", "text")
         .mapInArrow(_spans(lengths), schema)
-        .withColumn("size", F.split("key", ":")[0].cast("int"))
+        .withColumn("size", F.split("key", ":", 2)[0].cast("int"))
         .where(F.when(F.col("size") < WINDOW, F.col("n") == F.col("size")).otherwise(F.col("n") == WINDOW))
-        .withColumn("item", F.get(F.split("key", ":"), F.lit(1)))
+        .withColumn("item", F.get(F.split("key", ":", 2), F.lit(1)))
     )
     windows = (
         item_spans.select(F.explode("words").alias("window"), "item").groupBy("window")

@@ -127,6 +127,15 @@ def test_winnowing_misses_nothing(spark):
         assert by_id(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected
 
 
+@pytest.mark.parametrize("index_bytes", [1 << 20, 0])
+def test_item_ids_with_colons(spark, index_bytes):
+    items = [("mmlu:12", "one two three"), ("mmlu:13", "four five six"), ("a:", "one two three"), (":b:c", "one two three")]
+    rows = [(1, "x one two three y four five six"), (2, "four five six")]
+    left = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(left, spark.createDataFrame(items, "item_id string, text string"), index_bytes)
+    assert by_id(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == contamination_by_force(rows, items)
+
+
 # --- SimHash ----------------------------------------------------------------------------------------------------
 
 
