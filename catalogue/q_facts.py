@@ -118,6 +118,66 @@ def fact_transaction_append(spark, sf_dir):
     return target.unionByName(fresh.rows)
 
 
+@query("""WITH old AS (SELECT row_number() OVER (ORDER BY LoanID) AS LoanKey, * REPLACE (CAST(1 AS DECIMAL(18,2)) AS LoanAmount)
+                       FROM loan_known WHERE LoanDateKey <= 19961231)
+          SELECT o.LoanKey, s.* FROM old o JOIN loan_known s USING (LoanID)
+          UNION ALL
+          SELECT (SELECT max(LoanKey) FROM old) + row_number() OVER (ORDER BY LoanID), *
+          FROM loan_known WHERE LoanID NOT IN (SELECT LoanID FROM old)""")
+def fact_loan_merge(spark, sf_dir):
+    """The published loan fact, loans up to 1996 with another amount, after a load that rewrites its changed buckets."""
+    return _merged_loans(Bank(spark, sf_dir), F.lit(True)).read()
+
+
+@query("""SELECT (SELECT count(*) FROM loan_known) AS UpdatedRows, CAST(0 AS BIGINT) AS InsertedRows, CAST(0 AS BIGINT) AS KeptRows,
+                 (SELECT count(*) FROM loan_known) AS TableRows, CAST(1 AS BIGINT) AS RewrittenBuckets""")
+def fact_loan_one_change(spark, sf_dir):
+    """All loans are offered again and one of them differs: one bucket of the published fact is rewritten."""
+    bank = Bank(spark, sf_dir)
+    first = bank.loan_clean.agg(F.min("LoanID")).first()[0]
+    table = _merged_loans(bank, F.col("LoanID") == first, later=False)
+    before = table._latest().parts
+    counts = facts.merge_loans(table, facts.resolve_loans(bank.loan_clean, bank.loan_dims, "unknown"))
+    rewritten = [p for p in table._latest().parts if p not in before]
+    return counts.select(
+        "*", F.lit(table.rows()).cast("bigint").alias("TableRows"),
+        F.lit(len({p.bucket for p in rewritten})).cast("bigint").alias("RewrittenBuckets"))
+
+
+def _merged_loans(bank: Bank, changed, later: bool = True) -> SnapshotTable:
+    """The loan fact in buckets of about 500 rows: published with another amount where ``changed``, then, if ``later``, loaded.
+
+    With ``later`` only the loans up to 1996 are published first.
+    """
+    load = facts.resolve_loans(bank.loan_clean, bank.loan_dims, "unknown")
+    rows = load.rows.filter(F.col("LoanDateKey") <= 19961231) if later else load.rows
+    wrong = rows.withColumn("LoanAmount", F.when(changed, F.lit(1).cast("decimal(18,2)")).otherwise(F.col("LoanAmount")))
+    table = facts.loan_table(bank.spark, new_path(bank.spark, "fact_loan"), bucket_rows=500)
+    facts.merge_loans(table, facts.FactLoad(stage_table(wrong), load.unmatched))
+    if later:
+        facts.merge_loans(table, load)
+    return table
+
+
+@query("""WITH old AS (SELECT row_number() OVER (ORDER BY TransactionID) AS TransactionKey, * EXCLUDE (TransactionKey)
+                       FROM fact_transaction WHERE DateKey <= 19961231),
+               new AS (SELECT (SELECT max(TransactionKey) FROM old) + row_number() OVER (ORDER BY TransactionID) AS TransactionKey,
+                              * EXCLUDE (TransactionKey) FROM fact_transaction WHERE DateKey > 19961231)
+          SELECT *, CAST(DateKey // 10000 AS INTEGER) AS TransactionYear FROM (SELECT * FROM old UNION ALL SELECT * FROM new)""")
+def fact_transaction_increments(spark, sf_dir):
+    """The published fact after transactions up to 1996, then all of them, then all with a date of another year; none doubles."""
+    bank = Bank(spark, sf_dir)
+    table = facts.transaction_table(spark, new_path(spark, "fact_increments"))
+    for offered in (
+        bank.transaction_clean.filter(F.col("DateKey") <= 19961231),
+        bank.transaction_clean,
+        bank.transaction_clean.withColumn("DateKey", F.lit(19970101)),
+    ):
+        since = table.version()
+        table.append(facts.with_year(facts.append_transactions(table, offered, bank.transaction_dims).rows), since)
+    return table.read()
+
+
 @query("SELECT * FROM fact_transaction")
 def fact_transaction(spark, sf_dir):
     """First load, unmatched references at key 0."""
@@ -141,10 +201,8 @@ def fact_transaction_stream(spark, sf_dir):
     from starloom.functions import date_key, inflow, money, outflow, signed
 
     bank = Bank(spark, sf_dir)
-    known = {
-        **bank.transaction_dims,
-        "DimDate": dims.dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31)),
-    }
+    events = table(spark, sf_dir, "events")
+    known = {**bank.transaction_dims, "DimDate": stage_table(dims.dim_date(spark, *dims.calendar_range([(events, "ts")])))}
     code = F.when(F.col("event_type") == "signup", "PRIJEM").when(
         F.col("event_type") == "purchase", "VYDAJ"
     ).otherwise("UNKNOWN")
@@ -165,13 +223,9 @@ def fact_transaction_stream(spark, sf_dir):
             F.lit(None).cast("decimal(18,2)").alias("BalanceAfterTransaction"),
         )
         twice = transactions.unionByName(transactions)
-        rows = facts.append_transactions(
-            published, twice, known, "unknown", increment=True, last_key=fact.top()
-        ).rows
-        return facts.with_year(rows)
+        return facts.with_year(facts.append_transactions(fact, twice, known, "unknown").rows)
 
-    fact = SnapshotTable(spark, new_path(spark, "fact_stream"), [facts.YEAR], "TransactionKey")
-    events = table(spark, sf_dir, "events")
+    fact = facts.transaction_table(spark, new_path(spark, "fact_stream"))
     for delivery in ("first", "replay"):
         # a glob, so that the table may be one file or a folder of files
         stream = landing_stream(spark, f"{sf_dir}/events.parque[t]", events.schema)

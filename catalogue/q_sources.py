@@ -135,6 +135,28 @@ def json_documents(spark, sf_dir):
     return read_json(spark, path, _card_schema(), document=True)
 
 
+@query("""SELECT o_orderkey, o_orderstatus, o_orderpriority, o_custkey AS c_custkey, c_name, c_mktsegment
+          FROM orders JOIN customer ON c_custkey = o_custkey
+          UNION ALL SELECT NULL, 'a "}{" b', '[{', c_custkey, c_name, c_mktsegment FROM customer
+          WHERE c_custkey = (SELECT min(c_custkey) FROM customer)""")
+def json_array(spark, sf_dir):
+    """Orders with their customer nested, as arrays of a bounded range of ids, each a file that several tasks read."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    customer = F.struct("c_custkey", "c_name", "c_mktsegment").alias("customer")
+    order = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    nested = orders.join(customers, F.col("c_custkey") == F.col("o_custkey")).select(*order, customer)
+    odd = customers.orderBy("c_custkey").limit(1).select(
+        F.lit(None).cast("long").alias(order[0]), F.lit('a "}{" b').alias(order[1]), F.lit("[{").alias(order[2]), customer)
+    arrays = nested.unionByName(odd).groupBy(F.floor(F.coalesce("o_orderkey", F.lit(0)) / 100_000)).agg(
+        F.to_json(F.collect_list(F.struct("*"))).alias("value")).select("value")
+    path = new_path(spark, "order_arrays")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
+    schema = T.StructType.fromDDL(
+        "o_orderkey long, o_orderstatus string, o_orderpriority string, "
+        "customer struct<c_custkey:long,c_name:string,c_mktsegment:string>")
+    return read_json(spark, path, schema, document=True, split_bytes=100_000).select(*order, "customer.*")
+
+
 @query("""SELECT least(5, count(*)) AS DrawnRows, least(5, count(*)) AS FoundRows FROM lineitem""", name="sample_rows")
 def sample_of_lines(spark, sf_dir):
     """Any five lines; which ones is not defined, but they are rows of the table."""

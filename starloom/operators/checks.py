@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.operators.joins import BROADCAST_ROWS, fits_broadcast
-from starloom.session import part_of
+from starloom.session import local_rows
 
 
 class LoadGateError(RuntimeError):
@@ -34,18 +35,22 @@ def pass_fail(left: Column, right: Column) -> Column:
     return F.when(left == right, "PASS").otherwise("FAIL")
 
 
-def row_count_sheet(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: ``TableName``, ``NumberOfRows``."""
+def row_count_sheet(tables: Mapping[str, DataFrame | int]) -> DataFrame:
+    """One row per table: ``TableName``, ``NumberOfRows``; a count that is known stands for its table."""
     rows = [
         df.agg(F.count("*").alias("NumberOfRows")).select(
             F.lit(name).alias("TableName"), "NumberOfRows"
         )
-        for name, df in tables.items()
+        for name, df in tables.items() if isinstance(df, DataFrame)
     ]
+    known = [(name, n) for name, n in tables.items() if not isinstance(n, DataFrame)]
+    if known:
+        spark = SparkSession.active()
+        rows.append(local_rows(spark, known, T.StructType.fromDDL("TableName string, NumberOfRows long")))
     return reduce(DataFrame.unionByName, rows)
 
 
-def _wide(tables: Mapping[str, DataFrame]) -> DataFrame:
+def _wide(tables: Mapping[str, DataFrame | int]) -> DataFrame:
     """The count of every table as one row, each table counted once."""
     sheet = row_count_sheet(tables)
     return sheet.agg(
@@ -57,7 +62,7 @@ def _wide(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def counts_match(
-    tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, str, str]]
+    tables: Mapping[str, DataFrame | int], checks: Sequence[tuple[str, str, str]]
 ) -> DataFrame:
     """Compare table row counts; ``checks`` holds (label, source, target) names."""
     rows = [
@@ -129,67 +134,74 @@ def orphan_count(
 
 @dataclass(frozen=True)
 class Reference:
-    """A fact column that must exist in a dimension, of at most ``max_rows`` rows if that is known."""
+    """A fact column that must exist in a dimension."""
 
     label: str
     column: str
     dim: DataFrame
     dim_column: str
-    max_rows: int | None = None
 
 
-def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataFrame:
-    """``ValidationCheck``, ``InvalidRows`` per reference, in one scan of the fact.
+def _text(value: object) -> str:
+    """A value as an SQL literal."""
+    if isinstance(value, (bool, int, Decimal)):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    Small dimensions are broadcast.  The rows are then grouped by the one
-    large reference before the shuffle, so it sees a row per key and not a
-    row per fact.  Further large references get a scan of their column.
-    """
-    small, large = [], []
-    for ref in references:
-        keys = ref.dim.select(ref.dim_column).distinct()
-        # a stated bound is a bound only if it is small
-        stated = ref.max_rows is not None and ref.max_rows <= BROADCAST_ROWS
-        fits = stated or fits_broadcast(part_of(ref.dim, ref.dim.select(ref.dim_column)))
-        (small if fits else large).append((ref, keys))
-    flagged = fact
-    flags = []
-    for i, (ref, keys) in enumerate(small):
-        known = keys.select(F.col(ref.dim_column).alias(f"_k{i}"), F.lit(True).alias(f"_ok{i}"))
-        flagged = flagged.join(
-            F.broadcast(known), F.col(ref.column) == F.col(f"_k{i}"), "left"
-        )
-        flags.append((ref.label, F.count_if(F.col(f"_ok{i}").isNull())))
-    if not large:
-        return _unpivot(flagged.agg(*[c.alias(n) for n, c in flags]), [n for n, _ in flags])
 
-    (ref, keys), *others = large
-    grouped = flagged.groupBy(F.col(ref.column).alias("_v")).agg(
-        F.count("*").alias("_n"), *[c.alias(n) for n, c in flags]
-    )
-    known = keys.select(F.col(ref.dim_column).alias("_v"), F.lit(True).alias("_ok"))
-    counted = grouped.join(known, "_v", "left").agg(
-        F.sum(F.when(F.col("_ok").isNull(), F.col("_n")).otherwise(0)).alias(ref.label),
-        *[F.sum(F.col(f"`{n}`")).alias(n) for n, _ in flags],
-    )
-    report = _unpivot(counted, [ref.label, *[n for n, _ in flags]])
-    for ref, keys in others:
-        extra = orphan_count(fact, ref.column, keys, ref.dim_column)
-        report = report.unionByName(
-            extra.select(F.lit(ref.label).alias("ValidationCheck"), "InvalidRows")
-        )
-    return report
+def _tagged(tag: str, value: str, n: str) -> str:
+    return f"named_struct('_tag', {_text(tag)}, '_v', CAST({value} AS STRING), '_n', CAST({n} AS BIGINT))"
 
 
-def _unpivot(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
+def _checked(
+    df: DataFrame,
+    row_rules: Sequence[tuple[str, str]],
+    unique: Sequence[str],
+    references: Sequence[Reference],
+) -> DataFrame:
+    """``ValidationCheck``, ``InvalidRows`` per check, in one scan of ``df`` and one exchange.
+
+    A row becomes one (check, value, count) for each rule it breaks, each
+    unique column and each reference.  These are summed in the task, so a rule or a
+    small dimension leaves a few rows of it, and then meet the keys of all
+    dimensions in one exchange: a reference is broken where no key came, a
+    unique value surplus beyond the first.  ``row_rules`` are (name, SQL that holds for a broken row).
+    """
     rows = [
-        F.struct(
-            F.lit(n).alias("ValidationCheck"),
-            F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias("InvalidRows"),
-        )
-        for n in names
+        *[_tagged(name, "NULL", f"IF({broken}, 1, 0)") for name, broken in row_rules],
+        *[_tagged(f"{c} unique", f"`{c}`", f"IF(`{c}` IS NULL, 0, 1)") for c in unique],
+        *[_tagged(r.label, f"`{r.column}`", "1") for r in references],
+    ]
+    met = df.selectExpr(f"inline(filter(array({', '.join(rows)}), x -> x._n > 0))", "0 AS _known")
+    # references to one column share its keys
+    keys: dict[tuple[int, str], tuple[DataFrame, list[str]]] = {}
+    for r in references:
+        keys.setdefault((id(r.dim), r.dim_column), (r.dim, []))[1].append(r.label)
+    for (_, column), (dim, labels) in keys.items():
+        met = met.union(dim.where(f"`{column}` IS NOT NULL").selectExpr(
+            f"explode(array({', '.join(map(_text, labels))})) AS _tag", f"CAST(`{column}` AS STRING) AS _v",
+            "CAST(0 AS BIGINT) AS _n", "1 AS _known"))
+    per_value = met.groupBy("_tag", "_v").agg(F.sum("_n").alias("_n"), F.max("_known").alias("_known"))
+    invalid = [
+        *[(name, "_n") for name, _ in row_rules],
+        *[(f"{c} unique", "_n - 1") for c in unique],
+        *[(r.label, "IF(_known = 0, _n, 0)") for r in references],
+    ]
+    counted = per_value.agg(*[
+        F.expr(f"sum(IF(_tag = {_text(name)}, {n}, 0)) AS _c{i}") for i, (name, n) in enumerate(invalid)])
+    found = [
+        f"named_struct('ValidationCheck', {_text(name)}, 'InvalidRows', coalesce(_c{i}, CAST(0 AS BIGINT)))"
+        for i, (name, _) in enumerate(invalid)
     ]
-    return one_row.select(F.inline(F.array(*rows)))
+    return counted.selectExpr(f"inline(array({', '.join(found)}))")
+
+
+def broken_references(fact: DataFrame, references: Sequence[Reference]) -> DataFrame:
+    """``ValidationCheck``, ``InvalidRows`` per reference, in one scan of the fact and one exchange.
+
+    NULL is in no dimension.
+    """
+    return _checked(fact, (), (), references)
 
 
 def check_rules(
@@ -203,30 +215,14 @@ def check_rules(
 ) -> DataFrame:
     """Table rules checked as data: ``Rule``, ``Violations``, ``Status``.
 
-    All row rules share one pass.  NULL passes ``allowed`` and ``at_least``, as
+    All of it is one scan and one exchange.  NULL passes ``allowed`` and ``at_least``, as
     it would a CHECK constraint; ``unique`` counts surplus rows.
     """
     prefix = f"{table}: " if table else ""
-    row_rules = [(f"{c} not null", F.col(c).isNull()) for c in not_null]
-    row_rules += [(f"{c} in list", ~F.col(c).isin(list(v))) for c, v in (allowed or {}).items()]
-    row_rules += [(f"{c} >= {v}", F.col(c) < F.lit(v)) for c, v in (at_least or {}).items()]
-    parts = []
-    if row_rules:
-        counted = df.agg(*[F.count_if(p).alias(n) for n, p in row_rules])
-        parts.append(_unpivot(counted, [n for n, _ in row_rules]))
-    for column in unique:
-        surplus = (
-            df.filter(F.col(column).isNotNull())
-            .groupBy(column)
-            .agg((F.count("*") - 1).alias("_n"))
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("InvalidRows"))
-        )
-        parts.append(
-            surplus.select(F.lit(f"{column} unique").alias("ValidationCheck"), "InvalidRows")
-        )
-    if references:
-        parts.append(broken_references(df, references))
-    report = reduce(DataFrame.unionByName, parts)
+    row_rules = [(f"{c} not null", f"`{c}` IS NULL") for c in not_null]
+    row_rules += [(f"{c} in list", f"`{c}` NOT IN ({', '.join(map(_text, v))})") for c, v in (allowed or {}).items()]
+    row_rules += [(f"{c} >= {v}", f"`{c}` < {_text(v)}") for c, v in (at_least or {}).items()]
+    report = _checked(df, row_rules, unique, references)
     return report.select(
         F.concat(F.lit(prefix), "ValidationCheck").alias("Rule"),
         F.col("InvalidRows").alias("Violations"),

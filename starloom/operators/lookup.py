@@ -60,7 +60,61 @@ class KeyLookup:
         return f"_found_{self.name}"
 
 
+@dataclass(frozen=True)
+class DayLookup(KeyLookup):
+    """A lookup in a calendar by day keys (YYYYMMDD), without a join where the calendar has no gap.
+
+    A day key is in a calendar of all days from one to another exactly if it is
+    a day and lies between them.  Whether the calendar is one is asked of the
+    calendar itself: as many different days as lie between its first and last.
+    """
+
+    @property
+    def days(self) -> tuple[int, int] | None:
+        """The first and last day key, or None if days are missing, doubled or no days; asked once per calendar."""
+        known = getattr(self.dim, _DAYS, {})
+        if (self.dim_column, self.key) not in known:
+            known = {**known, (self.dim_column, self.key): self._days()}
+            setattr(self.dim, _DAYS, known)
+        return known[self.dim_column, self.key]
+
+    def _days(self) -> tuple[int, int] | None:
+        key = F.col(self.dim_column)
+        day = F.try_to_date(F.lpad(key.cast("string"), 8, "0"), "yyyyMMdd")
+        seen = self.dim.agg(
+            F.min(day).alias("a"), F.max(day).alias("b"), F.count("*").alias("rows"), F.count_distinct(day).alias("days"),
+            F.count_if(~F.col(self.key).eqNullSafe(key)).alias("other"), F.min(key).alias("low"), F.max(key).alias("high"),
+        ).first()
+        if not seen["days"] or seen["other"] or not (seen["rows"] == seen["days"] == (seen["b"] - seen["a"]).days + 1):
+            return None
+        return seen["low"], seen["high"]
+
+    @property
+    def joined(self) -> bool:
+        return self.days is None or bool(self.carry)
+
+    @cached_property
+    def fits(self) -> bool:
+        return not self.joined or fits_broadcast(part_of(self.dim, self.narrow()))
+
+
+_DAYS = "_starloom_days"
+
+
+def _is_day(key: Column) -> Column:
+    """Whether a number YYYYMMDD is a day; arithmetic only, as it is asked of every row of a fact."""
+    year, month, day = F.floor(key / 10000), F.floor(key / 100) % 100, key % 100
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    last = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    return month.between(1, 12) & (day >= 1) & (day <= last)
+
+
 def _join(fact: DataFrame, look: KeyLookup, row_id, how: str, source: DataFrame) -> DataFrame:
+    if isinstance(look, DayLookup) and not look.joined:
+        value = F.col(look.fact_column)
+        known = value.between(*look.days) & _is_day(value)
+        found = fact.withColumn(look._found, F.when(known, value))
+        return found.filter(F.col(look._found).isNotNull()) if how == "inner" else found
     value = F.col(look.fact_column)
     return lookup_join(
         fact.withColumn(look._probe, value), look.narrow(), look._probe, how, row_id,

@@ -193,6 +193,21 @@ def upsert(
     return result
 
 
+def as_current(source: DataFrame, effective_from: Column | str | dt.date) -> DataFrame:
+    """The source as current rows of a dimension, valid from ``effective_from``."""
+    since = (
+        F.lit(effective_from)
+        if isinstance(effective_from, dt.date)
+        else F.col(effective_from) if isinstance(effective_from, str) else effective_from
+    )
+    dated = (
+        source.withColumn("EffectiveFrom", since.cast("date"))
+        .withColumn("EffectiveTo", F.lit(OPEN_END))
+        .withColumn("IsCurrent", F.lit(True))
+    )
+    return part_of(source, dated)
+
+
 def upsert_current(
     target: DataFrame,
     source: DataFrame,
@@ -206,17 +221,7 @@ def upsert_current(
 
     Changes overwrite the current row (type 1); no history row is made.
     """
-    since = (
-        F.lit(effective_from)
-        if isinstance(effective_from, dt.date)
-        else F.col(effective_from) if isinstance(effective_from, str) else effective_from
-    )
-    dated = (
-        source.withColumn("EffectiveFrom", since.cast("date"))
-        .withColumn("EffectiveTo", F.lit(OPEN_END))
-        .withColumn("IsCurrent", F.lit(True))
-    )
-    part_of(source, dated)
+    dated = as_current(source, effective_from)
     return upsert(
         target, dated, key, update, surrogate, protect=protect, scope=F.col("IsCurrent")
     )

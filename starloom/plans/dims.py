@@ -21,11 +21,11 @@ from starloom.functions import (
     try_rate,
 )
 from starloom.operators import (
+    as_current,
     insert_new,
     new_rows,
     preferred_per_key,
     upsert,
-    upsert_current,
 )
 from starloom.operators.joins import lookup_join
 from starloom.operators.upsert import ACTION
@@ -236,7 +236,7 @@ def dim_district(target: DataFrame, district: DataFrame) -> DataFrame:
     )
 
 
-def _known(column: str) -> Column:
+def unknown_member(column: str) -> Column:
     return F.col(column) == K.UNKNOWN_ID
 
 
@@ -244,26 +244,31 @@ def load_district(target: DataFrame, districts: DataFrame) -> DataFrame:
     """Upsert the district dimension from the clean table."""
     return upsert(
         target, districts, "DistrictID", DISTRICT_ATTRIBUTES, "DistrictKey",
-        protect=_known("DistrictID"),
+        protect=unknown_member("DistrictID"),
     )
 
 
-def load_account(target: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Upsert current accounts; a new account is valid from the day it was opened."""
+def account_source(accounts: DataFrame) -> DataFrame:
+    """Clean accounts as current rows; a new account is valid from the day it was opened."""
     source = accounts.select(
         "AccountID",
         F.col("AccountOpenDateKey").alias("AccountOpenDate"),
         "StatementFrequency", "AccountAgeGroup", "SourceSystem",
         F.col("AccountOpenDate").alias("_opened"),
     )
-    return upsert_current(
-        target, part_of(accounts, source), "AccountID", ACCOUNT_ATTRIBUTES, "AccountKey",
-        effective_from="_opened", protect=_known("AccountID"),
+    return as_current(part_of(accounts, source), "_opened")
+
+
+def load_account(target: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Upsert current accounts."""
+    return upsert(
+        target, account_source(accounts), "AccountID", ACCOUNT_ATTRIBUTES, "AccountKey",
+        protect=unknown_member("AccountID"), scope=F.col("IsCurrent"),
     )
 
 
-def load_client(target: DataFrame, clients: DataFrame, districts: DataFrame) -> DataFrame:
-    """Upsert current clients; a new client is valid from the day of the load.
+def client_source(clients: DataFrame, districts: DataFrame) -> DataFrame:
+    """Clean clients as current rows; a new client is valid from the day of the load.
 
     Clients whose district is not in the dimension are left out, as an unknown
     district is a row of the dimension.
@@ -273,8 +278,14 @@ def load_client(target: DataFrame, clients: DataFrame, districts: DataFrame) ->
         districts.select("DistrictID", "DistrictKey"),
         "DistrictID", "inner", row_id="ClientID",
     )
-    return upsert_current(
-        target, source, "ClientID", CLIENT_ATTRIBUTES, "ClientKey", effective_from=AUDIT
+    return as_current(source, AUDIT)
+
+
+def load_client(target: DataFrame, clients: DataFrame, districts: DataFrame) -> DataFrame:
+    """Upsert current clients."""
+    return upsert(
+        target, client_source(clients, districts), "ClientID", CLIENT_ATTRIBUTES, "ClientKey",
+        scope=F.col("IsCurrent"),
     )
 
 

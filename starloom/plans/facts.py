@@ -11,14 +11,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import constants as K
 from starloom import schemas as S
 from starloom.functions import date_key, money, norm_code, try_int, try_money
 from starloom.operators import (
+    ACTION,
+    DayLookup,
     KeyLookup,
+    action_counts,
     assign_keys,
     max_key,
     new_rows,
@@ -30,11 +33,14 @@ from starloom.operators import (
     upsert,
 )
 from starloom.operators.joins import lookup_join
+from starloom.operators.merge import merge_into, roomy
 from starloom.session import known_size, part_of, stage_table
+from starloom.sources.snapshot import BUCKET_ROWS, SnapshotTable
 
 Dims = Mapping[str, DataFrame]
 
 LOAN_COLUMNS = [f.name for f in S.FACT_LOAN.fields]
+LOAN_ATTRIBUTES = [c for c in LOAN_COLUMNS if c not in ("LoanKey", "LoanID")]
 TRANSACTION_COLUMNS = [f.name for f in S.FACT_TRANSACTION.fields]
 LOAN_DIMS = [
     ("DimAccount", "AccountKey"), ("DimDistrict", "DistrictKey"),
@@ -61,7 +67,7 @@ def _current(dim_account: DataFrame) -> DataFrame:
 
 def _date_lookup(dims: Dims, fact_column: str) -> KeyLookup:
     # a fact without a calendar day has no place in any report by date
-    return KeyLookup(dims["DimDate"], fact_column, "DateKey", "DateKey", "_date", "drop")
+    return DayLookup(dims["DimDate"], fact_column, "DateKey", "DateKey", "_date", "drop")
 
 
 def loan_lookups(dims: Dims, on_missing: str) -> list[KeyLookup]:
@@ -123,8 +129,7 @@ def upsert_loans(target: DataFrame, load: FactLoad) -> DataFrame:
 
     The result has the action column and is published as a new snapshot.
     """
-    attributes = [c for c in LOAN_COLUMNS if c not in ("LoanKey", "LoanID")]
-    return upsert(target, load.rows, "LoanID", attributes, "LoanKey", check_source=False)
+    return upsert(target, load.rows, "LoanID", LOAN_ATTRIBUTES, "LoanKey", check_source=False)
 
 
 def prepare_loans(loan: DataFrame) -> DataFrame:
@@ -208,7 +213,7 @@ def resolve_transactions(
 
 
 def append_transactions(
-    target: DataFrame,
+    target: DataFrame | SnapshotTable,
     transactions: DataFrame,
     dims: Dims,
     on_missing: str = "unknown",
@@ -218,20 +223,30 @@ def append_transactions(
     """The rows to append: transactions the fact does not have, with keys.
 
     Of rows with one id in ``transactions`` one counts; rows without an id are
-    left out.  Known ids are removed first and the rest is written once, so a
-    rerun looks nothing up and appends nothing, and the fact's ids are read a
-    single time.  ``increment`` says the transactions are few next to the fact,
-    whose ids, all of them, are then not shuffled; the result is the same.
-    ``last_key`` is the fact's largest key, if known.
+    left out.  Known ids are removed first, so a rerun looks nothing up and appends nothing.
+
+    ``target`` may be the published table: then only the parts of it are read
+    that can hold an id of the batch, and in those the range of the batch's
+    ids; a batch of new ids reads none.  Append the rows with ``since`` the table's
+    version before this call.  For a frame, ``increment`` says the
+    transactions are few next to the fact, whose ids, all of them, are then not
+    shuffled, and ``last_key`` is its largest key, if known.
     """
     offered = preferred_per_key(transactions, "TransactionID", [])
-    if last_key is None:
-        last_key = max_key(target, "TransactionKey")
-    if last_key:
-        if increment:
-            offered = stage_table(offered, "offered")
-        offered = new_rows(offered, target, "TransactionID", increment)
-    fresh = stage_table(offered, "fresh")
+    if isinstance(target, SnapshotTable):
+        last_key = target.top()
+        fresh = stage_table(offered, "offered")
+        known = target.holding(fresh, "TransactionID")
+        if known is not None:
+            fresh = stage_table(new_rows(fresh, known, "TransactionID", increment=True), "fresh")
+    else:
+        if last_key is None:
+            last_key = max_key(target, "TransactionKey")
+        if last_key:
+            if increment:
+                offered = stage_table(offered, "offered")
+            offered = new_rows(offered, target, "TransactionID", increment)
+        fresh = stage_table(offered, "fresh")
     load = resolve_transactions(fresh, dims, on_missing)
     rows = assign_keys(
         load.rows, "TransactionID", "TransactionKey", last_key + 1,
@@ -240,6 +255,31 @@ def append_transactions(
     return FactLoad(rows.select(*TRANSACTION_COLUMNS), load.unmatched)
 
 
+def transaction_table(spark: SparkSession, path: str) -> SnapshotTable:
+    """The published transaction fact: a folder per year, the range of ids known for each increment."""
+    return SnapshotTable(spark, path, [YEAR], key="TransactionKey", ids="TransactionID")
+
+
+def loan_table(spark: SparkSession, path: str, bucket_rows: int = BUCKET_ROWS) -> SnapshotTable:
+    """The published loan fact, in hash buckets of the loan."""
+    return SnapshotTable(spark, path, key="LoanKey", bucket_by="LoanID", bucket_rows=bucket_rows)
+
+
+def merge_loans(table: SnapshotTable, load: FactLoad) -> DataFrame:
+    """Fact upsert into the published table; only buckets with new or changed loans are written.
+
+    Returns the row of counts.  A table that outgrew its buckets is published anew.
+    """
+    if not table.exists() or not roomy(table, known_size(load.rows)[0]):
+        target = table.read() if table.exists() else table.spark.createDataFrame([], S.FACT_LOAN)
+        since = table.version()
+        result = stage_table(upsert_loans(target, load), "loans")
+        counts = stage_table(action_counts(result), "loan_counts")
+        table.publish(result.drop(ACTION), known_size(result)[0], since)
+        return counts
+    return merge_into(table, load.rows, "LoanID", LOAN_ATTRIBUTES, "LoanKey", check_source=False)
+
+
 def with_year(fact: DataFrame) -> DataFrame:
     """The partition column of the transaction fact."""
     return fact.select("*", F.floor(F.col("DateKey") / 10000).cast("int").alias(YEAR))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +66,21 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def refresh_monthly(mart: DataFrame, fact: DataFrame, calendar: DataFrame, months: Sequence[int]) -> DataFrame:
+    """The monthly mart after facts of ``months`` (YYYYMM) were added; the other months are carried over.
+
+    ``fact`` has its partition column ``TransactionYear``, so only the folders of the years
+    touched are read, and the distinct accounts of only these months are exchanged.
+    """
+    wanted = [int(m) for m in months]
+    years = sorted({m // 100 for m in wanted})
+    touched = fact.filter(F.col("TransactionYear").isin(years)).filter(
+        F.floor(F.col("DateKey") / 100).isin(wanted))
+    month = F.col("Year") * 100 + F.col("MonthNumber")
+    fresh = monthly_transactions(touched, part_of(calendar, calendar.filter(month.isin(wanted))))
+    return mart.filter(~month.isin(wanted)).unionByName(fresh)
+
+
 def district_loans(fact: DataFrame, districts: DataFrame) -> DataFrame:
     """Loan totals per known district; the fact is summed before it meets the names.
 

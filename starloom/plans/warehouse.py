@@ -12,26 +12,39 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom import constants as K
 from starloom import schemas as S
-from starloom.operators import action_counts
+from starloom.operators import action_counts, upsert
+from starloom.operators.merge import merge_into, roomy
 from starloom.operators.upsert import ACTION
 from starloom.plans import clean, dims, facts, marts, validation
-from starloom.session import run_folder, sized_for
+from starloom.session import known_size, run_folder, sized_for, stage_table
 from starloom.sources import SnapshotTable, with_audit
 
 DIMENSIONS = [
     "DimDate", "DimDistrict", "DimAccount", "DimClient", "DimLoanStatus", "DimTransactionType",
     "DimOperation",
 ]
-#: a load this many times smaller than the fact is an increment
-INCREMENT_SHARE = 10
+#: the business key and the surrogate key of each dimension that loads update
+DIMENSION_KEYS = {
+    "DimDistrict": ("DistrictID", "DistrictKey"), "DimAccount": ("AccountID", "AccountKey"),
+    "DimClient": ("ClientID", "ClientKey"), "DimLoanStatus": ("LoanStatusCode", "LoanStatusKey"),
+    "DimTransactionType": ("TransactionTypeCode", "TransactionTypeKey"),
+    "DimOperation": ("OperationCode", "OperationKey"),
+}
+#: months of an increment beyond which the monthly mart is built anew
+MOST_MONTHS = 600
 CLEAN = ["account_clean", "district_clean", "client_clean", "loan_clean", "transaction_clean"]
 
 
 class Warehouse:
-    """``calendar`` cuts facts off outside of its range; without one, it holds every staged date."""
+    """``calendar`` cuts facts off outside of its range; without one, it holds every staged date.
+
+    After a run, versions older than ``retention`` go from all tables, but never the
+    last two; ``None`` keeps everything.  No reader and no load may take longer.
+    """
 
     def __init__(
         self,
@@ -41,6 +54,7 @@ class Warehouse:
         calendar: tuple[dt.date, dt.date] | None = None,
         observed_to: dt.date = K.OBSERVATION_END,
         on_missing: str = "unknown",
+        retention: dt.timedelta | None = dt.timedelta(days=7),
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
@@ -48,6 +62,10 @@ class Warehouse:
         self.calendar = calendar
         self.observed_to = observed_to
         self.on_missing = on_missing
+        self.retention = retention
+        self._tables: dict[str, SnapshotTable] = {}
+        #: versions of the transaction fact before and after the last append, and its months
+        self._appended: tuple[int, int, list[int]] | None = None
         #: updated / inserted / kept rows of the last load, per table
         self.actions: dict[str, DataFrame] = {}
         #: unmatched rows of the last load, per fact
@@ -57,9 +75,18 @@ class Warehouse:
 
     def table(self, layer: str, name: str) -> SnapshotTable:
         path = f"{self.root}/{layer}/{name}"
-        if name == "FactTransaction":
-            return SnapshotTable(self.spark, path, [facts.YEAR], "TransactionKey")
-        return SnapshotTable(self.spark, path)
+        if path not in self._tables:
+            if name == "FactTransaction":
+                made = facts.transaction_table(self.spark, path)
+            elif name == "FactLoan":
+                made = facts.loan_table(self.spark, path)
+            elif name in DIMENSION_KEYS:
+                business, surrogate = DIMENSION_KEYS[name]
+                made = SnapshotTable(self.spark, path, key=surrogate, bucket_by=business)
+            else:
+                made = SnapshotTable(self.spark, path)
+            self._tables[path] = made
+        return self._tables[path]
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.table(layer, name).read()
@@ -67,16 +94,20 @@ class Warehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: self.read("dim", name) for name in DIMENSIONS}
 
-    def _current_dim(self, name: str) -> DataFrame:
-        table = self.table("dim", name)
-        return table.read() if table.exists() else dims.new_dimensions(self.spark)[name]
-
-    def _publish_load(self, layer: str, name: str, result: DataFrame) -> None:
-        """Publish an upsert's rows; what it did also says how many to expect."""
-        did = action_counts(result)
-        counts = did.first()
-        self.actions[name] = self.spark.createDataFrame([counts], did.schema)
-        self.table(layer, name).publish(result.drop(ACTION), sum(counts))
+    def _load_dim(self, name: str, source: DataFrame, update, protect=None, scope=None) -> None:
+        """Upsert a dimension; once published, only its changed buckets are written."""
+        table, (business, surrogate) = self.table("dim", name), DIMENSION_KEYS[name]
+        # read by several steps
+        source = source if known_size(source) else stage_table(source, name)
+        if roomy(table, known_size(source)[0]):
+            did = merge_into(table, source, business, update, surrogate, protect, scope)
+        else:
+            since = table.version()
+            target = table.read() if since else dims.new_dimensions(self.spark)[name]
+            result = stage_table(upsert(target, source, business, update, surrogate, protect, scope), name)
+            did = action_counts(result)
+            table.publish(result.drop(ACTION), known_size(result)[0], since)
+        self.actions[name] = self._keep(did)
 
     def _keep(self, report: DataFrame) -> DataFrame:
         """A report of a few rows, free of the stage tables it was made from."""
@@ -113,75 +144,73 @@ class Warehouse:
             [(self.read("stg", "loan"), "date"), (self.read("stg", "trans"), "date")]
         )
         self.table("dim", "DimDate").publish(dims.dim_date(spark, *days), dims.calendar_days(*days))
-        self._publish_load(
-            "dim", "DimDistrict",
-            dims.load_district(self._current_dim("DimDistrict"), self.read("clean", "district_clean")),
+        self._load_dim(
+            "DimDistrict", self.read("clean", "district_clean"), dims.DISTRICT_ATTRIBUTES,
+            dims.unknown_member("DistrictID"),
         )
-        self._publish_load(
-            "dim", "DimAccount",
-            dims.load_account(self._current_dim("DimAccount"), self.read("clean", "account_clean")),
+        current = F.col("IsCurrent")
+        self._load_dim(
+            "DimAccount", dims.account_source(self.read("clean", "account_clean")), dims.ACCOUNT_ATTRIBUTES,
+            dims.unknown_member("AccountID"), current,
         )
-        self._publish_load(
-            "dim", "DimClient",
-            dims.load_client(
-                self._current_dim("DimClient"), self.read("clean", "client_clean"),
-                self.read("dim", "DimDistrict"),
-            ),
+        self._load_dim(
+            "DimClient",
+            dims.client_source(self.read("clean", "client_clean"), self.read("dim", "DimDistrict")),
+            dims.CLIENT_ATTRIBUTES, scope=current,
         )
-        for name, values, code, key in (
-            ("DimLoanStatus", dims.loan_status_values(spark), "LoanStatusCode", "LoanStatusKey"),
-            ("DimTransactionType", dims.transaction_type_values(spark), "TransactionTypeCode",
-             "TransactionTypeKey"),
-            ("DimOperation", dims.operation_values(spark), "OperationCode", "OperationKey"),
+        for name, values in (
+            ("DimLoanStatus", dims.loan_status_values(spark)),
+            ("DimTransactionType", dims.transaction_type_values(spark)),
+            ("DimOperation", dims.operation_values(spark)),
         ):
-            self._publish_load(
-                "dim", name, dims.load_lookup(self._current_dim(name), values, code, key)
-            )
+            self._load_dim(name, values, [c for c in values.columns if c != DIMENSION_KEYS[name][0]])
 
     def load_facts(self) -> None:
         found = self.dimensions()
         facts.require_unknown_members(found, [*facts.LOAN_DIMS, *facts.TRANSACTION_DIMS])
 
         loans = facts.resolve_loans(self.read("clean", "loan_clean"), found, self.on_missing)
-        table = self.table("fact", "FactLoan")
-        target = (
-            table.read() if table.exists() else self.spark.createDataFrame([], S.FACT_LOAN)
-        )
         self.unmatched["FactLoan"] = self._keep(loans.unmatched)
-        self._publish_load("fact", "FactLoan", facts.upsert_loans(target, loans))
+        self.actions["FactLoan"] = self._keep(facts.merge_loans(self.table("fact", "FactLoan"), loans))
 
         table = self.table("fact", "FactTransaction")
-        target = table.read() if table.exists() else self.spark.createDataFrame([], S.FACT_TRANSACTION)
-        offered = self.table("clean", "transaction_clean")
-        load = facts.append_transactions(
-            target, offered.read(), found, self.on_missing,
-            increment=offered.rows() * INCREMENT_SHARE <= table.rows(), last_key=table.top(),
-        )
+        since = table.version()
+        load = facts.append_transactions(table, self.read("clean", "transaction_clean"), found, self.on_missing)
         self.unmatched["FactTransaction"] = self._keep(load.unmatched)
-        table.append(facts.with_year(load.rows))
+        rows = facts.with_year(load.rows)
+        # no more months than the calendar has
+        months = [r[0] for r in rows.select(F.floor(F.col("DateKey") / 100).cast("int")).distinct().collect()]
+        table.append(rows, since)
+        self._appended = (since, table.version(), months)
 
     def build_marts(self) -> None:
-        self.table("mart", "MonthlyTransactionPerformance").publish(
-            marts.monthly_transactions(
-                self.read("fact", "FactTransaction"), self.read("dim", "DimDate")
-            )
-        )
+        """Both marts; of the monthly one only the months that the last append touched, if it was built just before."""
+        table, fact = self.table("mart", "MonthlyTransactionPerformance"), self.table("fact", "FactTransaction")
+        calendar, built = self.read("dim", "DimDate"), table.note().get("fact")
+        version = fact.version()
+        before, after, months = self._appended or (None, None, [])
+        if built != version:
+            if built is not None and (built, version) == (before, after) and len(months) <= MOST_MONTHS:
+                result = marts.refresh_monthly(table.read(), fact.read(), calendar, months)
+            else:
+                result = marts.monthly_transactions(fact.read(), calendar)
+            table.publish(result, note={"fact": version})
         self.table("mart", "DistrictLoanPerformance").publish(
             marts.district_loans(self.read("fact", "FactLoan"), self.read("dim", "DimDistrict"))
         )
 
     def validate(self) -> dict[str, DataFrame]:
-        """The reports of a finished load."""
+        """The reports of a finished load, each a few rows."""
         found = self.dimensions()
         loans, transactions = self.read("fact", "FactLoan"), self.read("fact", "FactTransaction")
         monthly = self.read("mart", "MonthlyTransactionPerformance")
         districts = self.read("mart", "DistrictLoanPerformance")
-        staged = {n: self.read("stg", n) for n in ("account", "client", "district", "loan", "trans")}
-        cleaned = {n: self.read("clean", n) for n in CLEAN}
-        return {
-            "row_counts": validation.stage_row_counts(
-                {**staged, **cleaned, "FactLoan": loans, "FactTransaction": transactions}
-            ),
+        # the log has counted them
+        counted = {n: self.table("stg", n).rows() for n in ("account", "client", "district", "loan", "trans")}
+        counted |= {n: self.table("clean", n).rows() for n in CLEAN}
+        counted |= {n: self.table("fact", n).rows() for n in ("FactLoan", "FactTransaction")}
+        reports = {
+            "row_counts": validation.stage_row_counts(counted),
             "integrity": validation.integrity_report(loans, transactions, found),
             "reconciliation": validation.reconciliation(loans, transactions, monthly, districts),
             "excluded_loans": marts.excluded_loans(loans, found["DimDistrict"]),
@@ -196,6 +225,7 @@ class Warehouse:
             .unionByName(validation.dim_operation_rules(found["DimOperation"]))
             .unionByName(validation.mart_rules(monthly, districts)),
         }
+        return {name: self._keep(report) for name, report in reports.items()}
 
     def run(self, sources: Mapping[str, DataFrame], run_ts: dt.datetime) -> dict[str, DataFrame]:
         """All stages in order; running it again with the same sources adds nothing.
@@ -208,7 +238,15 @@ class Warehouse:
             self.load_dimensions()
             self.load_facts()
             self.build_marts()
-        return self.validate()
+            reports = self.validate()
+        self.expire()
+        return reports
+
+    def expire(self) -> None:
+        """Remove what is older than the retention from the tables of this load."""
+        if self.retention is not None:
+            for table in self._tables.values():
+                table.expire(older_than=self.retention)
 
     @contextmanager
     def _sized(self, sources: Mapping[str, DataFrame]) -> Iterator[None]:

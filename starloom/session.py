@@ -7,7 +7,6 @@ executors, and is columnar, so later stages read only the columns they need.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -65,20 +64,17 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for stage tables.
 
-    Taken from the session; only a local session that names none gets a
-    temporary folder of its own.
+    Taken from the session.  One that names none uses its warehouse, which every
+    executor can reach as well; what is written there goes when the session ends.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/starloom-{context.applicationId}"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 _RUN: ContextVar[str | None] = ContextVar("starloom_run", default=None)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from starloom.schemas import DISTRICT_FILE, DISTRICT_NAMES
 from starloom.session import local_rows
+from starloom.sources.json_array import read_json_array
 
 
 def read_delimited(
@@ -36,16 +37,27 @@ def read_district_file(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(a).alias(name) for a, name in DISTRICT_NAMES.items()])
 
 
+#: files of one array beyond this size are read by several tasks
+SPLIT_BYTES = 64 << 20
+
+
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType, document: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, document: bool = False, split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
     """JSON records.
 
     By default one record per line, which splits into tasks.  ``document``
-    reads files that each hold one array of records, or one single record; such
-    a file cannot be split, so parallelism is one task per file.  Convert large
-    ones once (``convert``).
+    reads files that each hold one array of records, or one single record.
+    Small files are a task each; where one is larger than ``split_bytes``, the files
+    are cut at their braces.  If these do not add up in some file, all are read as whole documents.
     """
+    if document:
+        # only the lengths are read
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+        if largest is not None and largest > split_bytes:
+            found = read_json_array(spark, path, schema)
+            if found is not None:
+                return found
     return spark.read.schema(schema).json(path, multiLine=document)
 
 

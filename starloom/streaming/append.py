@@ -14,7 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.session import stage_table
-from starloom.sources.snapshot import SnapshotTable
+from starloom.sources.snapshot import ConflictError, SnapshotTable
+
+#: how often a batch is loaded while others write the same table
+ATTEMPTS = 5
 
 
 def landing_stream(
@@ -37,17 +40,23 @@ def deliver(
     """Append ``load(table, batch)`` for every micro-batch, then stop when idle.
 
     ``load`` gets the published table (``empty`` before the first batch) and the
-    batch, and returns the rows to append.
+    batch, and returns the rows to append.  Where another writer changed the table
+    meanwhile, the batch is loaded again from what the table is then.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         # read by several steps of the load, so the source is read once
         arrived = stage_table(batch, f"batch{batch_id}")
-        published = table.exists()
-        if not published and empty is None:
-            raise ValueError("the table does not exist; pass its empty frame")
-        rows = load(table.read() if published else empty, arrived)
-        table.append(rows)
+        for attempt in range(ATTEMPTS):
+            since = table.version()
+            if not since and empty is None:
+                raise ValueError("the table does not exist; pass its empty frame")
+            try:
+                table.append(load(table.read(since) if since else empty, arrived), since)
+                return
+            except ConflictError:
+                if attempt + 1 == ATTEMPTS:
+                    raise
 
     return (
         stream.writeStream.foreachBatch(one_batch)

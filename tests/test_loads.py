@@ -56,21 +56,20 @@ def test_columns_do_not_depend_on_the_size(spark, monkeypatch, how):
     assert len({tuple(sorted(map(repr, f.collect()))) for f in found}) == 1
 
 
-def test_a_stated_bound_is_compared(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        _compare_bounds(spark)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def _compare_bounds(spark):
-    fact = spark.range(10).withColumnRenamed("id", "k")
-    many = spark.range(joins.BROADCAST_ROWS + 1).withColumnRenamed("id", "k")
-    report = O.broken_references(fact, [O.Reference("gone", "k", many, "k", joins.BROADCAST_ROWS + 1)])
-    assert "BroadcastExchange" not in plan(report)
-    small = O.broken_references(fact, [O.Reference("gone", "k", many.limit(5), "k", 5)])
-    assert "BroadcastExchange" in plan(small) and small.first()["InvalidRows"] == 5
+def test_checks_are_one_scan_and_one_exchange(spark, rows):
+    fact = stage_table(spark.range(1000).select("id", (F.col("id") % 7).alias("a"), F.when(F.col("id") > 2, F.col("id") % 90).alias("b")))
+    seven, few = stage_table(spark.range(6).toDF("k")), stage_table(spark.range(5, 500).toDF("k"))
+    report = O.check_rules(
+        fact, not_null=["b"], unique=["id", "b"], at_least={"a": 1},
+        references=[O.Reference("a gone", "a", seven, "k"), O.Reference("b gone", "b", few, "k"),
+                    O.Reference("a few", "a", few, "k"), O.Reference("id gone", "id", few, "k")])
+    assert {r["Rule"]: r["Violations"] for r in report.collect()} == {
+        "b not null": 3, "a >= 1": 143, "id unique": 0, "b unique": 907, "a gone": 142,
+        "b gone": sum(i <= 2 or i % 90 < 5 for i in range(1000)), "a few": sum(i % 7 < 5 for i in range(1000)),
+        "id gone": 505}
+    text = plan(report).split("Initial Plan")[-1]
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    assert text.count("FileScan") == 3
 
 
 def test_a_dimension_with_a_key_twice_is_refused(spark):

@@ -145,3 +145,52 @@ def test_partition_settings_follow_the_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert large["spark.sql.shuffle.partitions"] == "200000"
     assert large["spark.sql.files.maxPartitionBytes"] == "512m"
+
+
+# --- large arrays ---
+
+NESTED = "id long, t string, o struct<a:int,b:struct<c:string>>, l array<struct<x:string>>"
+
+
+def documents(n):
+    text = ["}{", 'a "quoted" }', "back\\slash\\", "{[", "é}漢", "", None, "\n},{\n", '\\"}']
+    return [
+        {"id": i, "t": text[i % len(text)], "o": {"a": i, "b": {"c": text[(i + 1) % 9]}} if i % 3 else None,
+         "l": [{"x": text[(i + k) % 9]} for k in range(i % 4)]}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_array_gives_several_tasks(spark, tmp_path, rows, monkeypatch, indent):
+    import json
+
+    from starloom.sources import json_array
+
+    file = tmp_path / "large.json"
+    file.write_text(json.dumps(documents(600), indent=indent, ensure_ascii=indent is None))
+    (tmp_path / "single.json").write_text(json.dumps(documents(5)[4]))
+    (tmp_path / "none.json").write_text(" [ ] ")
+    seen = []
+    pieces = json_array._pieces
+    monkeypatch.setattr(json_array, "_pieces", lambda *a: seen.append(pieces(*a)) or seen[-1])
+    expected = rows(spark.read.schema(NESTED).json(str(tmp_path), multiLine=True))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert rows(read_json(spark, str(tmp_path), S.T.StructType.fromDDL(NESTED), document=True, split_bytes=10)) == expected
+        assert seen[0].rdd.getNumPartitions() >= 8 and len(expected) == 601
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text", ['[{"id": 1}, {"id": 2]', '[{"id": 1}}, {"id": 2}]', '[{"id": 1, "t": "x}]'])
+def test_braces_that_do_not_add_up_are_left_to_the_whole_document(spark, tmp_path, rows, text):
+    from starloom.sources.json_array import read_json_array
+
+    file = tmp_path / "broken.json"
+    file.write_text(text)
+    schema = S.T.StructType.fromDDL(NESTED)
+    assert read_json_array(spark, str(file), schema) is None
+    whole = spark.read.schema(schema).json(str(file), multiLine=True)
+    assert rows(read_json(spark, str(file), schema, document=True, split_bytes=0)) == rows(whole)
