@@ -14,6 +14,9 @@ that has more plain than linked text, all its blocks that are not noise.
 
 Left out are menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments, known by their tag, role, class or id.
+A form, header or aside that holds more than half of the page's plain text
+stays, as some pages are wrapped in one, unless there is an ``article`` or ``main`` with
+text beside it; a header inside an article is a part of it.
 Of classes and ids only those of blocks count, not those of inline tags, and an
 element that holds more than half of the page's plain (not linked) text is not
 left out by one, unless it is marked by a whole class or id and lies beside an
@@ -34,6 +37,7 @@ empty table gives none; further columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from dataclasses import dataclass, field
@@ -52,8 +56,9 @@ RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "m
 #: Tags without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
-#: Tags that hold no main text.
+#: Tags that hold no main text, and those of them that some pages put around it.
 NOISE_TAGS = frozenset("nav header footer aside form button select menu dialog head".split())
+WRAPPERS = frozenset("header aside form".split())
 
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 
@@ -95,14 +100,18 @@ IMPLIED = {
     "option": (("option",), ("select",)),
 }
 
+#: A longer path goes on from a digest of itself; such a container is not left for the one around it.
+LONG_PATH = 4_096
+
 #: Share of a block's score that goes to its container, the next one, and so on.
 FALL = (1.0, 0.5, 0.25)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|"
-    r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)",
     re.S,
 )
+_STOP = re.compile(r"[>\"']")
 #: One attribute: its name ends at white space, a slash or "="; what follows "=" is its value, whatever it holds.
 _ATTRIBUTE = re.compile(r"(=?[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _READ = frozenset(("class", "id", "role", "hidden"))
@@ -128,6 +137,7 @@ class _Open:
     link: bool
     mark: int  # of the marked element it is in, or is, -1 for none
     title: bool  # whether it is in a h1, or is
+    article: bool  # whether it is in an article, or is
 
 
 @dataclass
@@ -138,6 +148,7 @@ class _Mark:
     whole: frozenset[str]  # words that are a class or the id
     parts: frozenset[str]  # words inside one
     at: int  # the container it is in, or is
+    wraps: bool = False  # marked by its tag
     plain: int = 0  # characters that are not linked
     linked: int = 0
 
@@ -159,6 +170,8 @@ class Page:
 
     def judge(self) -> None:
         """Which marks are noise, by what they hold of the page."""
+        if any(mark.wraps for mark in self.marks):
+            self._judge_tags()
         total = 0
         for text, _, linked, mark in self.blocks:
             plain = max(len(text) - linked, 0)
@@ -178,7 +191,9 @@ class Page:
         many = total - comments >= OTHER * total
         self.noise = []
         for mark, by_whole, by_any in zip(self.marks, whole, either):
-            if many and mark.whole & COMMENT_WORDS:
+            if mark.wraps:
+                self.noise.append(False)  # what is left of them stays
+            elif many and mark.whole & COMMENT_WORDS:
                 self.noise.append(True)
             elif 2 * mark.plain > total:
                 self.noise.append(bool(mark.whole) and self._beside_main(len(self.noise)))
@@ -188,6 +203,26 @@ class Page:
                     or any(by_any[w] < SMALL * total for w in mark.parts)
                 )
 
+    def _judge_tags(self) -> None:
+        """Leave out the blocks of forms, headers and asides that are noise, unless no text would be left."""
+        total, plain = 0, [0] * len(self.marks)
+        for text, _, linked, mark in self.blocks:
+            n = max(len(text) - linked, 0)
+            total += n
+            if mark >= 0:
+                plain[mark] += n
+        for i in range(len(self.marks) - 1, -1, -1):
+            if self.marks[i].above >= 0:
+                plain[self.marks[i].above] += plain[i]
+        out: list[bool] = []  # in or around which there is one
+        for i, mark in enumerate(self.marks):
+            inside = mark.above >= 0 and out[mark.above]
+            out.append(inside or mark.wraps and (2 * plain[i] <= total or self._beside_main(i)))
+        left = [i for i, (*_, mark) in enumerate(self.blocks) if mark < 0 or not out[mark]]
+        if left:
+            self.titles = {new for new, old in enumerate(left) if old in self.titles}
+            self.blocks = [self.blocks[i] for i in left]
+
     def _beside_main(self, mark: int) -> bool:
         """Whether text of an article or main lies neither in nor around a mark that is none itself."""
         at, around = self.marks[mark].at, set()
@@ -274,7 +309,7 @@ class Page:
         held: dict[str, list[int]] = {}  # plain text, headlines
         outer: dict[str, str] = {}
         for path, above, n, h in zip(self.paths, self.above, plain, titled):
-            if above >= 0:
+            if above >= 0 and path.startswith(self.paths[above] + ">"):
                 outer[path] = self.paths[above]
             if n:
                 sums = held.setdefault(path, [0, 0])
@@ -328,7 +363,7 @@ def _attributes(rest: str) -> dict[str, str]:
 
 
 def _noise(name: str, attributes: dict[str, str]) -> bool:
-    return name in NOISE_TAGS or "hidden" in attributes or attributes.get("role", "").lower() in NOISE_ROLES
+    return name in NOISE_TAGS - WRAPPERS or "hidden" in attributes or attributes.get("role", "").lower() in NOISE_ROLES
 
 
 def _words(name: str, attributes: dict[str, str]) -> tuple[frozenset[str], frozenset[str]]:
@@ -345,8 +380,31 @@ def _words(name: str, attributes: dict[str, str]) -> tuple[frozenset[str], froze
     return whole, parts - whole
 
 
+class _Tags:
+    """Finds where tags end.  A quote that is never closed does not count, and is looked for once."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.open: set[str] = set()
+
+    def end(self, at: int) -> tuple[int, int]:
+        """(end of the attributes, end of the tag) of a tag whose name ends at ``at``."""
+        while stop := _STOP.search(self.source, at):
+            at = stop.end()
+            if stop[0] == ">":
+                return at - 1, at
+            if stop[0] not in self.open:
+                close = self.source.find(stop[0], at)
+                if close < 0:
+                    self.open.add(stop[0])
+                else:
+                    at = close + 1
+        return len(self.source), len(self.source)
+
+
 def parse(source: str) -> Page:
     page, stack, at, size = Page(), [], 0, len(source)
+    tags = _Tags(source)
     pieces: list[str] = []
     linked = 0
 
@@ -391,6 +449,8 @@ def parse(source: str) -> Page:
                 add(token["cdata"].replace("&", "&amp;"))
             continue
         name = name.lower()
+        begin = at
+        stop, at = tags.end(begin)
         if token["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].name == name:
@@ -402,8 +462,9 @@ def parse(source: str) -> Page:
                 if name == "p":
                     close_block()
             continue
+        rest = source[begin:stop]
         if name in RAW:
-            if not token["rest"].rstrip().endswith("/"):
+            if not rest.rstrip().endswith("/"):
                 end = _RAW_END[name].search(source, at)
                 at = end.end() if end else size
             continue
@@ -433,13 +494,17 @@ def parse(source: str) -> Page:
             close_block()
         if name in VOID:
             continue
-        attributes = _attributes(token["rest"])
+        attributes = _attributes(rest)
         outer = stack[-1] if stack else None
         noise = bool(outer and outer.noise) or _noise(name, attributes)
         path = outer.path if outer else (0 if page.paths else -1)
         if path < 0 and name not in ("html", "head", "body"):
             path = root()  # a page need not say where its body begins
         mark = outer.mark if outer else -1
+        article = bool(outer and outer.article) or name == "article"
+        if name in WRAPPERS and not noise and not (name == "header" and article):
+            page.marks.append(_Mark(mark, frozenset(), frozenset(), path, wraps=True))
+            mark = len(page.marks) - 1
         whole, parts = _words(name, attributes) if attributes and not noise else ((), ())
         if whole or parts:
             # its container comes next, if it is one
@@ -448,14 +513,17 @@ def parse(source: str) -> Page:
         if name in CONTAINERS and not noise:
             classes = sorted(re.sub(r"[\d>]+", "#", c) for c in attributes.get("class", "").split())
             own = ".".join([name, *classes])
-            page.paths.append(f"{page.paths[path]}>{own}" if path >= 0 else own)
+            around = page.paths[path] if path >= 0 else ""
+            if len(around) > LONG_PATH:
+                around = "#" + hashlib.md5(around.encode("utf-8", "replace")).hexdigest()
+            page.paths.append(f"{around}>{own}" if around else own)
             page.above.append(path)
             page.marked.append(mark)
             path = len(page.paths) - 1
-        if token["rest"].rstrip().endswith("/") and name not in BLOCKS:
+        if rest.rstrip().endswith("/") and name not in BLOCKS:
             continue
         stack.append(_Open(name, path, noise, bool(outer and outer.link) or name == "a", mark,
-                           bool(outer and outer.title) or name == "h1"))
+                           bool(outer and outer.title) or name == "h1", article))
     add(source[at:])
     close_block()
     # text between <html> and a container lies in no container yet

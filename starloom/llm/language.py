@@ -11,8 +11,10 @@ not depend on what was scored before.  The shortest code wins, ties by name.
 ``lang_pred`` is ``und`` for a text that is null or has no letter.  ``score`` is
 the posterior of the prediction when all languages are equally likely (0 for
 ``und``).  Learning reads whole texts of a bounded sample: for each language
-up to ``SAMPLE`` different texts of up to ``SAMPLE_BYTES`` bytes, those with
-the smallest hash; all it has, if they are fewer.  Every language is learned;
+up to ``SAMPLE`` different texts, those of up to ``SAMPLE_BYTES`` bytes first and
+then those with the smallest hash; all it has, if they are fewer.  Longer texts,
+which only a language with too few shorter ones needs, are taken until they
+have ``SAMPLE * SAMPLE_BYTES`` bytes, the last one whole.  Every language is learned;
 of more than ``MODEL_TEXTS / SAMPLE`` languages each gives fewer texts, one at
 least, so that all together are no more than ``MODEL_TEXTS``.  Null
 languages and null or empty texts teach nothing; with nothing learned every
@@ -45,7 +47,7 @@ MODEL_TEXTS = 64 * SAMPLE
 #: Languages whose contexts share a table of code lengths; so tables grow with the texts, not with their square.
 TABLE_LANGUAGES = 64
 
-#: Longer texts are scored like any other, but not learned from.
+#: Longer texts are scored like any other, but learned from only where a language has too few others.
 SAMPLE_BYTES = 1 << 16
 
 UND = "und"
@@ -225,9 +227,11 @@ def learn(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Mode
     if not 0 <= order <= 7:
         raise ValueError("order must be between 0 and 7")
     usable = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(
-        f"lang IS NOT NULL AND octet_length(text) BETWEEN 1 AND {SAMPLE_BYTES}"
+        "lang IS NOT NULL AND octet_length(text) > 0"
     )
-    by_hash = usable.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    # long texts have the upper half of the numbers, so they come last
+    upper = F.when(F.octet_length("text") > SAMPLE_BYTES, F.lit(1 << 62)).otherwise(F.lit(0).cast("long"))
+    by_hash = usable.withColumn("h", upper + F.shiftrightunsigned(F.xxhash64("text"), 2))
     # copies of a text have one hash and count once
     kinds = stage_table(by_hash.groupBy("lang").agg(F.approx_count_distinct("h").alias("d")), "languages")
     languages = kinds.count()
@@ -259,7 +263,7 @@ def _smallest(by_hash: DataFrame, kinds: DataFrame, sample: int) -> DataFrame:
     share of a language that then has too few grows until it has enough or all
     of its hashes are taken.
     """
-    spread = 4.0
+    spread = 8.0
     few, done = kinds.select("lang", "d"), None
     while True:
         share = F.least(F.lit(1.0), F.lit(spread * sample) / F.col("d")).alias("share")
@@ -269,7 +273,10 @@ def _smallest(by_hash: DataFrame, kinds: DataFrame, sample: int) -> DataFrame:
             by_hash.join(shares, "lang").where(F.col("h") / F.lit(float(1 << 63)) <= F.col("share"))
             .groupBy("lang", "h").agg(F.min("text").alias("text"))
             .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-            .where(F.col("n") <= sample).select("lang", "text"),
+            .where(F.col("n") <= sample)
+            .withColumn("earlier", F.coalesce(F.sum(F.octet_length("text")).over(
+                Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .select("lang", "text", "earlier"),
             "sample",
         )
         done = found if done is None else done.join(few.select("lang"), "lang", "left_anti").unionByName(found)
@@ -277,7 +284,7 @@ def _smallest(by_hash: DataFrame, kinds: DataFrame, sample: int) -> DataFrame:
         full = found.groupBy("lang").count().where(F.col("count") >= sample).select("lang")
         few = stage_table(cut.join(full, "lang", "left_anti"), "few")
         if not few.count():
-            return done
+            return done.where(F.col("earlier") < SAMPLE * SAMPLE_BYTES).select("lang", "text")
         spread *= 16
 
 

@@ -435,18 +435,28 @@ def keep_one(docs: DataFrame, node_rows: int | None = None) -> DataFrame:
     where no document of the component has one, and then once for each
     fingerprint that is its component's smallest.
     """
-    stored = stage_table(with_fingerprint(docs.withColumn("text", F.col("text").cast("string"))), "simhash_docs")
-    ids = stored.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_llm_fp").alias("fp"))
+    fp, name, n = _free(docs, "fp"), _free(docs, "key"), _free(docs, "n")
+    stored = stage_table(with_fingerprint(docs.withColumn("text", F.col("text").cast("string")), fp), "simhash_docs")
+    ids = stored.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"))
 
-    def key(doc_id: str, fp: str):
-        return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("-")), F.col(fp)).alias("_llm_key")
+    def key(doc_id: str, print_: str):
+        return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("-")), F.col(print_)).alias(name)
 
     chosen = (
         ids.join(_with_component(ids, node_rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root", "component_id").agg(F.min("fp").alias("first")).select(key("component_id", "first"))
     )
-    order = Window.partitionBy("_llm_key").orderBy(F.xxhash64("text"))
+    order = Window.partitionBy(name).orderBy(F.xxhash64("text"))
     return (
-        stored.select("*", key("doc_id", "_llm_fp")).join(chosen, "_llm_key")
-        .withColumn("_llm_n", F.row_number().over(order)).where("_llm_n = 1").select(*docs.columns)
+        stored.select("*", key("doc_id", fp)).join(chosen, name)
+        .withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).select(*[f"`{c}`" for c in docs.columns])
     )
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    name = f"_llm_{name}"
+    while name in taken:
+        name += "_"
+    return name

@@ -4,7 +4,9 @@ A text of up to ``CHUNK`` characters is encoded whole.  A longer one is cut
 into chunks that overlap; each is encoded with the place of every token.  Two
 chunks are spliced where both have a token border and no token can cross: the
 left chunk counts up to there, the right one from there.  If the overlap has no
-such border, it is widened, up to the whole of both chunks.
+such border, it is widened, up to the whole of both chunks.  Where both have none
+in common, as in scripts without spaces, the text up to the next safe place
+is encoded at once; so every character is encoded a bounded number of times.
 
 Which borders are safe is proven from the vocabulary, once: a space is a piece's
 first character or follows only spaces in it.  So no piece, and therefore no merge, crosses from
@@ -84,13 +86,38 @@ class Counter:
                     total += int(np.count_nonzero((left.ends > done) & (left.ends <= border)))
                     begin = done = border
                     break
-                if start == begin:  # this is both chunks in one
-                    break
-                overlap *= 2
                 self.widened += 1
+                safe = self.last_safe(text, begin, left.end)
+                if start == begin or safe is None:  # both chunks in one have no border, either
+                    border = self.next_safe(text, left.end)
+                    total += self.whole(text, begin, border)
+                    if border == len(text):
+                        return total
+                    begin = done = border
+                    right = self.encode(text, begin, min(begin + self.chunk, len(text)))
+                    break
+                overlap = max(2 * overlap, left.end - safe + 1)
             left = right
         return total + int(np.count_nonzero(left.ends > done))
 
+    def last_safe(self, text: str, begin: int, end: int) -> int | None:
+        """The last safe place between two others."""
+        at = text.rfind(" ", begin + 1, end)
+        while at > begin and text[at - 1] in (" ", SPACE):
+            at = text.rfind(" ", begin + 1, at)
+        return at if at > begin else None
+
+    def next_safe(self, text: str, at: int) -> int:
+        """The first safe place from ``at`` on that more than a space follows, or the end of the text."""
+        at = text.find(" ", at)
+        while at > 0 and text[at - 1] in (" ", SPACE):
+            at = text.find(" ", at + 1)
+        return at if 0 < at < len(text) - 1 else len(text)
+
+    def whole(self, text: str, begin: int, end: int) -> int:
+        """How many tokens the part has, which lies between safe places."""
+        return len(self._model.encode(text[begin + (begin > 0 and text[begin] == " ") : end]))
+
     def encode(self, text: str, begin: int, end: int) -> Chunk:
         """The chunk's tokens.
 

@@ -18,7 +18,8 @@ Each shard gives each query at most k results, which are merged.  All queries
 meet every shard, one shard after the other in a stream of rows, so a task
 holds one shard and a batch of queries.
 
-Vectors that are null, or hold a null, NaN or infinite component, and rows
+A score beyond a long counts as the largest or the smallest long, so such
+scores tie.  Vectors that are null, or hold a null, NaN or infinite component, and rows
 without an id take no part.  An empty vector scores 0.  Rows with one id count
 as one, that with the smallest vector.  Ties go to the smaller id.  An empty
 table gives nothing; further columns are ignored.
@@ -42,6 +43,12 @@ LEAST_ROWS = 1_024
 #: Shards that are made anyway if there are vectors enough, to use the cluster.
 LEAST_SHARDS = 48
 
+#: Bytes that the components of a shard take at most, all vectors being as long as the longest.
+SHARD_BYTES = 256 << 20
+
+#: The range of a score.
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
 #: Vectors at the head of a list that give the first k-th best score.
 HEAD = 8
 
@@ -98,6 +105,8 @@ class Shard:
             if len(some) >= k:
                 scores = self._scores(columns, query, width, some)
                 floor = np.sort(scores)[len(scores) - k]
+                # beyond the range of a score all are equal
+                floor = None if floor <= LEAST else min(floor, MOST)
         rest, essential = 0, len(terms)
         while essential and floor is not None and rest + terms[essential - 1][0] < floor:
             essential -= 1
@@ -124,6 +133,8 @@ class Shard:
             rest -= bound
             keep = total + rest >= floor
             left, total = left[keep], total[keep]
+        if total.dtype == object:
+            total = np.array([min(max(x, LEAST), MOST) for x in total.tolist()], object)
         if len(left) > k:
             last = np.sort(total)[len(total) - k]
             left, total = left[total >= last], total[total >= last]
@@ -150,8 +161,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shards: int | Non
     """
     send_code(vectors.sparkSession)
     vectors, queries = _valid(vectors), _valid(queries)
-    n = vectors.count()
-    shards = shards or max(1, min(n // LEAST_ROWS, LEAST_SHARDS), -(-n // SHARD_ROWS))
+    n, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
+    shards = shards or max(1, min(n // LEAST_ROWS, LEAST_SHARDS), -(-n // SHARD_ROWS), -(-n * width * 8 // SHARD_BYTES))
     stream = (
         vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
                        F.lit(0).alias("kind"), "vec_id", "embedding")

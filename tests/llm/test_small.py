@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -221,6 +223,14 @@ def test_simhash_components(docs, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_columns_of_any_name_pass_the_dedup_stage(spark):
+    rows = [(1, "one text", 5, "x", 7, 8), (2, "one text", 6, "y", 7, 8), (3, "quite another one", 7, "z", 9, 9)]
+    named = spark.createDataFrame(rows, "doc_id long, text string, _llm_fp long, _LLM_KEY string, _llm_n int, _LLM_FP_ int")
+    kept = simhash.keep_one(named)
+    assert kept.columns == named.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 def test_components_without_ids(spark):
     df = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "q r s t u"), (4, "k l m n o")], "doc_id long, text string")
     assert sorted(r["text"] for r in simhash.keep_one(df).collect()) == ["a b c d", "k l m n o", "q r s t u"]
@@ -304,6 +314,22 @@ def test_a_language_of_copies_is_learned(spark):
     assert model.predict(strings(pa.array(["hund und katze", "beta gamma"])))[0] == ["b", "a"]
 
 
+def test_a_language_of_long_texts_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 500)
+    draw = random.Random(9)
+    rows = [("en", " ".join(draw.choices(["the", "and", "with", "from"], k=40))) for _ in range(30)]
+    rows += [("xx", " ".join(draw.choices(["zug", "wqz", "kvj"], k=400))) for _ in range(8)]
+    rows += [("yy", " ".join(draw.choices(["ooo", "uu"], k=20))) for _ in range(2)] + [("yy", "iiii " * 300)]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    model = language.learn(labelled, sample=5)
+    docs = spark.createDataFrame([(0, "the and from"), (1, "zug kvj zug wqz"), (2, "uu ooo uu"), (3, "iiii iiii")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language.identify(docs, model).orderBy("doc_id").collect()] == ["en", "xx", "yy", "yy"]
+    # short texts come first: a long one is left out where there are enough
+    few = language.learn(spark.createDataFrame([r for r in rows if r[0] == "en"] + [("en", "qqqq " * 300)], "lang string, text string"), sample=5)
+    own = language.identify(spark.createDataFrame([(0, "qqqq")], "doc_id long, text string"), few).first()
+    assert own["lang_pred"] == "en" and few.predict(strings(pa.array(["qqqq"])))[2][0] > 7
+
+
 def test_every_language_is_learned(spark):
     draw = random.Random(6)
     vocabulary = {f"l{i:02}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(5)] for i in range(70)}
@@ -452,7 +478,9 @@ def top_k_by_force(rows, asked, k):
     out = []
     for q in asked:
         if q in whole:
-            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:k]
+            # beyond a long all scores are equal
+            score = {i: max(min(sum(a * b for a, b in zip(whole[q], v)), 2**63 - 1), -(2**63)) for i, v in whole.items()}
+            scored = sorted((-score[i], i) for i in whole if i != q)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 
@@ -472,14 +500,10 @@ def test_top_k(spark, shards, kind):
     rows = [(i, [float(v) for v in x[i]]) for i in range(n)]
     if kind == "mixed":
         rows += [(500, None), (501, []), (502, [1.0, None]), (503, [float("nan")] * 3), (504, [float("inf")]),
-                 (600, [2.0]), (600, [1.0, 5.0]), (700, [1e30, -1e30]), (None, [1.0]), (505, [0.5] * 20)]
+                 (600, [2.0]), (600, [1.0, 5.0]), (700, [1e30, -1e30]), (701, [-1e25, 1.0]), (None, [1.0]), (505, [0.5] * 20)]
         rows += rows[:5]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS shard", "2 AS kind")
     asked = list(range(0, 800, 50)) + [501, 505]
-    if kind == "mixed":  # scores beyond a long are not scores
-        asked.remove(700)
-        rows = [r for r in rows if r[0] != 700]
-        vectors = vectors.where("vec_id IS NULL OR vec_id <> 700")
     got = topk.top_k(vectors, vectors.where(f"vec_id IN ({', '.join(map(str, asked))})"), 7, shards)
     assert sorted(map(tuple, got.collect())) == top_k_by_force(rows, asked, 7)
 
@@ -646,6 +670,81 @@ def test_marks_of_parts_of_the_text():
     assert page.text("body>div.has.sidebar-page") == "short" and "short" not in page.text("body")
 
 
+@pytest.mark.parametrize("tag", ["form id=aspnetForm", "header", "aside", "form><header"])
+def test_wrapped_pages_are_kept(tag):
+    end = "".join(f"</{t.split()[0]}>" for t in reversed(tag.split("><")))
+    page = html.parse(f"<body><nav>{STORY * 9}</nav><{tag}><div class=content><p>{STORY}</p></div>{end}<footer>{STORY * 9}</footer>")
+    assert page.text(page.best()) == ("the story goes on " * 30).strip()
+    # but not beside an article, nor for less than half of the text
+    page = html.parse(f"<body><article><p>short</p></article><{tag}><div class=content><p>{STORY}</p></div>{end}")
+    assert page.text(page.best()) == "short"
+    page = html.parse(f"<body><div>{STORY * 2}</div><{tag}><p>{STORY}</p>{end}")
+    assert page.text(page.best()).split("\n") == [("the story goes on " * 30).strip()] * 2
+
+
+def test_a_header_inside_an_article_is_a_part_of_it():
+    page = html.parse(f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><p>Lead</p></header><p>{STORY}</p>"
+                      "<footer>Shares</footer></article>")
+    assert page.text(page.best()).split("\n") == ["Title", "Lead", ("the story goes on " * 30).strip()]
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    began = time.process_time()
+    for source in ("<a " * 350_000 + '"', '<a href="x>' * 90_000 + "'" * 3, "<div>" * 50_000 + "text", "<div>a" * 50_000,
+                   "<div class=a><p>b" * 20_000, "<p title='" * 90_000):
+        page = html.parse(source)
+        best = page.best()
+        assert best is None or page.text(best)
+    assert time.process_time() - began < 30
+    assert html.parse("<p title=\"x>text</p><p>more 'text'</p>").whole() == "text\nmore 'text'"
+
+
+class PlainArticle(HTMLParser):
+    """The blocks of the article element, straight from the library's events."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.raw, self.blocks = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.raw += tag in ("script", "style")
+        if tag in html.BLOCKS:
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.raw -= tag in ("script", "style")
+        if tag in html.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.depth and not self.raw:
+            self.blocks[-1] += data
+
+
+def test_given_pages_against_a_plain_version(spark):
+    """Nearly every character of the article stays, and nearly none of what is around it."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    sources = {r["page_id"]: r["html"] for r in pages.collect()}
+    kept = total = extra = 0
+    for r in html.extract(pages).collect():
+        plain = PlainArticle()
+        plain.feed(sources[r["page_id"]] or "")
+        blocks = [b for b in (" ".join(x.split()) for x in plain.blocks) if b]
+        got = Counter(r["text"].split("\n") if r["text"] else [])
+        common = sum(len(b) * n for b, n in (Counter(blocks) & got).items())
+        total += sum(map(len, blocks))
+        kept += common
+        extra += sum(len(b) * n for b, n in got.items()) - common
+    print(f"article text kept {kept / total:.4f}, other text {extra / total:.4f}")
+    assert kept / total > 0.99 and extra / total < 0.01
+
+
 def test_headline_lead_and_sections_are_kept(spark):
     long = "<p>" + "many words of the story " * 120 + "</p>"
     sources = {
@@ -753,6 +852,28 @@ def test_chunks_give_the_library_counts(chunk, overlap):
     assert own.widened > 0
 
 
+def test_texts_without_spaces_are_counted_in_linear_time():
+    import time
+
+    import sentencepiece
+
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = tokencount.counter(PIECES)
+    draw = random.Random(6)
+    for alphabet in ("漢字日本語中文", "\n", "ab\t", "\u3000あ"):
+        text = "".join(draw.choices(alphabet, k=300_000))
+        for t in (text, "a few words " * 9000 + text + " and words" * 9000 + text):
+            began = time.process_time()
+            n = len(whole.encode(t))
+            library_time, began = time.process_time() - began, time.process_time()
+            assert own.count([t]) == [n]
+            assert time.process_time() - began < 20 * library_time + 2
+    small = tokencount.Counter(PIECES, 50, 8)
+    for _ in range(200):
+        t = " ".join("".join(draw.choices("漢a字\n", k=draw.choice([1, 3, 200]))) for _ in range(draw.randint(1, 9)))
+        assert small.count([t]) == [len(whole.encode(t))]
+
+
 def test_token_counts(docs, empty):
     import sentencepiece
 
