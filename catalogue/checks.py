@@ -50,6 +50,11 @@ def quoted(x: object) -> str:
     return str(x).lower() if isinstance(x, (bool, int)) else f"'{x}'"
 
 
+def listed(rows: list[tuple]) -> str:
+    """The codes of a value table but for the unknown one."""
+    return ", ".join(quoted(code) for code, *_ in rows if code != K.UNKNOWN_CODE)
+
+
 def case_map(x: str, mapping: dict[str, str], other: str) -> str:
     whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in mapping.items())
     return f"CASE upper(trim({x})) {whens} ELSE '{other}' END"
@@ -116,7 +121,7 @@ CTES |= {
                {STAMP} AS ETL_LoadDateTime
         FROM loan l LEFT JOIN account_clean a ON a.AccountID = l.account_id
         JOIN status_values v ON v.LoanStatusCode =
-             CASE WHEN {norm('l.status')} IN ('A', 'B', 'C', 'D') THEN {norm('l.status')} ELSE 'UNKNOWN' END
+             CASE WHEN {norm('l.status')} IN ({listed(K.LOAN_STATUS)}) THEN {norm('l.status')} ELSE 'UNKNOWN' END
         WHERE l.amount > 0 AND l.duration > 0 AND l.payments > 0""",
     "trans_one": latest(
         "trans", "trans_id",
@@ -125,7 +130,7 @@ CTES |= {
     "transaction_clean": f"""
         SELECT t.trans_id AS TransactionID, t.account_id AS AccountID, a.DistrictID,
                t.date AS TransactionDate, {key('t.date')} AS DateKey,
-               CASE WHEN {norm('t.type')} IN ('PRIJEM', 'VYDAJ', 'VYBER') THEN {norm('t.type')}
+               CASE WHEN {norm('t.type')} IN ({listed(K.TRANSACTION_TYPE)}) THEN {norm('t.type')}
                     ELSE 'UNKNOWN' END AS TransactionTypeCode,
                {norm('t.operation')} AS OperationCode, t.amount AS TransactionAmount,
                CAST({signed_case(norm('t.type'), 't.amount', '0')} AS DECIMAL(18,2)) AS InflowAmount,

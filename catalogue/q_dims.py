@@ -60,7 +60,7 @@ def _earlier_districts(bank: Bank):
                  o_orderdate, o_totalprice FROM orders""")
 def surrogate_keys(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return assign_keys(orders, ["o_orderdate", "o_orderkey"], "OrderRowKey", start=1001)
+    return assign_keys(orders, ["o_orderdate", "o_orderkey"], "OrderRowKey", start=1001, stored=True)
 
 
 @query("""SELECT n_nationkey + 1 AS NationKey, n_nationkey AS NationID, n_name AS NationName,

@@ -87,3 +87,36 @@ OTHER_OPERATION = "Other Operation"
 # --- money direction by transaction type (fixed values) ---
 INFLOW_TYPES = ["PRIJEM"]
 OUTFLOW_TYPES = ["VYDAJ", "VYBER"]
+
+# --- names of report rows and columns (fixed values) ---
+#: staging profile: the columns counted as missing, and those also counted when blank
+MISSING_IN_ACCOUNT = {
+    "account_id": "MissingAccountID", "district_id": "MissingDistrictID", "date": "MissingOpenDate",
+    "frequency": "MissingFrequency",
+}
+MISSING_IN_TRANSACTIONS = {
+    "trans_id": "MissingTransactionIDs", "account_id": "MissingAccountIDs", "date": "MissingDates",
+    "amount": "MissingAmounts", "balance": "MissingBalances",
+    "type": "MissingTypes", "operation": "MissingOperations",
+}
+MISSING_IN_LOANS = {
+    "loan_id": "MissingLoanID", "account_id": "MissingAccountID", "date": "MissingLoanDate",
+    "amount": "MissingAmount", "duration": "MissingDuration", "status": "MissingStatus",
+}
+#: row counts before and after each stage: name, source table, target table
+STAGE_CHECKS = [
+    ("Account transformation", "account", "account_clean"),
+    ("Client transformation", "client", "client_clean"),
+    ("District transformation", "district", "district_clean"),
+    ("Loan transformation", "loan", "loan_clean"),
+    ("Transaction transformation", "trans", "transaction_clean"),
+    ("Loan fact loading", "loan_clean", "FactLoan"),
+    ("Transaction fact loading", "transaction_clean", "FactTransaction"),
+]
+#: reconciliation of facts with marts
+TRANSACTION_MART = "Transaction data mart"
+LOAN_MART = "Loan data mart"
+PROBLEM_LOAN_MART = "Problem-loan data mart"
+#: the marts' names in the sheet of their rows
+MONTHLY_MART = "MonthlyTransactionPerformance"
+DISTRICT_MART = "DistrictLoanPerformance"

@@ -42,32 +42,22 @@ def duplicate_identifiers(tables: Tables, ids: Mapping[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def missing_in_account(account: DataFrame) -> DataFrame:
+def _missing(df: DataFrame, names: Mapping[str, str], texts: tuple[str, ...], **rows: str) -> DataFrame:
+    """Missing values per column; ``texts`` are missing when blank, too."""
     return missing_profile(
-        account,
-        {"account_id": "MissingAccountID", "district_id": "MissingDistrictID",
-         "date": "MissingOpenDate"},
-        {"frequency": "MissingFrequency"},
-    )
+        df, {c: n for c, n in names.items() if c not in texts}, {c: names[c] for c in texts}, **rows)
+
+
+def missing_in_account(account: DataFrame) -> DataFrame:
+    return _missing(account, K.MISSING_IN_ACCOUNT, ("frequency",))
 
 
 def missing_in_transactions(trans: DataFrame) -> DataFrame:
-    return missing_profile(
-        trans,
-        {"trans_id": "MissingTransactionIDs", "account_id": "MissingAccountIDs",
-         "date": "MissingDates", "amount": "MissingAmounts", "balance": "MissingBalances"},
-        {"type": "MissingTypes", "operation": "MissingOperations"},
-        rows="TotalTransactions",
-    )
+    return _missing(trans, K.MISSING_IN_TRANSACTIONS, ("type", "operation"), rows="TotalTransactions")
 
 
 def missing_in_loans(loan: DataFrame) -> DataFrame:
-    return missing_profile(
-        loan,
-        {"loan_id": "MissingLoanID", "account_id": "MissingAccountID", "date": "MissingLoanDate",
-         "amount": "MissingAmount", "duration": "MissingDuration"},
-        {"status": "MissingStatus"},
-    )
+    return _missing(loan, K.MISSING_IN_LOANS, ("status",))
 
 
 def invalid_loans(loan: DataFrame) -> DataFrame:
@@ -187,15 +177,7 @@ def integrity_report(loans: DataFrame, transactions: DataFrame, dims: Tables) ->
     )
 
 
-STAGE_CHECKS = [
-    ("Account transformation", "account", "account_clean"),
-    ("Client transformation", "client", "client_clean"),
-    ("District transformation", "district", "district_clean"),
-    ("Loan transformation", "loan", "loan_clean"),
-    ("Transaction transformation", "trans", "transaction_clean"),
-    ("Loan fact loading", "loan_clean", "FactLoan"),
-    ("Transaction fact loading", "transaction_clean", "FactTransaction"),
-]
+STAGE_CHECKS = K.STAGE_CHECKS
 
 
 def stage_row_counts(tables: Tables) -> DataFrame:
@@ -210,10 +192,10 @@ def reconciliation(
     """Warehouse totals against mart totals, PASS when equal."""
     return totals_match(
         [
-            ("Transaction data mart", transactions, F.sum("TransactionCount"),
+            (K.TRANSACTION_MART, transactions, F.sum("TransactionCount"),
              monthly, F.sum("TotalTransactions")),
-            ("Loan data mart", loans, F.sum("LoanCount"), districts, F.sum("TotalLoans")),
-            ("Problem-loan data mart", loans, F.sum("ProblemLoanCount"),
+            (K.LOAN_MART, loans, F.sum("LoanCount"), districts, F.sum("TotalLoans")),
+            (K.PROBLEM_LOAN_MART, loans, F.sum("ProblemLoanCount"),
              districts, F.sum("ProblemLoans")),
         ]
     )
@@ -225,8 +207,8 @@ def mart_sheet(monthly: DataFrame, districts: DataFrame) -> DataFrame:
             F.count("*").alias("SummaryRows"), F.sum(column).alias("ReconciledRecordCount")
         ).select(F.lit(name).alias("DataMartTable"), "SummaryRows", "ReconciledRecordCount")
 
-    return row("MonthlyTransactionPerformance", monthly, "TotalTransactions").unionByName(
-        row("DistrictLoanPerformance", districts, "TotalLoans")
+    return row(K.MONTHLY_MART, monthly, "TotalTransactions").unionByName(
+        row(K.DISTRICT_MART, districts, "TotalLoans")
     )
 
 
@@ -299,6 +281,11 @@ def district_statistics(dim: DataFrame) -> DataFrame:
 # --- table rules ------------------------------------------------------------------
 
 
+def _values(rows, place: int) -> list:
+    """What stands at a place of the rows of a value table."""
+    return sorted({row[place] for row in rows})
+
+
 def fact_loan_rules(fact: DataFrame, dims: Tables) -> DataFrame:
     measures = [
         "LoanCount", "LoanAmount", "LoanDurationMonths", "MonthlyPayment",
@@ -395,7 +382,7 @@ def dim_loan_status_rules(dim: DataFrame) -> DataFrame:
         dim,
         not_null=["LoanStatusKey", "LoanStatusCode"],
         unique=["LoanStatusKey", "LoanStatusCode"],
-        allowed={"LoanStatusGroup": ["Completed", "Active", "Unknown"]},
+        allowed={"LoanStatusGroup": _values(K.LOAN_STATUS, 2)},
         table="DimLoanStatus",
     )
 
@@ -405,7 +392,7 @@ def dim_transaction_type_rules(dim: DataFrame) -> DataFrame:
         dim,
         not_null=["TransactionTypeKey", "TransactionTypeCode"],
         unique=["TransactionTypeKey", "TransactionTypeCode"],
-        allowed={"CashFlowDirection": ["Incoming", "Outgoing", "Unknown"]},
+        allowed={"CashFlowDirection": _values(K.TRANSACTION_TYPE, 2)},
         table="DimTransactionType",
     )
 
@@ -415,9 +402,7 @@ def dim_operation_rules(dim: DataFrame) -> DataFrame:
         dim,
         not_null=["OperationKey", "OperationCode"],
         unique=["OperationKey", "OperationCode"],
-        allowed={
-            "OperationGroup": ["Cash Transaction", "Card Transaction", "Bank Transfer", "Unknown"]
-        },
+        allowed={"OperationGroup": _values(K.OPERATION, 2)},
         table="DimOperation",
     )
 
@@ -429,10 +414,10 @@ def mart_rules(monthly: DataFrame, districts: DataFrame) -> DataFrame:
         monthly.withColumn("Month", month),
         not_null=["Year", "MonthNumber"],
         unique=["Month"],
-        table="MonthlyTransactionPerformance",
+        table=K.MONTHLY_MART,
     ).unionByName(
         check_rules(
             districts, not_null=["DistrictKey"], unique=["DistrictKey"],
-            table="DistrictLoanPerformance",
+            table=K.DISTRICT_MART,
         )
     )
