@@ -18,8 +18,8 @@ content): the parts are ranges of doc_id in order, the segments of a part are
 numbered.  A segment is closed at ``SEGMENT_IDS`` ids; a document is never cut.
 
 Null texts are empty: their only id is the end id.  A missing doc_id sorts
-first.  Repeated rows are documents of their own, in an order that does not
-matter if their texts are equal and is that of the texts otherwise.  An empty
+first.  Repeated rows are documents of their own; documents of one id, or without
+one, are in order of a hash of their texts, by which many of them are dealt to several parts.  An empty
 table gives no segment; further columns are ignored.
 """
 
@@ -275,8 +275,9 @@ def write_segments(docs: DataFrame, path: str, end_id: int, segment_ids: int = S
     """(part, number, ids, content) of all documents, with ``end_id`` after each."""
     send_code(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = plain.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
+    # documents of one id differ by text, or it does not matter where they are
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64(F.coalesce("text", F.lit(""))).asc()]
+    ordered = plain.repartitionByRange(*order).sortWithinPartitions(*order, "text")
 
     def task(batches):
         words, part, number = words_of(path), TaskContext.get().partitionId(), 0

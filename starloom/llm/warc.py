@@ -12,10 +12,14 @@ and hold no payload.  The length and digest of the full payload are headers of
 every record.
 
 The reader walks the frames by their block headers and checks, for every
-record: the frame's own size, the version line, that all needed headers are
-there once, that Content-Length is the block's length, and that a response's
-payload has the stated length and digest.  Anything else raises ``WarcError``
-with the archive and the offset.
+record: the frame's own size if it states one, the version line, that all needed headers are
+there once, that Content-Length is the block's length, and that the block and, but for a
+revisit, the payload have the digests (``DIGESTS``, in hex or base32) and the length that are
+stated.  Anything else raises ``WarcError``
+with the archive and the offset.  Archives of other writers may have records of any
+type and id, no payload length, no digest, or one of a kind that is not known, which is not checked;
+the payload of a record that holds no HTTP message is its block.  Skippable frames between records
+are passed over.
 
 A null payload is empty.  A record without an id is never referred to; where a
 payload has no id at all, all its records are responses.  Repeated rows of the
@@ -25,7 +29,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
@@ -40,9 +46,11 @@ from starloom.llm.arrow import send_code
 from starloom.session import stage_table
 
 #: Fixed values of the file formats.
-DICTIONARY_MAGIC = 0x184D2A5D
+DICTIONARY_MAGIC, SKIPPABLE_MAGIC = 0x184D2A5D, 0x184D2A50
+UNSTATED = zstandard.CONTENTSIZE_UNKNOWN
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
-VERSION = b"WARC/1.1"
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.0", b"WARC/1.1")
+DIGESTS = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -58,7 +66,7 @@ DICTIONARY_BYTES = 32_768
 
 RECORD = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
-    "payload binary, archive string, offset long"
+    "payload binary, record_id string, refers_to_id string, archive string, offset long"
 )
 
 
@@ -116,11 +124,30 @@ def frame_end(data: memoryview, begin: int) -> int:
             return at
 
 
-def _page(value: str) -> int | None:
-    if not (value.startswith("<urn:page:") and value.endswith(">")):
-        raise WarcError(f"not an id: {value}")
-    name = value[len("<urn:page:") : -1]
-    return None if name == "none" else int(name)
+def _page(value: str | None) -> int | None:
+    """The page of an id that this module wrote."""
+    own = re.fullmatch(r"<urn:page:(-?\d+)>", value or "")
+    return int(own[1]) if own else None
+
+
+def _digest(value: str) -> tuple[str, bytes] | None:
+    """(algorithm, digest) of a header; None if the algorithm is not known."""
+    name, colon, text = value.partition(":")
+    size = DIGESTS.get(name.lower().replace("-", ""))
+    if not colon or size is None:
+        return None
+    try:
+        found = bytes.fromhex(text) if len(text) == 2 * size else base64.b32decode(text.upper() + "=" * (-len(text) % 8))
+    except ValueError as error:
+        raise WarcError(f"not a digest: {value}") from error
+    if len(found) != size:
+        raise WarcError(f"not a digest: {value}")
+    return name.lower().replace("-", ""), found
+
+
+def _differs(stated: str | None, data: bytes) -> bool:
+    digest = _digest(stated) if stated else None
+    return digest is not None and hashlib.new(digest[0], data).digest() != digest[1]
 
 
 def parse(data: bytes) -> dict:
@@ -129,7 +156,7 @@ def parse(data: bytes) -> dict:
     if cut < 0:
         raise WarcError("the header does not end")
     first, *lines = data[:cut].split(b"\r\n")
-    if first != VERSION:
+    if first not in VERSIONS:
         raise WarcError(f"not a record: {first[:40]!r}")
     head: dict[str, str] = {}
     for line in lines:
@@ -137,32 +164,38 @@ def parse(data: bytes) -> dict:
         if not colon or name.lower() in head:
             raise WarcError(f"bad header line {line[:80]!r}")
         head[name.lower()] = value.strip()
-    need = {"warc-type", "warc-record-id", "warc-date", "content-length", "warc-payload-digest", "x-payload-length"}
-    revisit = head.get("warc-type") == "revisit"
-    missing = (need | ({"warc-refers-to", "warc-profile"} if revisit else set())) - head.keys()
-    if missing:
+    kind = head.get("warc-type", "").lower()
+    revisit = kind == "revisit"
+    need = {"warc-type", "warc-record-id", "warc-date", "content-length"} | ({"warc-profile"} if revisit else set())
+    if missing := need - head.keys():
         raise WarcError(f"no header {', '.join(sorted(missing))}")
-    if head["warc-type"] not in ("response", "revisit"):
-        raise WarcError(f"unknown type {head['warc-type']}")
     block = data[cut + 4 : -4]
     if data[-4:] != b"\r\n\r\n" or str(len(block)) != head["content-length"]:
         raise WarcError(f"the block has {len(block)} bytes, Content-Length is {head['content-length']}")
-    cut = block.find(b"\r\n\r\n")
-    if cut < 0:
-        raise WarcError("the HTTP header does not end")
-    payload, size = block[cut + 4 :], int(head["x-payload-length"])
-    kind, _, digest = head["warc-payload-digest"].partition(":")
-    if kind != "sha256" or len(digest) != 64:
-        raise WarcError("unknown digest")
-    if revisit and payload:
-        raise WarcError("a revisit with a payload")
-    if not revisit and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-        raise WarcError("the payload is not the one described")
-    uri = head.get("warc-target-uri")
+    if _differs(head.get("warc-block-digest"), block):
+        raise WarcError("the block is not the one described")
+    payload = block
+    if head.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        cut = block.find(b"\r\n\r\n")
+        if cut < 0 and not revisit:
+            raise WarcError("the HTTP header does not end")
+        payload = block[cut + 4 :] if cut >= 0 else b""
+    stated, size = head.get("warc-payload-digest"), head.get("x-payload-length")
+    digest = _digest(stated) if stated else None
+    if revisit:
+        if payload and digest is not None and not _differs(stated, payload):
+            raise WarcError("a revisit with its payload")
+        found = digest[1].hex() if digest and digest[0] == "sha256" else stated
+    else:
+        if _differs(stated, payload) or (size is not None and size != str(len(payload))):
+            raise WarcError("the payload is not the one described")
+        size, found = len(payload), hashlib.sha256(payload).hexdigest()
+    uri, refers = head.get("warc-target-uri"), head.get("warc-refers-to")
     return {
         "page_id": _page(head["warc-record-id"]), "url": None if uri is None else unquote(uri),
-        "record_type": head["warc-type"], "refers_to": _page(head["warc-refers-to"]) if revisit else None,
-        "payload_bytes": size, "payload_digest": digest, "payload": None if revisit else payload,
+        "record_type": kind, "refers_to": _page(refers) if revisit else None,
+        "payload_bytes": None if size is None else int(size), "payload_digest": found,
+        "payload": None if revisit else payload, "record_id": head["warc-record-id"], "refers_to_id": refers,
     }
 
 
@@ -178,14 +211,20 @@ def records(content: bytes) -> Iterator[tuple[int, dict]]:
         dictionary, at = zstandard.ZstdCompressionDict(raw), 8 + size
     reader = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
     while at < len(data):
+        if at + 8 <= len(data) and struct.unpack("<I", data[at : at + 4])[0] & ~0xF == SKIPPABLE_MAGIC:
+            at += 8 + struct.unpack("<I", data[at + 4 : at + 8])[0]
+            if at > len(data):
+                raise WarcError("a skippable frame is cut off")
+            continue
         end = frame_end(data, at)
         frame = bytes(data[at:end])
         size = zstandard.get_frame_parameters(frame[:18]).content_size
         try:
-            plain = reader.decompress(frame)
+            # a frame need not state its size
+            plain = reader.decompressobj().decompress(frame) if size == UNSTATED else reader.decompress(frame)
         except zstandard.ZstdError as error:
             raise WarcError(f"offset {at}: {error}") from error
-        if len(plain) != size:
+        if size not in (len(plain), UNSTATED):
             raise WarcError(f"offset {at}: {len(plain)} bytes, the frame states {size}")
         try:
             yield at, parse(plain)
@@ -231,7 +270,7 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Data
     )
     # a small payload has a key of its own, so it meets nothing and lies anywhere
     key = F.when(F.col("size") >= LEAST_REVISIT, F.col("digest")).otherwise(
-        F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.col("url"), F.lit(""))))
+        F.concat(F.lit("-"), F.monotonically_increasing_id()))
     ready = plain.withColumn("key", key).join(first, "key", "left").select(
         "page_id", "url", "payload", "size", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
@@ -267,7 +306,8 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Data
 def read_archives(archives: DataFrame, name: str = "archive", payloads: bool = True) -> DataFrame:
     """All records of archives (``name``, content), checked; payloads are left out on demand."""
     send_code(archives.sparkSession)
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.int64()]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(),
+             pa.string(), pa.string(), pa.string(), pa.int64()]
     names = [x.split()[0] for x in RECORD.split(", ")]
 
     def task(batches):
@@ -277,7 +317,7 @@ def read_archives(archives: DataFrame, name: str = "archive", payloads: bool = T
                 rows, size = [], 0
                 try:
                     for offset, found in records(content or b""):
-                        size += found["payload_bytes"]
+                        size += found["payload_bytes"] or 0
                         if not payloads:
                             found["payload"] = None
                         rows.append([*found.values(), archive, offset])

@@ -578,11 +578,75 @@ def test_damaged_archives_are_refused(pages):
     assert warc.parse(good)["payload"] == b"abc"
     for old, new in ((b"WARC/1.1", b"WARC/0.1"), (b"Content-Length: ", b"Content-Length: 1"), (b"abc", b"abd"),
                      (b"WARC-Date", b"WARC-Day"), (b"X-Payload-Length: 3", b"X-Payload-Length: 4"),
-                     (b"Type: response", b"Type: other"), (b"WARC-Date:", b"WARC-Type:")):
+                     (b"WARC-Date:", b"WARC-Type:"), (b"sha256:", b"sha256:0")):
         with pytest.raises(warc.WarcError):
             warc.parse(good.replace(old, new, 1))
 
 
+def foreign(kind, block, **head):
+    """A record as another writer would write it."""
+    lines = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:0f8fad5b-d9cb-469f-a165-70867728950e>",
+             "WARC-Date": "2024-05-06T07:08:09Z", "Content-Length": len(block), **{k.replace("_", "-"): v for k, v in head.items()}}
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers_are_read(spark):
+    import base64
+    import struct
+
+    import zstandard
+
+    http, body = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n", b"<p>hello</p>" * 40
+    sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    plain = [
+        foreign("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+        foreign("response", http + body, Content_Type="application/http;msgtype=response", WARC_Payload_Digest=sha1(body),
+                WARC_Block_Digest="sha256:" + hashlib.sha256(http + body).hexdigest(), WARC_Target_URI="http://a/%C3%BC"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        foreign("revisit", http, Content_Type="application/http; msgtype=response", WARC_Payload_Digest=sha1(body),
+                WARC_Profile="http://netpreserve.org/warc/1.0/revisit/identical-payload-digest",
+                WARC_Refers_To="<urn:uuid:00000000-0000-0000-0000-000000000001>"),
+        foreign("resource", body, Content_Type="text/html", WARC_Payload_Digest="blake3:zzz"),
+        foreign("x-other", b""),
+    ]
+    packer = zstandard.ZstdCompressor(write_content_size=False)
+    content = b""
+    for data in plain:
+        pack = packer.compressobj()  # states no size
+        content += pack.compress(data) + pack.flush() + struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    archives = spark.createDataFrame([("a.warc.zst", bytearray(content))], "archive string, content binary")
+    got = warc.read_archives(archives).orderBy("offset").collect()
+    assert [r["record_type"] for r in got] == ["warcinfo", "response", "request", "revisit", "resource", "x-other"]
+    assert [r["payload"] and bytes(r["payload"]) for r in got] == [b"software: other\r\n", body, b"", None, body, b""]
+    assert got[1]["payload_digest"] == got[4]["payload_digest"] == hashlib.sha256(body).hexdigest()
+    assert got[1]["url"] == "http://a/ü" and got[1]["payload_bytes"] == len(body) and got[3]["payload_digest"] == sha1(body)
+    assert {r["page_id"] for r in got} == {None} and got[3]["refers_to_id"].endswith("000001>") and got[3]["refers_to"] is None
+    for old, new in ((b"hello", b"hallo"), (sha1(body).encode(), sha1(b"").encode()), (b"WARC-Date", b"WARC-Day"), (b"sha1:", b"sha1:?")):
+        with pytest.raises(warc.WarcError):
+            warc.parse(plain[1].replace(old, new))
+
+
+def test_many_short_pages_without_ids_do_not_meet(spark):
+    pages = spark.range(400, numPartitions=4).selectExpr("CAST(NULL AS LONG) AS page_id", "CAST(NULL AS STRING) AS url", "'short' AS html")
+    got = warc.read_archives(warc.write_archives(pages)).collect()
+    assert len(got) == 400 and len({r["archive"] for r in got}) > 2
+
+
+def test_many_documents_of_one_id_are_dealt_to_several_parts(spark):
+    docs = spark.range(2000).selectExpr("CAST(7 AS LONG) AS doc_id", "concat('text ', id) AS text")
+    from starloom.session import stage_table
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # or so few rows become one part
+    try:
+        segments = stage_table(tokenbin.write_segments(docs, WORDS, 1))
+    finally:
+        spark.conf.set(name, before)
+    assert segments.select("part").distinct().count() > 2
+    starts = sorted((r["start"], r["n_tokens"]) for r in tokenbin.read_segments(segments).collect())
+    assert len(starts) == 2000 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
 # --- main text --------------------------------------------------------------------------------------------------
 
 
