@@ -59,7 +59,7 @@ class Bank:
     def dim_date(self) -> DataFrame:
         """The calendar of the years in which there are loans or transactions."""
         days = dims.calendar_range([(self.stg("loan"), "date"), (self.stg("trans"), "date")])
-        return stage_table(dims.dim_date(self.spark, *days))
+        return dims.stored_calendar(self.spark, *days)
 
     @cached_property
     def dim_district(self) -> DataFrame:

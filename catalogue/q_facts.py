@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from catalogue.bank import Bank
@@ -202,7 +200,7 @@ def fact_transaction_stream(spark, sf_dir):
 
     bank = Bank(spark, sf_dir)
     events = table(spark, sf_dir, "events")
-    known = {**bank.transaction_dims, "DimDate": stage_table(dims.dim_date(spark, *dims.calendar_range([(events, "ts")])))}
+    known = {**bank.transaction_dims, "DimDate": dims.stored_calendar(spark, *dims.calendar_range([(events, "ts")]))}
     code = F.when(F.col("event_type") == "signup", "PRIJEM").when(
         F.col("event_type") == "purchase", "VYDAJ"
     ).otherwise("UNKNOWN")

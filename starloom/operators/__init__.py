@@ -16,7 +16,7 @@ from starloom.operators.checks import (
 from starloom.operators.dedup import latest_per_key, preferred_per_key
 from starloom.operators.joins import fits_broadcast, lookup_join
 from starloom.operators.keys import assign_keys, max_key
-from starloom.operators.lookup import DayLookup, KeyLookup, resolve_keys, resolve_once, unmatched_rows
+from starloom.operators.lookup import DayLookup, KeyLookup, days_of, resolve_keys, resolve_once, unmatched_rows
 from starloom.operators.profile import (
     control_totals,
     count_where,
@@ -38,7 +38,7 @@ from starloom.operators.upsert import (
 
 __all__ = [
     "ACTION", "DayLookup", "KeyLookup", "LoadGateError", "Reference", "action_counts", "as_current", "assign_keys",
-    "broken_references", "check_rules", "control_totals", "count_where", "counts_match",
+    "broken_references", "check_rules", "control_totals", "count_where", "counts_match", "days_of",
     "duplicate_keys", "ensure_unknown", "fits_broadcast", "insert_new", "latest_per_key",
     "lookup_join", "max_key", "missing_profile", "new_rows", "orphan_count", "pass_fail",
     "preferred_per_key", "require", "require_unique", "resolve_keys", "resolve_once",

@@ -101,6 +101,12 @@ class DayLookup(KeyLookup):
 _DAYS = "_starloom_days"
 
 
+def days_of(calendar: DataFrame, column: str, low: int, high: int) -> DataFrame:
+    """``calendar``, noted to hold all days from one key to another once, so it need not be asked."""
+    setattr(calendar, _DAYS, {(column, column): (low, high)})
+    return calendar
+
+
 def _is_day(key: Column) -> Column:
     """Whether a number YYYYMMDD is a day; arithmetic only, as it is asked of every row of a fact."""
     year, month, day = F.floor(key / 10000), F.floor(key / 100) % 100, key % 100

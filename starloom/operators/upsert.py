@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.constants import OPEN_END, UNKNOWN_KEY
 from starloom.operators.checks import require_unique
@@ -157,6 +158,8 @@ def upsert(
     columns = [value(c) for c in target.columns]
     did = F.when(changed, "updated").otherwise("kept")
     few = live.limit(SHORT_ROWS + 1).collect()
+    if max(len(few), (known_size(source) or (SHORT_ROWS + 1,))[0]) <= SHORT_ROWS and scope is None and protect is None:
+        return _short_upsert(target, few, source, key, update, surrogate)
     if len(few) <= SHORT_ROWS:
         # the few rows go to the source, and the new rows are numbered as they come
         live = local_rows(live.sparkSession, few, live.schema)
@@ -193,6 +196,28 @@ def upsert(
     return result
 
 
+def _short_upsert(
+    target: DataFrame, few: Sequence[Row], source: DataFrame, key: str, update: Sequence[str], surrogate: str
+) -> DataFrame:
+    """The upsert where both sides have up to ``SHORT_ROWS`` rows, as lookups have: no join and nothing written."""
+    names = target.columns
+    incoming = _shaped(source, target).collect()
+    by_key = {r[key]: r for r in incoming if r[key] is not None}
+    take = [c for c in update if c in source.columns]
+    out, known = [], set()
+    for row in few:
+        values, match = row.asDict(), by_key.get(row[key])
+        if match is not None:
+            values |= {c: match[c] for c in take}
+            known.add(row[key])
+        out.append([*(values[c] for c in names), "kept" if match is None else "updated"])
+    last = max((r[surrogate] for r in few if r[surrogate] is not None), default=0)
+    new = sorted((r for r in incoming if r[key] not in known), key=lambda r: (r[key] is not None, r[key]))
+    for number, row in enumerate(new, last + 1):
+        out.append([*(number if c == surrogate else row[c] for c in names), "inserted"])
+    return local_rows(target.sparkSession, out, T.StructType([*target.schema.fields, T.StructField(ACTION, T.StringType())]))
+
+
 def as_current(source: DataFrame, effective_from: Column | str | dt.date) -> DataFrame:
     """The source as current rows of a dimension, valid from ``effective_from``."""
     since = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from starloom.functions import (
 )
 from starloom.operators import (
     as_current,
+    days_of,
     insert_new,
     new_rows,
     preferred_per_key,
@@ -29,7 +31,7 @@ from starloom.operators import (
 )
 from starloom.operators.joins import lookup_join
 from starloom.operators.upsert import ACTION
-from starloom.session import local_rows, part_of
+from starloom.session import local_rows, part_of, stage_table
 from starloom.sources.files import constant_table
 from starloom.sources.staging import AUDIT
 
@@ -76,12 +78,11 @@ def calendar_range(
 ) -> tuple[dt.date, dt.date]:
     """Whole years that hold every date of the columns, and ``start``, the day of facts without a date.
 
-    One minimum and one maximum per table; only the date columns are read.
+    One minimum and one maximum of all; only the date columns are read.
     """
-    found = [start]
-    for frame, column in dates:
-        seen = frame.agg(F.min(column).cast("date").alias("a"), F.max(column).cast("date").alias("b")).first()
-        found += [d for d in seen if d is not None]
+    columns = [frame.select(F.col(column).cast("date").alias("d")) for frame, column in dates]
+    seen = reduce(DataFrame.unionByName, columns).agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
+    found = [start, *(d for d in seen if d is not None)]
     return dt.date(min(found).year, 1, 1), dt.date(max(found).year, 12, 31)
 
 
@@ -107,6 +108,12 @@ def dim_date(
     )
 
 
+def stored_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """The calendar as a stage table, known to have no gap."""
+    low, high = (d.year * 10000 + d.month * 100 + d.day for d in (start, end))
+    return days_of(stage_table(dim_date(spark, start, end), "calendar"), "DateKey", low, high)
+
+
 # --- lookups from constants -------------------------------------------------
 
 

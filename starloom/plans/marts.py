@@ -26,7 +26,7 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     (month, account) pairs; it carries those two columns and no sums, and it
     spreads out a month that has most of the rows.
     """
-    months = ["Year", "MonthNumber"]
+    months, names = ["Year", "MonthNumber"], ["MonthName", "Quarter"]
     days = part_of(calendar, calendar.select("DateKey", *months))
     per_day = fact.groupBy("DateKey").agg(
         F.sum("TransactionCount").alias("n"),
@@ -34,8 +34,8 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     )
     summed = (
         # both sides have a row per day
-        per_day.join(days, "DateKey")
-        .groupBy(*months)
+        per_day.join(part_of(calendar, calendar.select("DateKey", *months, *names)), "DateKey")
+        .groupBy(*months, *names)
         .agg(
             F.sum("n").alias("TotalTransactions"),
             total("TransactionAmount").alias("TotalTransactionAmount"),
@@ -52,13 +52,11 @@ def monthly_transactions(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         .groupBy(*months)
         .agg(F.count_distinct("AccountKey").alias("ActiveAccounts"))
     )
-    names = calendar.select(*months, "MonthName", "Quarter").distinct()
-    # all three have at most one row per month of the calendar
+    # both have at most one row per month of the calendar
     return (
         summed.join(active, months)
-        .join(names, months)
         .select(
-            *months, "MonthName", "Quarter",
+            *months, *names,
             year_month_label(*months).alias("YearMonthLabel"),
             "TotalTransactions", "ActiveAccounts", "TotalTransactionAmount", "TotalInflow",
             "TotalOutflow", "NetCashFlow", "AverageTransactionAmount",
