@@ -12,8 +12,9 @@ rows of an id, the text with the smallest hash counts.
 Features are those whose share of documents differs between the two by more
 than ``LEAST_Z`` standard errors, the ``FEATURES`` strongest.  Both kinds weigh
 the same altogether.  Labels give only
-toxic or not; a toxic document's grade counts its words that are marked by a
-feature of toxic documents, see ``GRADE_FROM``.
+toxic or not; a toxic document's grade, from 1 to ``GRADES``, tells in which part of the
+toxic ones it is by the share of its words that are marked by a feature of
+toxic documents, so a long document is not of a higher grade for its length alone.
 
 Null and empty texts have no features.  Of contradicting labels of one document
 toxic wins; null labels are none.  Without labels of both kinds there is no
@@ -45,8 +46,8 @@ LEAST_Z = 4.5
 #: Documents that must hold a feature.
 LEAST_DOCS = 4
 
-#: Marked words from which a toxic document is of grade 1, 2 and 3.
-GRADE_FROM = (0, 3, 8)
+#: Grades of toxic documents, of equal numbers of them.
+GRADES = 3
 
 PREFIXES = (4, 5, 6)
 
@@ -164,7 +165,7 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     """Weights and thresholds from labelled documents; see the module for the sample."""
     send_code(docs.sparkSession)
-    grades = len(GRADE_FROM) + 1
+    grades = GRADES + 1
     nothing = Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.full(grades - 1, 40.0))
     chosen = stage_table(_sample(docs, labels, sample), "examples")
 
@@ -214,19 +215,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
                 at, number, found = features(texts[a:b])
                 known = among(found, markers)
                 marked = np.bincount(at[known][np.unique(number[known], return_index=True)[1]], minlength=b - a)
+                n_words = np.bincount(at[np.unique(number, return_index=True)[1]], minlength=b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids[a:b], toxic[a:b], pa.array(marked.astype(np.int64)),
+                        ids[a:b], toxic[a:b], pa.array(marked / np.maximum(n_words, 1)),
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(place.astype(np.int32))),
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value.astype(np.float32))),
                     ],
                     ["id", "toxic", "marked", "place", "value"],
                 )
 
-    seen = chosen.mapInArrow(examples, "id long, toxic int, marked long, place array<int>, value array<float>").toArrow()
+    seen = chosen.mapInArrow(examples, "id long, toxic int, marked double, place array<int>, value array<float>").toArrow()
     seen = seen.sort_by("id")  # sums of floats in one order
     toxic, marked = seen.column("toxic").to_numpy(), seen.column("marked").to_numpy()
-    grade = np.where(toxic > 0, np.searchsorted(GRADE_FROM, marked, "right"), 0)
+    grade = grades_of(toxic, marked)
     size = pc.list_value_length(seen.column("place")).to_numpy()
     row = np.repeat(np.arange(len(grade)), size)
     place = pc.list_flatten(seen.column("place")).to_numpy().astype(np.int64)
@@ -234,6 +236,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     return Ordinal(vocabulary, *fit(row, place, value, grade, len(vocabulary), grades))
 
 
+def grades_of(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """0 for documents that are not toxic; the others are cut into ``GRADES`` equal parts by their share of marked words."""
+    cuts = np.quantile(marked[toxic > 0], np.arange(1, GRADES) / GRADES)
+    return np.where(toxic > 0, 1 + np.searchsorted(cuts, marked, "left"), 0)
+
+
 def severity(docs: DataFrame, model: Ordinal) -> DataFrame:
     """doc_id, severity (expected grade), grade (the largest that is likelier than not), toxic."""
     send_code(docs.sparkSession)

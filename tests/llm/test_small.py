@@ -375,6 +375,71 @@ def test_severity_generalises(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if not r["toxic"]}
 
 
+def plain_features(text):
+    found = []
+    for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()):
+        found.append(("word", w))
+        found += [(n, w.encode()[:n]) for n in toxicity.PREFIXES if len(w.encode()) >= n]
+    return found
+
+
+def test_features_and_grades_against_a_plain_version(spark):
+    docs, labels = severe(spark, 300, 6)
+    texts, toxic = dict(map(tuple, docs.collect())), dict(map(tuple, labels.select("doc_id", "toxic").collect()))
+    n = Counter(toxic.values())
+    held = {1: Counter(), 0: Counter()}
+    for i, t in texts.items():
+        held[toxic[i]].update(set(plain_features(t)))
+    strong, marker = set(), set()
+    for f in held[0] | held[1]:
+        bad, good = held[1][f], held[0][f]
+        both = (bad + good) / len(texts)
+        z = (bad / n[1] - good / n[0]) / (both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-12) ** 0.5
+        if bad + good >= toxicity.LEAST_DOCS and abs(z) >= toxicity.LEAST_Z:
+            strong.add(f)
+            if bad / n[1] > 20 * good / n[0]:
+                marker.add(f)
+    assert len(strong) > 10 and len(strong) <= toxicity.FEATURES
+    ids = sorted(texts)
+    row, _, found = toxicity.features(strings(pa.array([texts[i] for i in ids])))
+    named = sorted({int(h) for h, r in zip(found, row)})
+    model = toxicity.learn(docs, labels)
+    assert set(model.vocabulary.tolist()) <= set(named) and len(model.vocabulary) == len(strong)
+    # grades by the share of marked words, in thirds
+    share = {i: np.mean([any(f in marker for f in plain_features(w)) for w in texts[i].lower().split()]) for i in ids if toxic[i]}
+    order = sorted(share.values())
+    grade = toxicity.grades_of(np.array([toxic[i] for i in ids]), np.array([share.get(i, 0.0) for i in ids]))
+    for i, g in zip(ids, grade):
+        assert (g == 0) == (not toxic[i])
+        if toxic[i]:
+            below = np.mean([x < share[i] for x in order])
+            assert below <= g / 3 + 0.01 and np.mean([x <= share[i] for x in order]) >= (g - 1) / 3 - 0.01
+
+
+def test_the_fit_is_the_best_one():
+    """No small change of any parameter makes the weighted likelihood larger, as a plain sum gives it."""
+    draw = np.random.default_rng(3)
+    n, size, grades = 400, 5, 4
+    x = draw.normal(size=(n, size)) * (draw.random((n, size)) < 0.6)
+    grade = np.searchsorted([0.0, 1.0, 2.0], x @ [1.5, -1.0, 0.5, 0.0, 0.2] + draw.logistic(0, 0.5, n))
+    row, place = np.nonzero(x)
+
+    def loss(w, t):
+        total = 0.5e-3 * float(w @ w)
+        for xi, g in zip(x, grade):
+            edge = [1.0, *(1 / (1 + np.exp(-(xi @ w - k))) for k in t), 0.0]
+            total -= (0.5 / (grade > 0).sum() if g else 0.5 / (grade == 0).sum()) * np.log(edge[g] - edge[g + 1])
+        return total
+
+    w, t = toxicity.fit(row, place, x[row, place], grade, size, grades, steps=1500)
+    best = loss(w, t)
+    for i in range(size + grades - 1):
+        for step in (0.02, -0.02):
+            w2, t2 = w.copy(), t.copy()
+            (w2 if i < size else t2)[i if i < size else i - size] += step
+            assert loss(w2, t2) > best - 1e-6
+
+
 def test_ordinal_fit_and_prediction():
     """One weight for all thresholds; probabilities are those of the definition."""
     draw = np.random.default_rng(1)
