@@ -43,6 +43,9 @@ NODE_ROWS = (2_048, 65_536)
 #: About how many nodes there are at most; beyond it, nodes grow.
 MOST_NODES = 4_096
 
+#: Fingerprints for which there is a task of a join; tasks are counted by rows, as joins take time and not space.
+TASK_ROWS = 100_000
+
 _SPACE = byte_table((0x20, 0x20), (0x09, 0x0D))
 _LANES = np.uint64(0x0101010101010101)
 
@@ -333,8 +336,11 @@ def components(prints: DataFrame, node_rows: int | None = None) -> DataFrame:
         return out.append_column("node", pa.array([key[0].as_py()] * out.num_rows, pa.int64())).select(
             ["node", "fp", "label"])
 
+    def tasks(copies: int) -> int:
+        return min(max(-(-n * copies // TASK_ROWS), 8), 20_000)
+
     labelled = stage_table(
-        prints.select("fp").mapInArrow(place, "node long, fp long")
+        prints.select("fp").mapInArrow(place, "node long, fp long").repartition(min(tasks(1), len(nodes)), "node")
         .groupBy("node").applyInArrow(alone, "node long, fp long, label long"),
         "simhash_labels",
     )
@@ -370,6 +376,8 @@ def components(prints: DataFrame, node_rows: int | None = None) -> DataFrame:
 
     links = (
         labelled.select("node", "fp", "label").mapInArrow(copies, "pair long, node long, fp long, label long")
+        # a node is in so many pairs on the average
+        .repartition(tasks(-(-2 * len(pairs) // len(nodes))), "pair")
         .groupBy("pair").applyInArrow(cross, "a long, b long")
     )
     roots = connect(stage_table(links, "simhash_links"))
