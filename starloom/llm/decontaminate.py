@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.arrow import LOWER, WORD_BYTES, among, buffers, grams, Hashes, send_code, slices, strings, words
+from starloom.session import stage_table
 
 WINDOW = 10
 GRAM = 5
@@ -214,58 +215,80 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, index_bytes: int = IN
     return docs.mapInArrow(task, docs.schema)
 
 
-def _spans(lengths: list[int]):
-    """Task: the kept hashes of texts with the text around, and their short runs.
-
-    A row's ``n`` is 0 for a kept hash: ``words`` then are the windows around it
-    and ``begin`` is where the first of them begins.
-    """
+def _spots(lengths: list[int]):
+    """Task: the kept hashes of texts and those of their short runs, and where they are; no text."""
 
     def task(batches):
         for batch in batches:
             key, texts = batch.column(0), strings(batch.column(1))
             for a, b in slices(texts, 1 << 18):
                 w = _Words(texts[a:b])
-                kept, hashes = w.kept()
-                parts = [(kept, hashes, 0)]
-                parts += [(*w.short(n), n) for n in lengths]
-                for at, hashes, n in parts:
-                    for c in range(0, len(at), 20_000):
-                        place = at[c : c + 20_000]
+                for at, hashes, n in [(*w.kept(), WINDOW), *((*w.short(n), n) for n in lengths)]:
+                    for c in range(0, len(at), 100_000):
+                        place = at[c : c + 100_000]
                         row = w.row_of(place)
-                        begins, spans = [], []
-                        for x, r in zip(place.tolist(), row.tolist()):
-                            if n:
-                                low, found = x, [w.text(x, n)]
-                            else:
-                                low = max(x - KEPT_OF + 1, int(w.first[r]))
-                                high = min(x, int(w.first[r + 1]) - WINDOW)
-                                found = [w.text(y, WINDOW) for y in range(low, high + 1)]
-                            begins.append(low - int(w.first[r]))
-                            spans.append([t.decode("utf-8", "replace") for t in found])
                         yield pa.RecordBatch.from_arrays(
                             [
                                 key.take(pa.array(row + a)),
-                                pa.array(hashes[c : c + 20_000].view(np.int64)),
-                                pa.array(begins, pa.int64()),
-                                pa.array([n or WINDOW] * len(begins), pa.int64()),
-                                pa.array(spans, pa.list_(pa.string())),
+                                pa.array(hashes[c : c + 100_000].view(np.int64)),
+                                pa.array(np.full(len(place), n, np.int64)),
+                                pa.array(place - w.first[row]),
                             ],
-                            ["key", "hash", "begin", "n", "words"],
+                            ["key", "hash", "n", "place"],
                         )
 
     return task
 
 
+def _windows(batches):
+    """Task: the windows around the spots of each text, and where they begin."""
+    for batch in batches:
+        key, texts, spots = batch.column(0), strings(batch.column(1)), batch.column(2)
+        for a, b in slices(texts, 1 << 18):
+            w = _Words(texts[a:b])
+            for row, found in enumerate(spots[a:b].to_pylist()):
+                first, end, known = int(w.first[row]), int(w.first[row + 1]), set()
+                for spot in found:
+                    n, x = spot["n"], first + spot["place"]
+                    if n < WINDOW:
+                        known.add((x, n))
+                    else:
+                        known.update((y, n) for y in range(max(x - KEPT_OF + 1, first), min(x, end - WINDOW) + 1))
+                windows = sorted(known)
+                for c in range(0, len(windows), 10_000):
+                    part = windows[c : c + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([key[a + row].as_py()] * len(part), pa.string()),
+                            pa.array([n for _, n in part], pa.int64()),
+                            pa.array([x - first for x, _ in part], pa.int64()),
+                            pa.array([w.text(x, n).decode("utf-8", "replace") for x, n in part], pa.string()),
+                        ],
+                        ["key", "n", "begin", "window"],
+                    )
+
+
+_SPOT, _WINDOW = "key string, hash long, n long, place long", "key string, n long, begin long, window string"
+
+
+def _windows_at(texts: DataFrame, spots: DataFrame) -> DataFrame:
+    """(key, n, begin, window) of the texts (key, text) around their spots (key, n, place)."""
+    places = spots.groupBy("key").agg(F.collect_set(F.struct("n", "place")).alias("spots"))
+    return texts.join(places, "key").select("key", "text", "spots").mapInArrow(_windows, _WINDOW)
+
+
 def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same result for a benchmark of any size."""
-    schema = "key string, hash long, begin long, n long, words array<string>"
+    """The same result for a benchmark of any size.
+
+    Hashes and places of all documents meet the benchmark's hashes first; only documents with a
+    hash in common then move with their text, and windows are cut around the places found.
+    """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = plain.select(
         F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2("text", 256)).alias("key"),
         "doc_id", "text",
     )
-    items = benchmark.select(F.col("item_id").cast("string").alias("key"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     n_words = F.size(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))
     lengths = [
         r[0]
@@ -273,25 +296,26 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct().collect()
     ]
     # short runs only of items that are no longer, so an item's own windows are told by length
-    item_spans = (
+    item_texts = stage_table(
         items.where("text IS NOT NULL").withColumn("size", n_words)
-        .withColumn("key", F.concat_ws(":", "size", "key")).select("key", "text")
-        .mapInArrow(_spans(lengths), schema)
-        .withColumn("size", F.split("key", ":", 2)[0].cast("int"))
-        .where(F.when(F.col("size") < WINDOW, F.col("n") == F.col("size")).otherwise(F.col("n") == WINDOW))
-        .withColumn("item", F.get(F.split("key", ":", 2), F.lit(1)))
+        .select(F.concat_ws(":", "size", F.xxhash64("text"), F.sha2("item", 256)).alias("key"), "item", "text").distinct(),
+        "benchmark_items",
+    )
+    own = F.split("key", ":")[0].cast("int")
+    item_spots = stage_table(
+        item_texts.select("key", "text").mapInArrow(_spots(lengths), _SPOT)
+        .where(F.when(own < WINDOW, F.col("n") == own).otherwise(F.col("n") == WINDOW)),
+        "benchmark_spots",
     )
     windows = (
-        item_spans.select(F.explode("words").alias("window"), "item").groupBy("window")
+        _windows_at(item_texts.select("key", "text"), item_spots.select("key", "n", "place"))
+        .join(item_texts.select("key", "item"), "key").groupBy("window")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    known = item_spans.select("hash", "n").distinct()
+    spots = keyed.select("key", "text").mapInArrow(_spots(lengths), _SPOT).join(
+        item_spots.select("hash", "n").distinct(), ["hash", "n"], "left_semi")
     found = (
-        keyed.select("key", "text").mapInArrow(_spans(lengths), schema)
-        .join(known, ["hash", "n"], "left_semi")
-        .select("key", "n", F.posexplode("words").alias("step", "window"), "begin")
-        .select("key", "n", (F.col("begin") + F.col("step")).alias("begin"), "window")
-        .join(windows, "window")
+        _windows_at(keyed.select("key", "text").distinct(), spots.select("key", "n", "place")).join(windows, "window")
     )
     words_hit = (
         found.select("key", F.explode(F.sequence("begin", F.col("begin") + F.col("n") - 1)).alias("word"))

@@ -138,6 +138,20 @@ def test_item_ids_with_colons(spark, index_bytes):
     assert by_id(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == contamination_by_force(rows, items)
 
 
+def test_no_text_moves_before_hashes_are_compared(spark, monkeypatch):
+    seen = []
+    cut = decontaminate._windows_at
+    monkeypatch.setattr(decontaminate, "_windows_at", lambda texts, spots: seen.append((texts, spots)) or cut(texts, spots))
+    docs = spark.createDataFrame([(i, f"w{i} " * 12) for i in range(50)], "doc_id long, text string")
+    items = docs.where("doc_id < 3").withColumnRenamed("doc_id", "item_id")
+    assert decontaminate.contamination(docs, items, 0).where("contaminated").count() == 3
+    texts, spots = seen[-1]
+    assert spots.dtypes == [("key", "string"), ("n", "bigint"), ("place", "bigint")]
+    plan = spots._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "words" not in plan
+    assert spots.select("key").distinct().count() == 3
+
+
 # --- SimHash ----------------------------------------------------------------------------------------------------
 
 
