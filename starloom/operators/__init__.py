@@ -31,6 +31,7 @@ from starloom.operators.upsert import (
     ensure_unknown,
     insert_new,
     new_rows,
+    new_rows_by_key,
     update_matched,
     upsert,
     upsert_current,
@@ -40,7 +41,7 @@ __all__ = [
     "ACTION", "DayLookup", "KeyLookup", "LoadGateError", "Reference", "action_counts", "as_current", "assign_keys",
     "broken_references", "check_rules", "control_totals", "count_where", "counts_match", "days_of",
     "duplicate_keys", "ensure_unknown", "fits_broadcast", "insert_new", "latest_per_key",
-    "lookup_join", "max_key", "missing_profile", "new_rows", "orphan_count", "pass_fail",
+    "lookup_join", "max_key", "missing_profile", "new_rows", "new_rows_by_key", "orphan_count", "pass_fail",
     "preferred_per_key", "require", "require_unique", "resolve_keys", "resolve_once",
     "row_count_sheet", "totals_match", "unmatched_rows", "update_matched", "upsert", "upsert_current",
     "value_frequency",
