@@ -79,3 +79,14 @@ def test_rules_beyond_one_number_and_on_texts(spark):
         "t not null": 1, "n not null": 1, "n in list": 2, "n >= 2": 1, "t unique": 1, "n unique": 0, "t gone": 3}
     many = O.checks._checked(fact, [(f"r{i}", f"n = {i % 4}") for i in range(130)], [], [])
     assert {r[0]: r[1] for r in many.collect()} == {f"r{i}": int(i % 4 > 0) for i in range(130)}
+
+
+def test_hot_keys_are_found_without_an_exchange_per_key(spark, rows, monkeypatch):
+    fact = stage_table(spark.range(3000).select(
+        F.when(F.col("id") < 900, 7).when(F.col("id") < 1500, None).otherwise(F.col("id")).alias("k")))
+    whole = type(fact).groupBy
+    monkeypatch.setattr(type(fact), "groupBy", lambda df, *keys: pytest.fail("a row per key") if keys else whole(df))
+    for kind, seven in (("long", 7), ("string", "7")):
+        hot = O.joins.hot_keys(fact.select(F.col("k").cast(kind).alias("k")), "k", slice_rows=400)
+        assert rows(hot) == sorted([(seven, 3), (None, 2)], key=repr)
+    assert O.joins.hot_keys(spark.range(3000), "id", slice_rows=400) is None
