@@ -2,7 +2,8 @@
 
 Texts are lower-cased; words are runs of digits, a-z and characters beyond
 ASCII.  A feature is a word or its first 4, 5 or 6 bytes; its value is
-log(1 + occurrences).  One weight per feature serves all ordered thresholds:
+log(1 + occurrences per ``PER_WORDS`` words of the text), as a grade tells of shares
+of words, too.  One weight per feature serves all ordered thresholds:
 P(grade >= k) = sigmoid(w x - t_k) with t_1 < t_2 < ...  A document's severity is
 the expected grade; it is toxic if P(grade >= 1) is at least one half.
 
@@ -51,6 +52,9 @@ GRADES = 3
 
 PREFIXES = (4, 5, 6)
 
+#: Words to which occurrences are scaled, so one in a long text is far from none, too.
+PER_WORDS = 1_000
+
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, word, feature) of every word and prefix; the word is numbered."""
@@ -68,23 +72,33 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(numbers), np.concatenate(found)
 
 
-def _values(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place in the vocabulary, value) of the known features."""
-    row, _, found = features(texts)
+def _word_counts(row: np.ndarray, number: np.ndarray, n: int) -> np.ndarray:
+    """Words of each of ``n`` texts, from their features, which begin with the words themselves."""
+    return np.bincount(row[: number.max(initial=-1) + 1], minlength=n)
+
+
+def _values(
+    texts: pa.Array, vocabulary: np.ndarray, per_words: int | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place in the vocabulary, value) of the known features; occurrences count per so many words, if given."""
+    row, number, found = features(texts)
     known = among(found, vocabulary)
     place = np.searchsorted(vocabulary, found[known])
     pairs, n = np.unique(row[known] * max(len(vocabulary), 1) + place, return_counts=True)
     size = max(len(vocabulary), 1)
+    if per_words is not None:
+        n = per_words * n / _word_counts(row, number, len(texts))[pairs // size]
     return pairs // size, pairs % size, np.log1p(n)
 
 
 @dataclass
 class Ordinal:
-    """Weights of the vocabulary (sorted hashes) and the ordered thresholds."""
+    """Weights of the vocabulary (sorted hashes), the ordered thresholds, and the words occurrences are scaled to, if any."""
 
     vocabulary: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    per_words: int | None = None
 
     def at_least(self, row: np.ndarray, place: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
         """[text, k]: probability of grade k + 1 or more."""
@@ -92,7 +106,7 @@ class Ordinal:
         return _sigmoid(score[:, None] - self.thresholds)
 
     def predict(self, texts: pa.Array) -> np.ndarray:
-        return self.at_least(*_values(texts, self.vocabulary), len(texts))
+        return self.at_least(*_values(texts, self.vocabulary, self.per_words), len(texts))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -210,12 +224,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
         for batch in batches:
             toxic, texts, ids = batch.column(0), strings(batch.column(1)), batch.column(2)
             for a, b in slices(texts):
-                row, place, value = _values(texts[a:b], vocabulary)
+                row, place, value = _values(texts[a:b], vocabulary, PER_WORDS)
                 cuts = np.searchsorted(row, np.arange(b - a + 1))
                 at, number, found = features(texts[a:b])
                 known = among(found, markers)
                 marked = np.bincount(at[known][np.unique(number[known], return_index=True)[1]], minlength=b - a)
-                n_words = np.bincount(at[np.unique(number, return_index=True)[1]], minlength=b - a)
+                n_words = _word_counts(at, number, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[a:b], toxic[a:b], pa.array(marked / np.maximum(n_words, 1)),
@@ -233,7 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     row = np.repeat(np.arange(len(grade)), size)
     place = pc.list_flatten(seen.column("place")).to_numpy().astype(np.int64)
     value = pc.list_flatten(seen.column("value")).to_numpy().astype(np.float64)
-    return Ordinal(vocabulary, *fit(row, place, value, grade, len(vocabulary), grades))
+    return Ordinal(vocabulary, *fit(row, place, value, grade, len(vocabulary), grades), PER_WORDS)
 
 
 def grades_of(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
