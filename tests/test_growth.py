@@ -90,3 +90,27 @@ def test_hot_keys_are_found_without_an_exchange_per_key(spark, rows, monkeypatch
         hot = O.joins.hot_keys(fact.select(F.col("k").cast(kind).alias("k")), "k", slice_rows=400)
         assert rows(hot) == sorted([(seven, 3), (None, 2)], key=repr)
     assert O.joins.hot_keys(spark.range(3000), "id", slice_rows=400) is None
+
+
+def test_loans_are_written_once_with_the_columns_of_the_fact(spark, rows, monkeypatch):
+    stg = staged(spark)
+    accounts = stage_table(clean.account_clean(stg["account"], "Source"))
+    loans = stage_table(clean.loan_clean(stg["loan"], accounts))
+    known = {**dims.new_dimensions(spark), "DimDate": dims.dim_date(spark, dt.date(1990, 1, 1), dt.date(2005, 12, 31))}
+    module, written = importlib.import_module("starloom.operators.lookup"), []
+    monkeypatch.setattr(module, "stage_table", lambda df, name="stage": written.append(df.columns) or stage_table(df, name))
+    load = facts.resolve_loans(loans, known)
+    assert len(written) == 1 and not {"LoanStatusDescription", "LoanStatusGroup", "LoanDate"} & set(written[0])
+    assert load.rows.columns == [c for c in facts.LOAN_COLUMNS if c != "LoanKey"]
+    dated = loans.where("LoanDateKey >= 19900101")
+    assert rows(load.rows, "LoanID", "LoanAmount", "LoanDateKey") == rows(dated, "LoanID", "LoanAmount", "LoanDateKey")
+
+
+def test_loan_fact_of_an_empty_table_is_not_written_again(spark, monkeypatch):
+    from catalogue import bank as module
+
+    bank = module.Bank(spark, "/root/testdata/sf0.001")
+    bank.loan_clean, bank.loan_dims  # what comes before
+    monkeypatch.setattr(module, "stage_table", lambda *_: pytest.fail("written again"))
+    keys = [r[0] for r in bank.fact_loan.select("LoanKey").orderBy("LoanID").collect()]
+    assert keys == list(range(1, bank.loan_clean.count() + 1))
