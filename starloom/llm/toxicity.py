@@ -52,7 +52,7 @@ GRADES = 3
 
 PREFIXES = (4, 5, 6)
 
-#: Words to which occurrences are scaled, so one in a long text is far from none, too.
+#: Words to which occurrences are scaled.
 PER_WORDS = 1_000
 
 
